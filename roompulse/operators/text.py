@@ -313,10 +313,9 @@ def ngram_counts(lines: DataFrame) -> DataFrame:
     Only the longest window at each position is exploded and counted; shorter
     sequences are its beginnings, taken from the distinct windows afterwards.
     """
-    w = lines.select("room_name", F.explode(char_windows(F.col("text"))).alias("w"))
-    window = F.concat_ws("", "w.c0", "w.c1", "w.c2", "w.c3").alias("window")
     windows = (
-        w.filter(F.col("w.c1").isNotNull()).select("room_name", window).groupBy("room_name", "window")
+        lines.select("room_name", F.explode(char_windows(F.col("text"))).alias("window"))
+        .groupBy("room_name", "window")
         .agg(F.count("*").alias("n"))
     )
     sizes = F.sequence(F.lit(2), F.char_length("window"))

@@ -144,11 +144,11 @@ def _timed(v: Views) -> DataFrame:
 
 
 def _scores(v: Views) -> DataFrame:
-    return text.sentiment_score(text.chat_lines(v.danmaku), text.train_sentiment(v.labelled_texts))
+    return text.sentiment_score(text.chat_lines(v.danmaku), v.sentiment_model)
 
 
 def _sentiment_users(v: Views) -> DataFrame:
-    return text.sentiment_users(v.danmaku, text.train_sentiment(v.labelled_texts))
+    return text.sentiment_users(v.danmaku, v.sentiment_model)
 
 
 def _growth(v: Views) -> DataFrame:
@@ -257,7 +257,7 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "sentiment_score": _scores,
     "sentiment_room": lambda v: text.sentiment_room(_scores(v)),
     "sentiment_hist": lambda v: text.sentiment_hist(_scores(v)),
-    "sentiment_timeline": lambda v: text.sentiment_timeline(v.danmaku, text.train_sentiment(v.labelled_texts)),
+    "sentiment_timeline": lambda v: text.sentiment_timeline(v.danmaku, v.sentiment_model),
     "sentiment_quadrant": lambda v: text.sentiment_quadrant(_sentiment_users(v)),
     "sentiment_quadrant_samples": lambda v: text.sentiment_quadrant_samples(_sentiment_users(v)),
     "keywords_tfidf": lambda v: text.keywords_tfidf(v.danmaku),

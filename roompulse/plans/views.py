@@ -9,9 +9,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roompulse.sources.files import spread
+
 # Gift prices; a gift not listed counts 1.
 GIFT_PRICES = (
     ("gift_0", 0.1),
@@ -33,6 +36,14 @@ class Views:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    @cached_property
+    def events(self) -> DataFrame:
+        return spread(self.table("events"), "event_id")
+
+    @cached_property
+    def lineitem(self) -> DataFrame:
+        return spread(self.table("lineitem"), "l_orderkey")
+
     @cached_property
     def rooms(self) -> DataFrame:
         return self.table("region").select(
@@ -47,7 +58,7 @@ class Views:
     @cached_property
     def activity(self) -> DataFrame:
         """Raw events with the room, the user name and the number in ``props``."""
-        return self.activity_of(self.table("events"))
+        return self.activity_of(self.events)
 
     @staticmethod
     def activity_of(events: DataFrame) -> DataFrame:
@@ -141,7 +152,7 @@ class Views:
 
     @cached_property
     def orders(self) -> DataFrame:
-        line = self.table("lineitem")
+        line = self.lineitem
         head = self.table("orders")
         part = self.table("part")
         return (
@@ -193,4 +204,12 @@ class Views:
     def labelled_texts(self) -> DataFrame:
         """Training texts for the sentiment model: whole documents and a 0/1 label."""
         labels = self.table("labels").select("doc_id", (F.col("quality") == 1).alias("positive"))
-        return labels.join(self.table("documents").select("doc_id", "text"), "doc_id").select("text", "positive")
+        documents = spread(self.table("documents").select("doc_id", "text"), "doc_id")
+        return labels.join(documents, "doc_id").select("text", "positive")
+
+    @cached_property
+    def sentiment_model(self) -> DataFrame:
+        """The trained model, kept: scoring first asks its size and then uses it."""
+        from roompulse.operators.text import train_sentiment
+
+        return train_sentiment(self.labelled_texts).persist(StorageLevel.MEMORY_AND_DISK)

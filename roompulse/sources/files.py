@@ -19,6 +19,16 @@ def read_tsv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).options(**TSV_OPTIONS, multiLine="true").csv(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal a scan out over all cores if it has fewer splits than there are cores.
+
+    Narrow rows of a small or unsplittable file would otherwise be widened and cut
+    into words by one task.  A large table has enough splits and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def read_orc(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.orc(path)
 
