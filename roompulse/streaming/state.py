@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -58,3 +60,7 @@ def alert_stream(samples: DataFrame) -> DataFrame:
     return narrow.groupBy("room_id").applyInPandasWithState(
         _alerts, ALERT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
     )
+
+
+# Executors get the state function itself, so they need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
