@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from roompulse.functions.numbers import percent, ratio, whole_div
 from roompulse.functions.texts import like_pattern
 from roompulse.functions.times import CLOCK_MINUTE, clock, micros_between, minute_of, minutes
-from roompulse.operators.common import only, top_per_key, upper_median
+from roompulse.operators.common import newest_rows, only, small_side, top_per_key, upper_median
 
 # Tiers by number of chats, lowest bound and label.
 TIERS = (
@@ -197,7 +197,7 @@ def rfm_users(
         .otherwise(RFM_AT_RISK)
     )
     medians = recent.join(often, "room_name")
-    return users.join(medians, "room_name").select(
+    return users.join(small_side(medians), "room_name").select(
         "room_name",
         "username",
         (F.col("idle_tenths") / 10.0).alias("recency"),
@@ -280,13 +280,18 @@ def user_journey(
     shown: int = 10,
     seed: str = "journey",
     room: str | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """First events of a seeded random sample of active users, one job for all rooms."""
+    """First events of a seeded random sample of active users, one job for all rooms.
+
+    ``counted`` may give the same messages without their texts, to count chats on.
+    """
     danmaku = only(danmaku, room_name=room)
-    active = chats_per_user(danmaku).filter((F.col("cnt") >= min_chats) & F.col("username").isNotNull())
+    active = chats_per_user(danmaku if counted is None else counted, room).filter((F.col("cnt") >= min_chats) & F.col("username").isNotNull())
     draw = F.md5(F.concat(F.lit(seed), F.col("username")))
     sample = top_per_key(active, ["room_name"], (draw.asc(), F.col("username").asc()), users)
-    mine = danmaku.join(sample.select("room_name", "username"), ["room_name", "username"], "left_semi")
+    chosen = small_side(sample.select("room_name", "username"))
+    mine = danmaku.join(chosen, ["room_name", "username"], "left_semi")
     key = ["room_name", "username"]
     early = top_per_key(mine, key, (F.col("id").asc(),), events, "seq")
     whole = Window.partitionBy(*key)
@@ -336,7 +341,7 @@ def danmaku_trend(
 
 def danmaku_recent(danmaku: DataFrame, n: int = 20, room: str | None = None) -> DataFrame:
     """The ``n`` newest messages of every room."""
-    return top_per_key(only(danmaku, room_name=room), ["room_name"], (F.col("id").desc(),), n).select(
+    return newest_rows(only(danmaku, room_name=room), ["room_name"], "id", n).select(
         "room_name", "rank", "username", "text", "gift_name", "gift_count", "msg_type", "created_at"
     )
 
@@ -353,4 +358,5 @@ def danmaku_search(danmaku: DataFrame, needle: str, n: int = 50, room: str | Non
 
 def export_latest(danmaku: DataFrame, n: int = 10_000, room: str | None = None) -> DataFrame:
     """The ``n`` newest messages per room with every column, ready for a CSV sink."""
-    return top_per_key(only(danmaku, room_name=room), ["room_name"], (F.col("id").desc(),), n).drop("rank")
+    rows = newest_rows(only(danmaku, room_name=room), ["room_name"], "id", n)
+    return rows.select(*danmaku.columns)

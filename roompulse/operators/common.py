@@ -43,6 +43,17 @@ def top_per_key(
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
 
 
+def newest_rows(df: DataFrame, keys: Sequence[str], id_column: str, k: int, rank: str = "rank") -> DataFrame:
+    """The ``k`` rows of every key with the highest ids, numbered from 1.
+
+    The choice is made on keys and ids alone; the wide columns are fetched for the
+    chosen rows afterwards and never sorted.
+    """
+    narrow = df.select(*keys, id_column)
+    chosen = top_per_key(narrow, keys, (F.col(id_column).desc(),), k, rank)
+    return df.join(small_side(chosen), [*keys, id_column])
+
+
 def row_index(df: DataFrame, keys: Sequence[str], ts: str, tie: str, index: str = "row_ix") -> DataFrame:
     """Zero-based position of every row within its key by ``(ts, tie)``, and the key's row count.
 

@@ -133,8 +133,12 @@ def cooccurrence_recs(
     block_items: int = BLOCK_ITEMS,
     giant_items: int = GIANT_ITEMS,
     giants: int = GIANT_BASKETS,
+    details: DataFrame | None = None,
 ) -> DataFrame:
-    """For every product, the ``k`` products most often bought by the same customers."""
+    """For every product, the ``k`` products most often bought by the same customers.
+
+    ``details`` names the products; without it names are gathered from the orders.
+    """
     orders = only(orders, room_name=room)
     items = baskets(orders)
     counted, giant_ids = _all_pairs(items, giants, giant_items, block_items)
@@ -152,7 +156,7 @@ def cooccurrence_recs(
         also = _giant_candidates(_masks(items, giant_ids), len(giant_ids), k)
         scored = first.unionByName(also).groupBy("product_id", "rec_product_id").agg(F.max("score").alias("score"))
     best = top_per_key(scored, ["product_id"], order, k)
-    details = item_details(orders)
+    details = item_details(orders) if details is None else details.select("product_id", "product_name", "category")
     rec = details.select(
         F.col("product_id").alias("rec_product_id"),
         F.col("product_name").alias("rec_product_name"),
@@ -173,6 +177,7 @@ def association_rules(
     max_pairs: int | None = None,
     block_items: int = BLOCK_ITEMS,
     giant_items: int = GIANT_ITEMS,
+    details: DataFrame | None = None,
 ) -> DataFrame:
     """Rules "bought A, bought B" by lift.
 
@@ -201,7 +206,7 @@ def association_rules(
     rules = rules.join(n1, "p1").filter(confident).join(n2, "p2").withColumn("raw_lift", lift)
     if n:
         rules = rules.orderBy(F.col("raw_lift").desc(), "p1", "p2").limit(n)
-    names = item_details(orders).select("product_id", "product_name")
+    names = (item_details(orders) if details is None else details).select("product_id", "product_name")
     a = names.select(F.col("product_id").alias("p1"), F.col("product_name").alias("antecedent"))
     b = names.select(F.col("product_id").alias("p2"), F.col("product_name").alias("consequent"))
     return rules.join(a, "p1").join(b, "p2").select(

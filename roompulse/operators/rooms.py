@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from roompulse.functions.numbers import parse_count, whole_div
 from roompulse.functions.times import CLOCK_MINUTE, CLOCK_SECOND, clock, micros_between, minutes
-from roompulse.operators.common import only, row_index
+from roompulse.operators.common import only, row_index, small_side
 
 # Fixed values shown when a room has no samples yet.
 NO_DATA = "无数据"
@@ -115,7 +115,7 @@ def online_trend(
     metrics = only(metrics, room_id=room)
     start = clock(metrics, "created_at", as_of) - minutes(mins)
     last = metrics.groupBy("room_id").agg(F.max("created_at").alias("last_seen"))
-    chosen = metrics.join(last, "room_id").filter(
+    chosen = metrics.join(small_side(last), "room_id").filter(
         (F.col("created_at") > start) | (F.col("last_seen") <= start)
     )
     narrow = chosen.select("room_id", "id", "online", "like_count", "created_at")

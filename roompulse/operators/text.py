@@ -9,7 +9,7 @@ from roompulse.functions.numbers import half_up, percent, ratio
 from roompulse.functions.texts import STOP_WORDS, char_windows, is_topic_term, terms
 from roompulse.functions.times import bucket_start, clock, minutes
 from roompulse.operators.audience import by_chats, is_chat
-from roompulse.operators.common import only, small_side, top_per_key
+from roompulse.operators.common import newest_rows, only, small_side, top_per_key
 
 # Sentiment labels and the scores that separate them.
 POSITIVE = "正面"
@@ -43,7 +43,7 @@ def chat_lines(danmaku: DataFrame, room: str | None = None, latest: int | None =
     """Chats that have a text, all of them unless only the ``latest`` per room are wanted."""
     chats = only(danmaku, room_name=room).filter(is_chat() & F.col("text").isNotNull())
     if latest:
-        chats = top_per_key(chats, ["room_name"], (F.col("id").desc(),), latest).drop("rank")
+        chats = newest_rows(chats, ["room_name"], "id", latest).select(*danmaku.columns)
     return chats
 
 

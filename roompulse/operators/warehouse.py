@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from roompulse.functions.numbers import parse_count, whole_div
 from roompulse.functions.times import clock, iso_text, minute_text, minutes, parse_iso
 from roompulse.operators.audience import chats_per_user
+from roompulse.operators.common import small_side
 from roompulse.operators.messages import named_rooms
 from roompulse.operators.windows import priced_gifts
 
@@ -43,11 +44,20 @@ def ods_danmaku(danmaku: DataFrame) -> DataFrame:
 
 
 def dwd_danmaku(danmaku: DataFrame, rooms: DataFrame) -> DataFrame:
-    """Cleaned messages: one per id, with a room name and a minute to group by."""
-    # The narrow hash of the row decides between copies; all copies of an id are alike but for damage.
-    newest = F.struct("created_at", F.xxhash64(*danmaku.columns).alias("h"), *[c for c in danmaku.columns if c not in ("id", "created_at")])
-    one = danmaku.groupBy("id").agg(F.max(newest).alias("m")).select("id", "m.*").drop("h")
-    return named_rooms(one, rooms).withColumn("minute", minute_text(F.col("created_at")))
+    """Cleaned messages: one per id, with a room name and a minute to group by.
+
+    Ids seen more than once are found first, on the ids alone.  Only their rows
+    are shuffled to pick one; all others keep their place, whole text included.
+    """
+    repeated = danmaku.groupBy("id").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("id")
+    repeated = small_side(repeated)
+    single = danmaku.join(repeated, "id", "left_anti")
+    copies = danmaku.join(repeated, "id", "left_semi")
+    values = [c for c in danmaku.columns if c not in ("id", "created_at")]
+    newest = F.max(F.struct("created_at", *values)).alias("m")
+    one = copies.groupBy("id").agg(newest).select("id", "m.*").select(*danmaku.columns)
+    rows = named_rooms(single.unionByName(one), rooms)
+    return rows.withColumn("minute", minute_text(F.col("created_at")))
 
 
 def dws_room_minute(room_info: DataFrame, messages: DataFrame) -> DataFrame:

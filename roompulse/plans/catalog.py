@@ -42,7 +42,7 @@ def chat_json(v: Views) -> DataFrame:
     """Chat messages as JSON text, every 50th cut short so that it is damaged."""
     chats = v.danmaku.filter(F.col("msg_type") == "chat")
     fields = F.struct(
-        "room_id", "room_name", "username", "user_id", F.lit("hello").alias("text"), iso_text(F.col("created_at")).alias("timestamp")
+        "room_id", "room_name", "username", "user_id", "text", iso_text(F.col("created_at")).alias("timestamp")
     )
     whole = F.to_json(fields)
     damaged = F.substring(whole, 1, 20)
@@ -136,11 +136,11 @@ def _samples(v: Views) -> DataFrame:
 
 
 def _signals(v: Views) -> DataFrame:
-    return windows.room_signals(v.danmaku, _samples(v), v.gift_prices)
+    return windows.room_signals(v.signals, _samples(v), v.gift_prices)
 
 
 def _timed(v: Views) -> DataFrame:
-    return v.danmaku.filter(F.col("msg_type") == "chat").withColumn("event_time", F.col("created_at"))
+    return v.signals.filter(F.col("msg_type") == "chat").withColumn("event_time", F.col("created_at"))
 
 
 def _scores(v: Views) -> DataFrame:
@@ -156,7 +156,7 @@ def _growth(v: Views) -> DataFrame:
 
 
 def _line(v: Views) -> DataFrame:
-    return forecast.sales_line(forecast.daily_sales(v.orders))
+    return forecast.sales_line(forecast.daily_sales(v.sales))
 
 
 def _json_quarantine(v: Views) -> DataFrame:
@@ -191,7 +191,7 @@ def _json_encode(v: Views) -> DataFrame:
 
 def _sampled_users(v: Views) -> DataFrame:
     """A seeded random handful of users per room."""
-    users = audience.chats_per_user(v.danmaku).filter(F.col("username").isNotNull())
+    users = audience.chats_per_user(v.signals).filter(F.col("username").isNotNull())
     draw: Column = F.md5(F.concat(F.lit("sample"), F.col("username")))
     return top_per_key(users, ["room_name"], (draw.asc(), F.col("username").asc()), 5)
 
@@ -201,7 +201,7 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "danmaku_tumble_1m": lambda v: windows.tumble_counts(_timed(v)),
     "room_minute_agg": lambda v: windows.room_minute_agg(_signals(v)),
     "online_alerts": lambda v: windows.online_alerts(_samples(v)),
-    "gift_value": lambda v: windows.gift_value(v.danmaku, v.gift_prices),
+    "gift_value": lambda v: windows.gift_value(v.signals, v.gift_prices),
     "room_snapshot": lambda v: windows.room_snapshot(_signals(v), _samples(v)),
     "surge_alerts": lambda v: windows.surge_alerts(windows.room_snapshot(_signals(v), _samples(v), 60), 4, 100),
     "route_messages": lambda v: messages.route_messages(envelopes(v)),
@@ -225,31 +225,31 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "fn_iso_parse": _fn_iso_parse,
     "fn_parse_count": _fn_parse_count,
     # rooms
-    "room_overview": lambda v: rooms.room_overview(v.rooms, v.live_metrics, v.danmaku),
-    "room_stats": lambda v: rooms.room_stats(v.rooms, v.live_metrics, v.danmaku),
-    "room_compare": lambda v: rooms.room_compare(v.rooms, v.live_metrics, v.danmaku),
+    "room_overview": lambda v: rooms.room_overview(v.rooms, v.live_metrics, v.signals),
+    "room_stats": lambda v: rooms.room_stats(v.rooms, v.live_metrics, v.signals),
+    "room_compare": lambda v: rooms.room_compare(v.rooms, v.live_metrics, v.signals),
     "online_trend": lambda v: rooms.online_trend(v.live_metrics, 120),
     "online_trend_month": lambda v: rooms.online_trend(v.live_metrics, 60 * 24 * 31),
     "room_last_minute": lambda v: rooms.room_last_minute(v.rooms, v.live_metrics, 1),
     "room_last_day": lambda v: rooms.room_last_minute(v.rooms, v.live_metrics, 60 * 24),
     "collect_rate": lambda v: rooms.collect_rate(v.live_metrics, 60 * 24),
     # audience
-    "user_segmentation": lambda v: audience.user_segmentation(v.danmaku),
-    "user_segment_samples": lambda v: audience.user_segment_samples(v.danmaku),
-    "activity_levels": lambda v: audience.activity_levels(v.danmaku),
-    "funnel_full": lambda v: audience.funnel_full(v.danmaku),
-    "rfm_users": lambda v: audience.rfm_users(v.danmaku),
-    "rfm_segments": lambda v: audience.rfm_segments(audience.rfm_users(v.danmaku)),
-    "rfm_top": lambda v: audience.rfm_top(audience.rfm_users(v.danmaku)),
-    "rfm_top_users": lambda v: audience.rfm_top(audience.rfm_users(v.danmaku), 20, by_segment=False),
-    "retention_daily": lambda v: audience.retention_daily(v.danmaku),
-    "retention_summary": lambda v: audience.retention_summary(audience.retention_daily(v.danmaku)),
-    "user_journey": lambda v: audience.user_journey(v.danmaku),
+    "user_segmentation": lambda v: audience.user_segmentation(v.signals),
+    "user_segment_samples": lambda v: audience.user_segment_samples(v.signals),
+    "activity_levels": lambda v: audience.activity_levels(v.signals),
+    "funnel_full": lambda v: audience.funnel_full(v.signals),
+    "rfm_users": lambda v: audience.rfm_users(v.signals),
+    "rfm_segments": lambda v: audience.rfm_segments(audience.rfm_users(v.signals)),
+    "rfm_top": lambda v: audience.rfm_top(audience.rfm_users(v.signals)),
+    "rfm_top_users": lambda v: audience.rfm_top(audience.rfm_users(v.signals), 20, by_segment=False),
+    "retention_daily": lambda v: audience.retention_daily(v.signals),
+    "retention_summary": lambda v: audience.retention_summary(audience.retention_daily(v.signals)),
+    "user_journey": lambda v: audience.user_journey(v.danmaku, counted=v.signals),
     "sampled_users": _sampled_users,
-    "top_users": lambda v: audience.top_users(v.danmaku),
-    "hourly_activity": lambda v: audience.hourly_activity(v.danmaku),
-    "danmaku_trend": lambda v: audience.danmaku_trend(v.danmaku),
-    "danmaku_trend_minutes": lambda v: audience.danmaku_trend(v.danmaku, 60 * 24, by_clock=False),
+    "top_users": lambda v: audience.top_users(v.signals),
+    "hourly_activity": lambda v: audience.hourly_activity(v.signals),
+    "danmaku_trend": lambda v: audience.danmaku_trend(v.signals),
+    "danmaku_trend_minutes": lambda v: audience.danmaku_trend(v.signals, 60 * 24, by_clock=False),
     "danmaku_recent": lambda v: audience.danmaku_recent(v.danmaku),
     "danmaku_search": lambda v: audience.danmaku_search(v.danmaku, "worth"),
     "export_latest": lambda v: audience.export_latest(v.danmaku),
@@ -264,7 +264,7 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "word_cloud": lambda v: text.word_cloud(v.danmaku),
     "ngram_words": lambda v: text.ngram_words(v.danmaku),
     "room_activity_matrix": lambda v: text.room_activity_matrix(
-        text.sentiment_hist(_scores(v)), audience.activity_levels(v.danmaku)
+        text.sentiment_hist(_scores(v)), audience.activity_levels(v.signals)
     ),
     # commerce
     "product_sold_refresh": lambda v: v.products,
@@ -273,27 +273,27 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "product_top": lambda v: commerce.product_top(v.products),
     "stock_levels": lambda v: commerce.stock_levels(v.products),
     "inventory_alerts": lambda v: commerce.inventory_alerts(v.products),
-    "product_sales_trend": lambda v: commerce.product_sales_trend(v.products, v.orders),
+    "product_sales_trend": lambda v: commerce.product_sales_trend(v.products, v.sales),
     "orders_recent": lambda v: commerce.orders_recent(v.orders),
-    "gmv_daily": lambda v: commerce.gmv_daily(v.orders, SPAN_DAYS),
-    "gmv_totals": lambda v: commerce.gmv_totals(v.orders),
+    "gmv_daily": lambda v: commerce.gmv_daily(v.sales, SPAN_DAYS),
+    "gmv_totals": lambda v: commerce.gmv_totals(v.sales),
     "product_growth": _growth,
     "hot_products": lambda v: commerce.hot_products(_growth(v)),
     "rising_products": lambda v: commerce.rising_products(_growth(v)),
     "gmv_kpis": lambda v: commerce.gmv_kpis(v.products, v.orders, SPAN_DAYS, growth_span=SPAN_DAYS),
     # recommendation and forecast
-    "cooccurrence_recs": lambda v: recommend.cooccurrence_recs(v.orders),
-    "association_rules": lambda v: recommend.association_rules(v.orders, 2, 0.05),
-    "association_rules_strict": lambda v: recommend.association_rules(v.orders, 3, 0.1, n=None),
-    "sales_ma7": lambda v: forecast.sales_ma7(forecast.daily_sales(v.orders)),
-    "sales_ma7_all_rooms": lambda v: forecast.sales_ma7(forecast.daily_sales(v.orders, ()), ()),
+    "cooccurrence_recs": lambda v: recommend.cooccurrence_recs(v.sales, details=v.catalogue),
+    "association_rules": lambda v: recommend.association_rules(v.sales, 2, 0.05, details=v.catalogue),
+    "association_rules_strict": lambda v: recommend.association_rules(v.sales, 3, 0.1, n=None, details=v.catalogue),
+    "sales_ma7": lambda v: forecast.sales_ma7(forecast.daily_sales(v.sales)),
+    "sales_ma7_all_rooms": lambda v: forecast.sales_ma7(forecast.daily_sales(v.sales, ()), ()),
     "sales_forecast": lambda v: forecast.sales_forecast(_line(v)),
     "sales_forecast_products": lambda v: forecast.sales_forecast(
-        forecast.sales_line(forecast.daily_sales(v.orders, ["product_id"]), ["product_id"]), ["product_id"]
+        forecast.sales_line(forecast.daily_sales(v.sales, ["product_id"]), ["product_id"]), ["product_id"]
     ),
     "sales_trend": lambda v: forecast.sales_trend(_line(v)),
     "forecast_series": lambda v: forecast.forecast_series(
-        forecast.sales_ma7(forecast.daily_sales(v.orders)), forecast.sales_forecast(_line(v))
+        forecast.sales_ma7(forecast.daily_sales(v.sales)), forecast.sales_forecast(_line(v))
     ),
     # warehouse
     "ods_room_info": lambda v: warehouse.ods_room_info(v.live_metrics),
@@ -304,8 +304,8 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "dws_room_minute": lambda v: warehouse.dws_room_minute(
         warehouse.ods_room_info(v.live_metrics), warehouse.ods_danmaku(v.danmaku)
     ),
-    "dws_live_minute": lambda v: warehouse.dws_live_minute(v.danmaku, v.orders, v.gift_prices, v.rooms),
-    "ads_user_segments": lambda v: warehouse.ads_user_segments(v.danmaku, "2024-01-31"),
+    "dws_live_minute": lambda v: warehouse.dws_live_minute(v.signals, v.sales, v.gift_prices, v.rooms),
+    "ads_user_segments": lambda v: warehouse.ads_user_segments(v.signals, "2024-01-31"),
     "ads_product_ranking": lambda v: warehouse.ads_product_ranking(v.orders),
 }
 

@@ -53,7 +53,8 @@ class Views:
 
     @cached_property
     def gift_prices(self) -> DataFrame:
-        return self.spark.createDataFrame(list(GIFT_PRICES), "gift_name string, price double")
+        rows = ", ".join(f"('{name}', {price}D)" for name, price in GIFT_PRICES)
+        return self.spark.sql(f"SELECT * FROM VALUES {rows} AS t(gift_name, price)")
 
     @cached_property
     def activity(self) -> DataFrame:
@@ -75,30 +76,39 @@ class Views:
             F.col("ts").alias("created_at"),
         )
 
+    @cached_property
+    def _messages(self) -> DataFrame:
+        gift = F.col("event_type") == "purchase"
+        e = self.activity.filter(F.col("event_type").isin("click", "view", "purchase"))
+        return e.join(self.rooms, "room_id").select(
+            F.col("event_id").alias("id"),
+            "room_id",
+            "room_name",
+            "username",
+            F.col("user_id").cast("string").alias("user_id"),
+            F.when(gift, "gift").otherwise("chat").alias("msg_type"),
+            F.when(gift, F.concat(F.lit("gift_"), (F.col("k") % 9).cast("string"))).alias("gift_name"),
+            F.when(gift, F.lit(1) + F.col("k") % 5).alias("gift_count"),
+            "created_at",
+        )
+
     @cached_property
     def danmaku(self) -> DataFrame:
         """Chat and gift messages; a chat carries the whole text of a document."""
         docs = self.table("documents").select("doc_id", F.col("text").alias("doc_text"))
         n_docs = self.table("documents").agg(F.count("*")).scalar()
-        gift = F.col("event_type") == "purchase"
-        e = self.activity.filter(F.col("event_type").isin("click", "view", "purchase"))
-        e = e.withColumn("doc_id", F.col("event_id") % n_docs)
-        return (
-            e.join(self.rooms, "room_id")
-            .join(docs, "doc_id", "left")
-            .select(
-                F.col("event_id").alias("id"),
-                "room_id",
-                "room_name",
-                "username",
-                F.col("user_id").cast("string").alias("user_id"),
-                F.when(gift, "gift").otherwise("chat").alias("msg_type"),
-                F.when(~gift, F.col("doc_text")).alias("text"),
-                F.when(gift, F.concat(F.lit("gift_"), (F.col("k") % 9).cast("string"))).alias("gift_name"),
-                F.when(gift, F.lit(1) + F.col("k") % 5).alias("gift_count"),
-                "created_at",
-            )
-        )
+        rows = self._messages.withColumn("doc_id", F.col("id") % n_docs).join(docs, "doc_id", "left")
+        text = F.when(F.col("msg_type") == "chat", F.col("doc_text")).alias("text")
+        return rows.select(*self._messages.columns[:6], text, *self._messages.columns[6:])
+
+    @cached_property
+    def signals(self) -> DataFrame:
+        """The same messages without texts, for reports that only count them.
+
+        ``doc_id`` is unique, so leaving the documents out changes no row; Spark
+        cannot know that and would join them for every count.
+        """
+        return self._messages
 
     @staticmethod
     def online_of(k: Column) -> Column:
@@ -151,21 +161,18 @@ class Views:
         )
 
     @cached_property
-    def orders(self) -> DataFrame:
+    def sales(self) -> DataFrame:
+        """Order lines without product names, for reports that do not show them."""
         line = self.lineitem
         head = self.table("orders")
-        part = self.table("part")
         return (
             line.join(head, line.l_orderkey == head.o_orderkey)
-            .join(part, line.l_partkey == part.p_partkey)
             .withColumn("room_id", F.concat(F.lit("room_"), (F.col("l_partkey") % 5).cast("string")))
             .join(self.rooms, "room_id")
             .select(
                 (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_id"),
                 F.col("l_partkey").alias("product_id"),
-                F.concat(F.col("p_name"), F.lit(" #"), F.col("p_partkey").cast("string")).alias("product_name"),
                 "room_name",
-                F.col("p_type").alias("category"),
                 F.col("l_quantity").cast("int").alias("quantity"),
                 F.col("l_extendedprice").cast("decimal(12,2)").alias("total_amount"),
                 F.col("o_orderdate").alias("order_time"),
@@ -173,6 +180,18 @@ class Views:
             )
         )
 
+    @cached_property
+    def orders(self) -> DataFrame:
+        part = self.table("part").select(
+            F.col("p_partkey").alias("product_id"),
+            F.concat(F.col("p_name"), F.lit(" #"), F.col("p_partkey").cast("string")).alias("product_name"),
+            F.col("p_type").alias("category"),
+        )
+        return self.sales.join(part, "product_id").select(
+            "order_id", "product_id", "product_name", "room_name", "category", "quantity", "total_amount", "order_time",
+            "customer_id",
+        )
+
     @cached_property
     def catalogue(self) -> DataFrame:
         """Products before their sales are counted."""
@@ -198,7 +217,7 @@ class Views:
     def products(self) -> DataFrame:
         from roompulse.operators.commerce import product_sold_refresh
 
-        return product_sold_refresh(self.catalogue, self.orders)
+        return product_sold_refresh(self.catalogue, self.sales)
 
     @cached_property
     def labelled_texts(self) -> DataFrame:
