@@ -9,10 +9,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roompulse.session import shared_folder
 from roompulse.sources.files import spread
 
 # Gift prices; a gift not listed counts 1.
@@ -228,7 +228,9 @@ class Views:
 
     @cached_property
     def sentiment_model(self) -> DataFrame:
-        """The trained model, kept: scoring first asks its size and then uses it."""
+        """The trained model, written once and read back, so that its size is known to the joins."""
         from roompulse.operators.text import train_sentiment
 
-        return train_sentiment(self.labelled_texts).persist(StorageLevel.MEMORY_AND_DISK)
+        folder = shared_folder(self.spark, "sentiment-model")
+        train_sentiment(self.labelled_texts).write.parquet(folder)
+        return self.spark.read.parquet(folder)

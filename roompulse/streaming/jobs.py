@@ -9,15 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from roompulse.functions.numbers import try_parse_count
 from roompulse.operators.messages import audience_rows, message_rows, metric_rows, named_rooms, publish, route_messages
-from roompulse.operators.windows import gift_amount, room_minute_agg, tumble_counts
+from roompulse.operators.windows import gift_amount, room_minute_agg, room_signals, room_snapshot, tumble_counts
 from roompulse.schemas import TOPIC_CHAT, TOPIC_GIFT, TOPIC_ROOM
-from roompulse.sinks.batches import append_batches, route_batches
+from roompulse.sinks.batches import append_batches, read_batches, route_batches
 from roompulse.sources.topics import messages
 from roompulse.streaming.state import alert_stream
 
@@ -80,6 +80,30 @@ def store_messages(raw: DataFrame, rooms: DataFrame, root: str, checkpoint: str,
     return run(rows, route_batches(routes, root), checkpoint, "append", once)
 
 
+def stored_signals(spark: SparkSession, root: str, prices: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Signals and audience samples from the tables of :func:`store_messages`.
+
+    Equal times of one room are ordered by a hash, as stored rows carry no id.
+    """
+    said = read_batches(spark, f"{root}/danmaku").withColumnRenamed("event_time", "created_at")
+    full = read_batches(spark, f"{root}/live_metrics").withColumn("n", try_parse_count(F.col("online")))
+    socket = read_batches(spark, f"{root}/room_stats").withColumn("n", F.col("online_count"))
+    seen = [
+        table.select(
+            "room_id", "room_name", F.xxhash64("room_id", "timestamp", "n").alias("id"), "event_time", F.col("n").alias("online")
+        )
+        for table in (full, socket)
+    ]
+    samples = seen[0].unionByName(seen[1]).filter(F.col("online").isNotNull())
+    return room_signals(said, samples, prices), samples
+
+
+def snapshot_rooms(spark: SparkSession, root: str, prices: DataFrame, minutes: int = 1) -> DataFrame:
+    """Room snapshots of everything stored so far, window by window."""
+    signals, samples = stored_signals(spark, root, prices)
+    return room_snapshot(signals, samples, minutes)
+
+
 def demultiplex(envelopes: DataFrame, rooms: DataFrame, root: str, checkpoint: str, once=False) -> StreamingQuery:
     """Route decoded envelopes by type, and publish the kinds other jobs consume."""
     named = envelopes.join(rooms, "room_id", "left")
