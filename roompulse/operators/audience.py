@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from roompulse.functions.numbers import percent, ratio, whole_div
 from roompulse.functions.texts import like_pattern
 from roompulse.functions.times import CLOCK_MINUTE, clock, micros_between, minute_of, minutes
-from roompulse.operators.common import newest_rows, only, small_side, top_per_key, upper_median
+from roompulse.operators.common import newest_rows, only, small_side, top_per_key, upper_medians
 
 # Tiers by number of chats, lowest bound and label.
 TIERS = (
@@ -186,8 +186,7 @@ def rfm_users(
         ratio(F.col("frequency"), F.col("active_days"), 1).alias("engagement"),
         "active_days",
     )
-    recent = upper_median(users, ["room_name"], "idle_tenths", "r_tenths")
-    often = upper_median(users, ["room_name"], "frequency", "f_median")
+    medians = upper_medians(users, ["room_name"], {"idle_tenths": "r_tenths", "frequency": "f_median"})
     is_recent = F.col("idle_tenths") <= F.col("r_tenths")
     is_often = F.col("frequency") >= F.col("f_median")
     segment = (
@@ -196,7 +195,6 @@ def rfm_users(
         .when(is_often, RFM_ASLEEP)
         .otherwise(RFM_AT_RISK)
     )
-    medians = recent.join(often, "room_name")
     return users.join(medians, "room_name").select(
         "room_name",
         "username",

@@ -97,19 +97,25 @@ def lookback_window(
     return spread, window, F.col("__block") == F.col("__home")
 
 
-def upper_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """Element ``n // 2`` of each key's sorted values.
+def upper_medians(df: DataFrame, keys: Sequence[str], names: dict[str, str]) -> DataFrame:
+    """Element ``n // 2`` of each key's sorted values, for several whole-number columns at once.
 
-    Equal values are counted first, so the ordered pass only sees distinct ones.
+    ``names`` maps columns to result columns.  The columns are stacked, so one
+    pass serves all; equal values are counted first, so the ordered part only
+    sees distinct ones.
     """
-    counts = df.groupBy(*keys, value).agg(F.count("*").alias("__n"))
-    by_key = Window.partitionBy(*keys)
-    running = by_key.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    stacked = F.inline(
+        F.array(*[F.struct(F.lit(n).alias("__name"), F.col(c).cast("bigint").alias("__value")) for c, n in names.items()])
+    )
+    counts = df.select(*keys, stacked).groupBy(*keys, "__name", "__value").agg(F.count("*").alias("__n"))
+    group = Window.partitionBy(*keys, "__name")
+    running = group.orderBy("__value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counts.select(
-        *keys, value, F.sum("__n").over(running).alias("__upto"), F.sum("__n").over(by_key).alias("__all")
+        "*", F.sum("__n").over(running).alias("__upto"), F.sum("__n").over(group).alias("__all")
     )
     past_half = F.col("__upto") > F.floor(F.col("__all") / 2)
-    return ranked.filter(past_half).groupBy(*keys).agg(F.min(value).alias(name))
+    medians = [F.min(F.when(F.col("__name") == n, F.col("__value"))).alias(n) for n in names.values()]
+    return ranked.filter(past_half).groupBy(*keys).agg(*medians)
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from roompulse.operators import audience, commerce, forecast, messages, recommend, rooms, text, warehouse, windows
-from roompulse.operators.common import lookback_window, row_index, small_side, top_per_key, upper_median
+from roompulse.operators.common import lookback_window, row_index, small_side, top_per_key, upper_medians
 from roompulse.schemas import CHAT_MESSAGE
 
 T0 = dt.datetime(2024, 1, 1, 12, 0, 0)
@@ -77,9 +77,11 @@ def test_top_per_key_beyond_the_native_limit(spark):
     assert got.agg(F.min("id")).first()[0] == 2000
 
 
-def test_upper_median(spark):
-    df = spark.createDataFrame([("a", x) for x in (1, 2, 3, 4)] + [("b", x) for x in (5, 5, 9)], "k string, x int")
-    assert {r.k: r.m for r in upper_median(df, ["k"], "x", "m").collect()} == {"a": 3, "b": 5}
+def test_upper_medians(spark):
+    rows = [("a", x, -x) for x in (1, 2, 3, 4)] + [("b", x, 7) for x in (5, 5, 9)]
+    df = spark.createDataFrame(rows, "k string, x int, y int")
+    got = upper_medians(df, ["k"], {"x": "m", "y": "n"}).collect()
+    assert {r.k: (r.m, r.n) for r in got} == {"a": (3, -2), "b": (5, 7)}
 
 
 def test_broadcast_only_while_small(spark):
