@@ -302,7 +302,7 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "ods_danmaku_last_hour": lambda v: warehouse.ods_danmaku(warehouse.last_hour(v.danmaku)),
     "dwd_danmaku": lambda v: warehouse.dwd_danmaku(v.danmaku, v.rooms),
     "dws_room_minute": lambda v: warehouse.dws_room_minute(
-        warehouse.ods_room_info(v.live_metrics), warehouse.ods_danmaku(v.danmaku)
+        warehouse.ods_room_info(v.live_metrics), warehouse.ods_danmaku(v.signals.withColumn("text", F.lit(None)))
     ),
     "dws_live_minute": lambda v: warehouse.dws_live_minute(v.signals, v.sales, v.gift_prices, v.rooms),
     "ads_user_segments": lambda v: warehouse.ads_user_segments(v.signals, "2024-01-31"),
