@@ -4,9 +4,10 @@ import pytest
 from conftest import CHECKED
 from oracle_check import compare, connect
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import LLM_ORACLE, LLM_QUERIES, entry, oracle_sql, queries
 
-BUILDS, SQLS = queries(), oracle_sql()
+BUILDS = {name: build for name, build in queries().items() if name not in LLM_QUERIES}
+SQLS = {name: sql for name, sql in oracle_sql().items() if name not in LLM_ORACLE}
 
 
 @pytest.fixture(scope="module")
