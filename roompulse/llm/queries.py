@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from roompulse.llm.lines import OP7_SQL, op7_line_dedup
+from roompulse.llm.minhash import op5_minhash_near_dedup
 from roompulse.llm.packing import op4_best_fit_packing
 from roompulse.llm.token_files import op9_token_files
 
 QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op7_line_dedup": op7_line_dedup,
     "op9_token_files": op9_token_files,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op7_line_dedup": OP7_SQL,
+}
