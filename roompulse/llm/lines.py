@@ -78,8 +78,10 @@ class LineRuns:
     def _merged(self, names: list[str]) -> DataFrame:
         rows = self.spark.table(names[0])
         for name in names[1:]:
-            rows = rows.unionByName(self.spark.table(name))
-        return rows.groupBy("key").agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"))
+            other = self.spark.table(name).select("key", F.col("n_docs").alias("n"), F.col("keeper").alias("top"))
+            n_docs = F.coalesce("n_docs", F.lit(0)) + F.coalesce("n", F.lit(0))
+            rows = rows.join(other.hint("merge"), "key", "full_outer").select("key", n_docs.alias("n_docs"), F.greatest("keeper", "top").alias("keeper"))
+        return rows
 
     def _written(self, rows: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
