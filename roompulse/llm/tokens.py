@@ -14,8 +14,8 @@ WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 
 #: Bounds of the two memories of a worker, in entries; words longer than WORD_BYTES are not remembered.
-WORDS_KEPT = 300_000
-PIECES_KEPT = 200_000
+WORDS_KEPT = 1_000_000
+PIECES_KEPT = 600_000
 WORD_BYTES = 64
 
 #: Words of printable ASCII and the letters of Latin-1 are in NFC, and lower-case letter by letter.
