@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from roompulse.llm.chat import OP3_SQL, op3_chat_formatting
 from roompulse.llm.decontaminate import OP8_SQL, op8_benchmark_decontamination
+from roompulse.llm.language import op6_language_id
 from roompulse.llm.lines import OP7_SQL, op7_line_dedup
 from roompulse.llm.minhash import op5_minhash_near_dedup
 from roompulse.llm.packing import op4_best_fit_packing
+from roompulse.llm.suffix_dedup import op2_suffix_array_dedup
 from roompulse.llm.token_files import op9_token_files
 
 QUERIES = {
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_language_id": op6_language_id,
     "op7_line_dedup": op7_line_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_token_files": op9_token_files,
