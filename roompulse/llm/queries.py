@@ -7,11 +7,14 @@ from roompulse.llm.decontaminate import OP8_SQL, op8_benchmark_decontamination
 from roompulse.llm.language import op6_language_id
 from roompulse.llm.lines import OP7_SQL, op7_line_dedup
 from roompulse.llm.minhash import op5_minhash_near_dedup
+from roompulse.llm.neighbours import op10_nearest_neighbours
 from roompulse.llm.packing import op4_best_fit_packing
 from roompulse.llm.suffix_dedup import op2_suffix_array_dedup
+from roompulse.llm.token_counts import op1_token_counts
 from roompulse.llm.token_files import op9_token_files
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_best_fit_packing": op4_best_fit_packing,
@@ -20,6 +23,7 @@ QUERIES = {
     "op7_line_dedup": op7_line_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_token_files": op9_token_files,
+    "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 
 ORACLE = {
