@@ -74,7 +74,7 @@ def positions(rows: DataFrame, n: int, keys: list[str], sentinel: bool) -> DataF
 
 
 def occurrences(docs: DataFrame, windows: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(row, doc_id, n_words, start, length, id): a row for each occurrence of a window, and one without id for each document."""
+    """(row, doc_id, digest of the text, n_words, start, length, id): a row for each occurrence of a window, and one without id for each document."""
     windows = stored(windows, "decontamination-windows")
     n_windows, shortest = windows.agg(F.count("*"), F.min("length")).first()
     sizes = [shingle_words, *range(min(shortest or shingle_words, shingle_words), shingle_words)]
@@ -89,24 +89,24 @@ def occurrences(docs: DataFrame, windows: DataFrame, shingle_words: int = SHINGL
     counts = reduce(DataFrame.unionByName, counted).groupBy("size", "h").agg(F.max("n").alias("n"))
     counts = stored(counts, "decontamination-counts")
 
-    numbered = with_words(docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row")), "doc_id", "row")
+    numbered = with_words(docs.select("doc_id", "text", F.md5("text").alias("digest"), F.monotonically_increasing_id().alias("row")), "doc_id", "digest", "row")
     found = []
     for n, s, part in cut:
         ranked = window_shingles(part, n, shingle_words).join(counts.where(F.col("size") == n), "h", "left")
         rarest = ranked.groupBy("id").agg(F.min_by(F.struct("h", "offset", "n", "window", "length"), F.struct(F.coalesce("n", F.lit(0)), "h", "offset")).alias("p"))
         prefixes = rarest.where(F.col("p.n").isNotNull()).select("id", F.col("p.h").alias("prefix"), F.col("p.offset").alias("offset"), F.col("p.window").alias("window"), F.col("p.length").alias("length"))
         first = n == shingle_words and s == 0
-        at = positions(numbered, n, ["row", "doc_id"], first)
+        at = positions(numbered, n, ["row", "doc_id", "digest"], first)
         start = F.col("i") - F.col("offset")
         inside = (F.col("h") == F.col("prefix")) & (start >= 0) & (start + F.col("length") <= F.col("n_words"))
         exact = F.slice("words", F.greatest(start, F.lit(0)) + 1, F.col("length")) == F.col("window")
         joined = at.join(F.broadcast(prefixes), inside & exact, "left" if first else "inner")
-        found.append(joined.where((F.col("i") == -1) | F.col("id").isNotNull()).select("row", "doc_id", "n_words", start.alias("start"), "length", "id"))
+        found.append(joined.where((F.col("i") == -1) | F.col("id").isNotNull()).select("row", "doc_id", "digest", "n_words", start.alias("start"), "length", "id"))
     return reduce(DataFrame.unionByName, found)
 
 
 def judged(docs: DataFrame, items: DataFrame, width: int = WINDOW_WORDS, share: int = SHARE) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for each row of (doc_id, text)."""
+    """doc_id, the text's md5 digest, n_words, n_hit, n_items, items_sha256, contaminated for each row of (doc_id, text)."""
     held = item_windows(items.select("item_id", "text"), width)
     windows = held.groupBy("id").agg(F.first("window").alias("window"), F.first("length").alias("length"))
     found = stored(occurrences(docs.select("doc_id", "text"), windows), "decontamination-found")
@@ -117,12 +117,12 @@ def judged(docs: DataFrame, items: DataFrame, width: int = WINDOW_WORDS, share:
     covered = spans.withColumn("fresh", fresh).groupBy("row").agg(F.sum("fresh").alias("n_hit"))
     listed = hits.select("row", "id").distinct().join(held.where(F.col("item_id").isNotNull()).select("id", F.col("item_id").cast("string").alias("item")).distinct(), "id")
     listed = listed.select("row", "item").distinct().groupBy("row").agg(F.count("*").alias("n_items"), F.array_sort(F.collect_list("item")).alias("items"))
-    rows = found.where(F.col("id").isNull()).select("row", "doc_id", "n_words").join(covered, "row", "left").join(listed, "row", "left")
+    rows = found.where(F.col("id").isNull()).select("row", "doc_id", "digest", "n_words").join(covered, "row", "left").join(listed, "row", "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     items_text = F.concat_ws(",", F.coalesce("items", F.array().cast("array<string>")))
     return rows.select(
-        "row",
         "doc_id",
+        "digest",
         F.col("n_words").cast("long").alias("n_words"),
         n_hit.alias("n_hit"),
         F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
@@ -132,7 +132,7 @@ def judged(docs: DataFrame, items: DataFrame, width: int = WINDOW_WORDS, share:
 
 
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row")
+    return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("digest")
 
 
 OP8_SQL = r"""

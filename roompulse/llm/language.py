@@ -47,7 +47,6 @@ MARK = "▁"
 WORD = re.compile(r"[^\W\d_]+")
 _WORD_ARROW = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
 _COUNT_ARROW = pa.schema([("lang", pa.int32()), ("piece", pa.int32()), ("n", pa.float64())])
-_SCORE_ARROW = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
 
 def stretches(text: str) -> list[str]:
@@ -200,48 +199,55 @@ def fitted(docs: DataFrame, path: str, train_docs: int = TRAIN_DOCS, rounds: int
 
 
 def scored(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """doc_id, held_out, lang_pred and score of every row; only the text decides."""
+    """Every row's columns, with held_out, lang_pred and score as a struct ``language``; only the text decides."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    answer = pa.struct([("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
-    def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    def answers(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        own, known, table_ = pieces(m.path), {}, np.zeros((1 << 16, len(m.langs)))
+        own, known, logs = pieces(m.path), {}, np.zeros((1 << 16, len(m.langs)))
 
         def numbered(words: list[str]) -> list[int]:
-            nonlocal table_
-            fresh = list(set(words) - known.keys())
+            nonlocal logs
+            fresh = list({w for w in words if w not in known})
+            if len(known) + len(fresh) > WORDS_KEPT:
+                known.clear()
+                fresh = list(set(words))
             if fresh:
-                if len(known) + len(fresh) > WORDS_KEPT:
-                    known.clear()
-                    fresh = list(set(words))
                 at = len(known)
-                while at + len(fresh) > len(table_):
-                    table_ = np.vstack([table_, np.zeros_like(table_)])
-                table_[at : at + len(fresh)] = likelihoods(fresh, own, m.probabilities)
+                while at + len(fresh) > len(logs):
+                    logs = np.vstack([logs, np.zeros_like(logs)])
+                logs[at : at + len(fresh)] = likelihoods(fresh, own, m.probabilities)
                 known.update(zip(fresh, range(at, at + len(fresh))))
             return list(map(known.__getitem__, words))
 
+        def judged(words: list[str]) -> tuple[str, float]:
+            if not words:
+                return UNDETERMINED, 0.0
+            total = np.zeros(len(m.langs)) + m.priors
+            for at in range(0, len(words), WORDS_KEPT // 2):
+                numbers = numbered(words[at : at + WORDS_KEPT // 2])
+                total += logs[numbers].sum(axis=0)
+            best = int(total.argmax())
+            return m.langs[best], float(1 / np.exp(total - total[best]).sum())
+
         for part in parts:
-            held = part.column("held_out").to_pylist()
-            ids = part.column("doc_id").to_pylist()
-            texts = part.column("text")
-            for lo in range(0, len(ids), 64):
-                cut = [stretches(t.as_py().decode("utf-8", "replace")) for t in texts[lo : lo + 64]] if m.langs else [[]] * len(ids[lo : lo + 64])
-                numbers = np.array(numbered([w for words in cut for w in words]), np.int64)
-                at = 0
-                for doc_id, held_, words in zip(ids[lo : lo + 64], held[lo : lo + 64], cut):
-                    if not words:
-                        yield doc_id, held_, UNDETERMINED, 0.0
-                        continue
-                    total = table_[numbers[at : at + len(words)]].sum(axis=0) + m.priors
-                    at += len(words)
-                    best = int(total.argmax())
-                    yield doc_id, held_, m.langs[best], float(1 / np.exp(total - total[best]).sum())
-
-    texts = docs.select(F.col("doc_id").cast("long"), held_out().alias("held_out"), text_bytes().alias("text"))
-    return texts.mapInArrow(lambda parts: batches(_SCORE_ARROW, rows(parts)), "doc_id bigint, held_out boolean, lang_pred string, score double")
+            found = []
+            for lo in range(0, part.num_rows, 64):
+                cut = [stretches(t.as_py().decode("utf-8", "replace")) if m.langs else [] for t in part.column("text")[lo : lo + 64]]
+                if sum(map(len, cut)) < WORDS_KEPT:
+                    numbered([w for words in cut for w in words])  # fresh words of many texts at once
+                found += map(judged, cut)
+            columns = [part.column("held_out"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+            language = pa.StructArray.from_arrays(columns, fields=list(answer))
+            yield pa.RecordBatch.from_arrays([part.column("row"), language], names=["row", "language"])
+
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), held_out().alias("held_out"), text_bytes().alias("text"))
+    row_type = rows.schema["row"].dataType.simpleString()
+    return rows.mapInArrow(answers, f"row {row_type}, language struct<held_out: boolean, lang_pred: string, score: double>")
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return scored(docs, fitted(docs, vocabulary(VOCABULARY)))
+    found = scored(docs.select("doc_id", "text"), fitted(docs, vocabulary(VOCABULARY)))
+    return found.select("row.doc_id", "language.*")
