@@ -102,9 +102,12 @@ class LineRuns:
 def frequent_lines(keys: DataFrame, n_batches: int = BATCHES, min_docs: int = MIN_DOCS, fan_in: int = FAN_IN) -> DataFrame:
     """All keys through the store, batch by batch from the largest ids down, so most keepers come first."""
     runs = LineRuns(keys.sparkSession, min_docs, fan_in)
-    cuts = sorted(set(keys.approxQuantile("doc_id", [i / n_batches for i in range(1, n_batches)], 0.01)), reverse=True)
+    cuts = []
+    if n_batches > 1:
+        shares = F.array(*[F.lit(i / n_batches) for i in range(1, n_batches)])
+        cuts = sorted(set(keys.agg(F.percentile_approx("doc_id", shares, 1_000)).first()[0] or []), reverse=True)
     above = None
-    for cut in [*map(int, cuts), None]:
+    for cut in [*cuts, None]:
         part = keys if cut is None else keys.where(F.col("doc_id") >= cut)
         runs.add(part if above is None else part.where(F.col("doc_id") < above))
         above = cut

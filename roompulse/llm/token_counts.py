@@ -80,6 +80,8 @@ def token_counts(docs: DataFrame, vocabulary_path: str, rule: str = "most", sect
     if rule not in RULES:
         raise ValueError(f"rule is one of {RULES}")
 
+    given_sections = sections is not None
+
     def counted(doc_id, text: str, spans: np.ndarray, given) -> Iterator[tuple]:
         if given is None:
             names, (starts, ends) = None, line_bounds(text)
@@ -108,7 +110,7 @@ def token_counts(docs: DataFrame, vocabulary_path: str, rule: str = "most", sect
         for part in parts:
             given = part.column("sections").to_pylist() if "sections" in part.schema.names else [None] * part.num_rows
             for doc_id, text, own in zip(part.column("doc_id").to_pylist(), part.column("text"), given):
-                held.append((doc_id, text.as_py().decode("utf-8", "replace"), own if sections is None else own or []))
+                held.append((doc_id, text.as_py().decode("utf-8", "replace"), (own or []) if given_sections else None))
                 chars += len(held[-1][1])
                 if chars >= ENCODED_CHARS:
                     yield from made()
