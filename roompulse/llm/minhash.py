@@ -72,7 +72,7 @@ def shingles(text: bytes, n_words: int = SHINGLE_WORDS) -> np.ndarray:
     if len(_WORDS) > WORDS_KEPT:
         _WORDS.clear()
     known = _WORDS
-    for word in set(words) - known.keys():
+    for word in {w for w in words if w not in known}:
         known[word] = xxhash.xxh3_64_intdigest(word)
     h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     width = min(n_words, len(h))
