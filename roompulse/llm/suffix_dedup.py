@@ -267,11 +267,14 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Da
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(spans, span_type), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "removed", "kept"])
 
     found = stored(run_pass(runs(docs, width, gram), width), "suffix-runs")
-    texts = packed_texts(docs)
+    # Both joins ask for the same rows of the same exchange, so the texts are shuffled once.
+    texts = packed_texts(docs).where(F.col("doc_id").isNotNull())
+    nameless = packed_texts(docs.where(F.col("doc_id").isNull()))
     windows = window_pass(opened(texts, found.where("open"), width), width)
     gone = found.where(~F.col("open")).select("doc_id", "at", "length").unionByName(windows.withColumn("length", F.lit(width).cast("long")))
     by_doc = gone.groupBy("doc_id").agg(F.collect_list(F.struct("at", "length")).alias("parts"))
-    return texts.join(by_doc, "doc_id", "left").select("doc_id", "packed", "parts").mapInArrow(cut, "doc_id bigint, n_bytes bigint, removed array<struct<start: bigint, end: bigint>>, kept binary")
+    rows = texts.join(by_doc, "doc_id", "left").select("doc_id", "packed", "parts").unionByName(nameless, allowMissingColumns=True)
+    return rows.mapInArrow(cut, "doc_id bigint, n_bytes bigint, removed array<struct<start: bigint, end: bigint>>, kept binary")
 
 
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
