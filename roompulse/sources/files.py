@@ -10,23 +10,13 @@ from pyspark.sql.types import StructType
 TSV_OPTIONS = {"sep": "\t", "header": "false", "quote": '"', "escape": '"', "nullValue": "", "emptyValue": ""}
 
 
-def read_tsv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_tsv(spark: SparkSession, path: str, schema: StructType, line_breaks: bool = False) -> DataFrame:
     """An external tab-separated table.
 
-    Texts may hold line breaks, so records are read whole; the sink keeps files
-    small enough for one task each.
+    With ``line_breaks`` quoted fields may hold line breaks; every file is then one
+    task, so that is for files of a sink that keeps them small.
     """
-    return spark.read.schema(schema).options(**TSV_OPTIONS, multiLine="true").csv(path)
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal a scan out over all cores if it has fewer splits than there are cores.
-
-    Narrow rows of a small or unsplittable file would otherwise be widened and cut
-    into words by one task.  A large table has enough splits and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+    return spark.read.schema(schema).options(**TSV_OPTIONS, multiLine=str(line_breaks).lower()).csv(path)
 
 
 def read_orc(spark: SparkSession, path: str) -> DataFrame:
@@ -43,8 +33,7 @@ def json_lines(spark: SparkSession, path: str, files_per_batch: int = 1) -> Data
     return lines.select(F.element_at(parts, -2).alias("topic"), "value")
 
 
-def parquet_stream(spark: SparkSession, folder: str, name: str, files_per_batch: int = 1) -> DataFrame:
-    """A parquet table of the data folder, as a stream of its files."""
-    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-    return stream.option("pathGlobFilter", f"{name}*.parquet").parquet(folder)
+def parquet_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
+    """A parquet table, in whatever files, as a stream; all files that are new at a trigger unless bounded."""
+    stream = spark.readStream.schema(schema)
+    return (stream.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else stream).parquet(path)

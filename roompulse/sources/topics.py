@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from roompulse.functions.times import parse_iso
+from roompulse.functions.times import iso_text, parse_iso
 from roompulse.operators.messages import decode_json
 from roompulse.schemas import TOPIC_CHAT, TOPIC_GIFT, TOPIC_MESSAGE, TOPIC_ROOM
 
@@ -42,8 +42,20 @@ def kafka_topics(spark: SparkSession, servers: str, **kwargs) -> DataFrame:
     return stream.select("topic", F.col("value").cast("string").alias("value"))
 
 
+def landing(raw: DataFrame, schema: StructType = TOPIC_MESSAGE) -> DataFrame:
+    """Every topic row: decoded fields, the text itself where it is damaged (``damaged``), and a time for all.
+
+    A message without a readable timestamp takes the time of its ingestion.
+    """
+    decoded = decode_json(raw, "value", schema)
+    broken = F.col("bad").isNotNull() | F.col("value").isNull()
+    rows = decoded.select("topic", "body.*", F.when(broken, F.coalesce("value", F.lit(""))).alias("damaged"))
+    stamp = F.when(parse_iso(F.col("timestamp")).isNotNull(), F.col("timestamp"))
+    return rows.withColumn("timestamp", F.coalesce(stamp, iso_text(F.current_timestamp())))
+
+
 def messages(raw: DataFrame, schema: StructType = TOPIC_MESSAGE, late: str | None = "5 seconds") -> DataFrame:
-    """Decoded topic rows with ``event_time``; damaged and undated ones are left out.
+    """Decoded topic rows with ``event_time``, for windows; damaged and undated ones have no window and are left out.
 
     On a stream ``late`` sets the watermark.
     """

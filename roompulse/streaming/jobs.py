@@ -18,7 +18,7 @@ from roompulse.operators.messages import audience_rows, message_rows, metric_row
 from roompulse.operators.windows import gift_amount, room_minute_agg, room_signals, room_snapshot, tumble_counts
 from roompulse.schemas import TOPIC_CHAT, TOPIC_GIFT, TOPIC_ROOM
 from roompulse.sinks.batches import append_batches, read_batches, route_batches
-from roompulse.sources.topics import messages
+from roompulse.sources.topics import landing, messages
 from roompulse.streaming.state import alert_stream
 
 FLUSH_EVERY = "10 seconds"
@@ -74,9 +74,14 @@ def watch_audience(samples: DataFrame, path: str, checkpoint: str, once=False) -
 
 
 def store_messages(raw: DataFrame, rooms: DataFrame, root: str, checkpoint: str, once=False) -> StreamingQuery:
-    """Spread the topics over the message, audience and metrics tables."""
-    rows = named_rooms(messages(raw, late=None), rooms)
-    routes = {"danmaku": message_rows, "room_stats": audience_rows, "live_metrics": metric_rows}
+    """Spread the topics over the message, audience and metrics tables; damaged messages go to ``quarantine``."""
+    rows = named_rooms(landing(raw), rooms)
+
+    def whole(table: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+        return lambda df: table(df.filter(F.col("damaged").isNull()))
+
+    routes = {"danmaku": whole(message_rows), "room_stats": whole(audience_rows), "live_metrics": whole(metric_rows)}
+    routes["quarantine"] = lambda df: df.filter(F.col("damaged").isNotNull()).select("topic", "damaged", "timestamp")
     return run(rows, route_batches(routes, root), checkpoint, "append", once)
 
 

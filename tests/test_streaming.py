@@ -4,11 +4,12 @@ import datetime as dt
 import json
 
 import pytest
+from conftest import SMALL
 from pyspark.sql import functions as F
 
 from roompulse.operators import messages as m
 from roompulse.operators import windows
-from roompulse.plans.catalog import envelopes, topic_messages
+from roompulse.plans.catalog import bound, envelopes, topic_messages
 from roompulse.schemas import ENVELOPE, TOPIC_CHAT, TOPIC_GIFT, TOPIC_ROOM
 from roompulse.sinks.batches import append_batches, read_batches, upserted
 from roompulse.sources.files import json_lines
@@ -181,6 +182,8 @@ def test_alert_state_equals_batch_windows(spark, views, tmp_path):
     cuts = [-1, *bounds, 10**9]
     for i, (low, high) in enumerate(zip(cuts, cuts[1:])):
         ordered.filter((F.col("id") > low) & (F.col("id") <= high)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in" / f"p{i}"))
+    closing = ordered.orderBy(F.col("event_time").desc()).limit(1).withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 1 DAY"))
+    closing.write.parquet(str(tmp_path / "in" / "p9"))
     stream = (
         spark.readStream.schema(ordered.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
     )
@@ -190,6 +193,28 @@ def test_alert_state_equals_batch_windows(spark, views, tmp_path):
     assert want and got == want
 
 
+@pytest.mark.parametrize("layout", ["folder", "hashed"])
+def test_replays_do_not_depend_on_files(spark, tmp_path, layout):
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    dealt = events.coalesce(1) if layout == "folder" else events.repartition(4, F.xxhash64("event_id"))
+    dealt.write.parquet(str(tmp_path / "events.parquet"))
+    spark.read.parquet(f"{SMALL}/region.parquet").write.parquet(str(tmp_path / "region.parquet"))
+    for name in ("danmaku_tumble_1m", "room_minute_agg", "online_alerts"):
+        got, want = bound(f"stream_{name}")(spark, str(tmp_path)), bound(name)(spark, SMALL)
+        assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_landing_loses_nothing(spark, views, tmp_path):
+    source, root = tmp_path / "in", str(tmp_path / "tables")
+    undated, odd = {**chat(1), "timestamp": None}, {**chat(2), "timestamp": "2024-01-01T12:00:00.123+08:00?"}
+    put(source, TOPIC_CHAT, 0, [chat(0), undated, odd, "{damaged", "no json"])
+    finish(jobs.store_messages(json_lines(spark, str(source)), views.rooms, root, str(tmp_path / "cp"), once=True))
+    kept = read_batches(spark, f"{root}/danmaku").collect()
+    aside = read_batches(spark, f"{root}/quarantine").collect()
+    assert len(kept) == 3 and all(r.event_time is not None for r in kept)
+    assert sorted(r.damaged for r in aside) == ["no json", "{damaged"]
+
+
 def test_envelopes_are_routed_by_type(spark, views, tmp_path):
     rows = envelopes(views)
     rows.select("method", "room_id", "payload", "timestamp").write.parquet(str(tmp_path / "in"))
