@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from roompulse.functions.numbers import percent, ratio, whole_div
 from roompulse.functions.texts import like_pattern
 from roompulse.functions.times import CLOCK_MINUTE, clock, micros_between, minute_of, minutes
-from roompulse.operators.common import newest_rows, only, small_side, top_per_key, upper_medians
+from roompulse.operators.common import newest_rows, only, top_per_key, upper_medians
 
 # Tiers by number of chats, lowest bound and label.
 TIERS = (
@@ -288,7 +288,7 @@ def user_journey(
     active = chats_per_user(danmaku if counted is None else counted, room).filter((F.col("cnt") >= min_chats) & F.col("username").isNotNull())
     draw = F.md5(F.concat(F.lit(seed), F.col("username")))
     sample = top_per_key(active, ["room_name"], (draw.asc(), F.col("username").asc()), users)
-    chosen = small_side(sample.select("room_name", "username"))
+    chosen = sample.select("room_name", "username")
     mine = danmaku.join(chosen, ["room_name", "username"], "left_semi")
     key = ["room_name", "username"]
     early = top_per_key(mine, key, (F.col("id").asc(),), events, "seq")

@@ -11,12 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Spark replaces ``row_number() <= k`` by a limit per task before the shuffle up
-# to this k (its default threshold), so larger k get an explicit first round.
-NATIVE_GROUP_LIMIT = 1000
-SALTS = 64
 BLOCK_ROWS = 100_000
-BROADCAST_ROWS = 500_000
 
 
 def only(df: DataFrame, **equal: object) -> DataFrame:
@@ -32,26 +27,24 @@ def top_per_key(
 ) -> DataFrame:
     """The first ``k`` rows of every key in ``order``, numbered from 1.
 
-    The order must be total, else ties are arbitrary.
+    The order must be total, else ties are arbitrary.  Each task cuts its own rows
+    to ``k`` before the shuffle (see ``windowGroupLimitThreshold`` in the session).
     """
-    if k > NATIVE_GROUP_LIMIT:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(SALTS)).alias("__salt")
-        df = df.withColumn("__salt", salt)
-        first = Window.partitionBy(*keys, "__salt").orderBy(*order)
-        df = df.withColumn("__rn", F.row_number().over(first)).filter(F.col("__rn") <= k).drop("__rn", "__salt")
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
 
 
 def newest_rows(df: DataFrame, keys: Sequence[str], id_column: str, k: int, rank: str = "rank") -> DataFrame:
-    """The ``k`` rows of every key with the highest ids, numbered from 1.
+    """The ``k`` rows of every key with the highest ids, numbered from 1; rows of one id follow their other columns.
 
-    The choice is made on keys and ids alone; the wide columns are fetched for the
-    chosen rows afterwards and never sorted.
+    Keys and ids alone give each key's least id that can still be among them; only
+    rows from there on are ranked with their wide columns.
     """
-    narrow = df.select(*keys, id_column)
-    chosen = top_per_key(narrow, keys, (F.col(id_column).desc(),), k, rank)
-    return df.join(small_side(chosen), [*keys, id_column])
+    narrow = top_per_key(df.select(*keys, id_column), keys, (F.col(id_column).desc(),), k, rank)
+    least = narrow.groupBy(*keys).agg(F.min(id_column).alias("__least"))
+    near = df.join(least, [*keys]).filter(F.col(id_column) >= F.col("__least")).drop("__least")
+    rest = [F.col(c) for c in df.columns if c not in (*keys, id_column)]
+    return top_per_key(near, keys, (F.col(id_column).desc(), *rest), k, rank)
 
 
 def row_index(df: DataFrame, keys: Sequence[str], ts: str, tie: str, index: str = "row_ix") -> DataFrame:
@@ -116,14 +109,3 @@ def upper_medians(df: DataFrame, keys: Sequence[str], names: dict[str, str]) ->
     past_half = F.col("__upto") > F.floor(F.col("__all") / 2)
     medians = [F.min(F.when(F.col("__name") == n, F.col("__value"))).alias(n) for n in names.values()]
     return ranked.filter(past_half).groupBy(*keys).agg(*medians)
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it really has at most ``max_rows`` rows.
-
-    The check stops counting after ``max_rows``; a larger frame is returned
-    unmarked and joins by shuffle, with skewed partitions split at run time.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

@@ -9,9 +9,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 from roompulse.functions.times import parse_iso
 from roompulse.schemas import PAYLOAD, ROOM_RECORD, TOPIC_CHAT, TOPIC_GIFT, TOPIC_ROOM
 
-# Column widths of the message tables, in characters.
-WIDTHS = {"room_name": 50, "username": 100, "text": 500, "title": 200, "streamer": 100}
-
 # Status code of a running broadcast and the two labels.
 STATUS_LIVE = 2
 LIVE, NOT_LIVE = "直播中", "未开播"
@@ -50,11 +47,10 @@ def decode_json(df: DataFrame, value: str, schema: StructType) -> DataFrame:
     return body.withColumn("body", fields).withColumn("bad", F.col("__p._bad")).drop("__p")
 
 
-def json_quarantine(df: DataFrame, value: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
-    """Decoded rows, and the rows kept aside because they are not JSON."""
+def json_quarantine(df: DataFrame, value: str, schema: StructType) -> DataFrame:
+    """All rows, parsed once: ``body``, and the flag ``bad`` on those to be kept aside because they are not JSON."""
     decoded = decode_json(df, value, schema)
-    ok = F.col("bad").isNull() & F.col(value).isNotNull()
-    return decoded.filter(ok).drop("bad"), decoded.filter(~ok).drop("body", "bad")
+    return decoded.withColumn("bad", F.col("bad").isNotNull() | F.col(value).isNull())
 
 
 def encode_json(df: DataFrame, *columns: str) -> Column:
@@ -62,9 +58,9 @@ def encode_json(df: DataFrame, *columns: str) -> Column:
     return F.to_json(F.struct(*[F.col(c) for c in (columns or df.columns)]))
 
 
-def cut(name: str) -> Column:
-    """A text column with null as empty, cut to the width of its table column."""
-    return F.substring(F.coalesce(name, F.lit("")), 1, WIDTHS[name]).alias(name)
+def whole(name: str) -> Column:
+    """A text column with null as empty."""
+    return F.coalesce(name, F.lit("")).alias(name)
 
 
 def named_rooms(df: DataFrame, rooms: DataFrame) -> DataFrame:
@@ -78,11 +74,11 @@ def named_rooms(df: DataFrame, rooms: DataFrame) -> DataFrame:
 def message_rows(messages: DataFrame) -> DataFrame:
     """Chat and gift messages as rows of one table; columns a topic lacks stay null."""
     chat = messages.filter(F.col("topic") == TOPIC_CHAT).select(
-        "room_id", cut("room_name"), cut("username"), F.coalesce("user_id", F.lit("")).alias("user_id"), cut("text"),
+        "room_id", whole("room_name"), whole("username"), F.coalesce("user_id", F.lit("")).alias("user_id"), whole("text"),
         F.lit("chat").alias("msg_type"), "timestamp",
     )
     gift = messages.filter(F.col("topic") == TOPIC_GIFT).select(
-        "room_id", cut("room_name"), cut("username"), F.coalesce("gift_name", F.lit("")).alias("gift_name"),
+        "room_id", whole("room_name"), whole("username"), F.coalesce("gift_name", F.lit("")).alias("gift_name"),
         F.coalesce("gift_count", F.lit(1)).alias("gift_count"), F.lit("gift").alias("msg_type"), "timestamp",
     )
     return chat.unionByName(gift, allowMissingColumns=True).withColumn("event_time", parse_iso(F.col("timestamp")))
@@ -100,7 +96,7 @@ def metric_rows(messages: DataFrame) -> DataFrame:
 
     sampled = messages.filter((F.col("topic") == TOPIC_ROOM) & ~is_socket(messages))
     return sampled.select(
-        "room_id", cut("room_name"), cut("title"), cut("streamer"), F.coalesce("online", F.lit("")).alias("online"),
+        "room_id", whole("room_name"), whole("title"), whole("streamer"), F.coalesce("online", F.lit("")).alias("online"),
         F.coalesce("like_count", F.lit(0)).alias("like_count"), F.coalesce("status", F.lit("")).alias("status"),
         flag("has_cart"), F.coalesce("cart_total", F.lit(0)).alias("cart_total"), flag("has_commerce"), "timestamp",
     ).withColumn("event_time", parse_iso(F.col("timestamp")))
@@ -110,7 +106,7 @@ def audience_rows(messages: DataFrame) -> DataFrame:
     """Audience samples of the socket as table rows."""
     sampled = messages.filter((F.col("topic") == TOPIC_ROOM) & is_socket(messages))
     return sampled.select(
-        "room_id", cut("room_name"), F.coalesce(F.col("online").try_cast("bigint"), F.lit(0)).alias("online_count"),
+        "room_id", whole("room_name"), F.coalesce(F.col("online").try_cast("bigint"), F.lit(0)).alias("online_count"),
         F.coalesce("total_users", F.lit("")).alias("total_users"), "timestamp",
     ).withColumn("event_time", parse_iso(F.col("timestamp")))
 

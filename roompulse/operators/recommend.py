@@ -1,27 +1,19 @@
 """Co-purchase recommendations and association rules over customer baskets.
 
-Counting item pairs is quadratic in the basket, so baskets are treated by size:
-
-* ordinary baskets join on the customer alone;
-* baskets above ``BLOCK_ITEMS`` are cut into blocks of items and joined block by
-  block, so that one customer's pairs spread over many tasks;
-* the few largest baskets above ``GIANT_ITEMS`` are not paired at all.  Items
-  carry a bit per giant basket, and the bits two items share give the exact
-  number of giant baskets that hold both.
+Counting item pairs is quadratic in the basket, so every basket is cut into blocks
+of at most about ``BLOCK_ITEMS`` items and joined block by block: an ordinary basket
+is one block, and one customer's many pairs spread over many tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roompulse.functions.numbers import half_up, ratio
 from roompulse.operators.common import only, top_per_key
 
 BLOCK_ITEMS = 512
-GIANT_ITEMS = 4096
-# At most three keys can each hold a third of all rows.
-GIANT_BASKETS = 3
 
 
 def baskets(orders: DataFrame, room: str | None = None) -> DataFrame:
@@ -36,94 +28,20 @@ def item_details(orders: DataFrame) -> DataFrame:
     return spellings.groupBy("product_id").agg(details.alias("d")).select("product_id", "d.product_name", "d.category")
 
 
-def _largest_baskets(items: DataFrame, how_many: int, giant_items: int) -> tuple[list, int]:
-    """Customers of giant baskets, at most ``how_many``, and the size of the largest other basket.
-
-    A top-n of ``how_many + 1`` rows is all that reaches the driver.  It lets the
-    usual case, no large basket at all, keep a plan without the branches for them.
-    """
-    sizes = items.groupBy("customer_id").agg(F.count("*").alias("n"))
-    top = sizes.orderBy(F.col("n").desc(), F.col("customer_id").asc()).limit(how_many + 1).collect()
-    giants = [row.customer_id for row in top[:how_many] if row.n > giant_items]
-    rest = top[len(giants) :]
-    return giants, rest[0].n if rest else 0
-
-
-def _masks(items: DataFrame, giants: list) -> DataFrame:
-    """(product, mask) with one bit per giant basket that holds the product."""
-    bit = F.lit(0)
-    for i, customer in enumerate(giants):
-        bit = F.when(F.col("customer_id") == customer, F.lit(1 << i)).otherwise(bit)
-    mine = items.filter(F.col("customer_id").isin(giants))
-    return mine.groupBy("product_id").agg(F.bit_or(bit).alias("mask"))
-
-
-def pair_counts(items: DataFrame, largest: int, block_items: int = BLOCK_ITEMS) -> DataFrame:
+def pair_counts(items: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """Customers holding both products of every pair ``p1 < p2`` bought together.
 
-    ``largest`` is the size of the largest basket in ``items``.
+    Counts are combined in each task before the pairs are shuffled.
     """
-    if largest <= block_items:
-        return _plain_pairs(items).groupBy("p1", "p2").agg(F.count("*").alias("co_count"))
-    size = F.count("*").over(Window.partitionBy("customer_id"))
-    sized = items.withColumn("n", size).filter(F.col("n") > 1)
-    plain = _plain_pairs(sized.filter(F.col("n") <= block_items))
-
+    sizes = items.groupBy("customer_id").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
     blocks = F.ceil(F.col("n") / F.lit(block_items)).cast("int")
-    large = sized.filter(F.col("n") > block_items).withColumn("blocks", blocks)
+    sized = items.join(sizes.select("customer_id", blocks.alias("blocks")), "customer_id")
     own = F.pmod(F.xxhash64("product_id"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = large.select("customer_id", F.col("product_id").alias("p1"), own.alias("block_1"), other.alias("block_2"))
-    right = large.select("customer_id", F.col("product_id").alias("p2"), own.alias("block_2"), other.alias("block_1"))
-    key = ["customer_id", "block_1", "block_2"]
-    blockwise = left.repartition(*key).join(right.repartition(*key), key).filter(F.col("p1") < F.col("p2"))
-    return plain.unionByName(blockwise.select("p1", "p2")).groupBy("p1", "p2").agg(F.count("*").alias("co_count"))
-
-
-def _plain_pairs(items: DataFrame) -> DataFrame:
-    a = items.select("customer_id", F.col("product_id").alias("p1"))
-    b = items.select("customer_id", F.col("product_id").alias("p2"))
-    return a.join(b, "customer_id").filter(F.col("p1") < F.col("p2")).select("p1", "p2")
-
-
-def _all_pairs(items: DataFrame, how_many: int, giant_items: int, block_items: int) -> tuple[DataFrame, list]:
-    """Exact counts of the pairs found outside giant baskets, and those baskets' customers."""
-    giants, largest = _largest_baskets(items, how_many, giant_items)
-    if not giants:
-        return pair_counts(items, largest, block_items), giants
-    others = items.filter(~F.col("customer_id").isin(giants))
-    masks = _masks(items, giants)
-    m1 = masks.select(F.col("product_id").alias("p1"), F.col("mask").alias("m1"))
-    m2 = masks.select(F.col("product_id").alias("p2"), F.col("mask").alias("m2"))
-    counted = pair_counts(others, largest, block_items).join(m1, "p1", "left").join(m2, "p2", "left")
-    total = F.col("co_count") + _shared("m1", "m2")
-    return counted.select("p1", "p2", total.alias("co_count")), giants
-
-
-def _shared(left: str, right: str) -> Column:
-    return F.bit_count(F.coalesce(left, F.lit(0)).bitwiseAND(F.coalesce(right, F.lit(0))))
-
-
-def _giant_candidates(masks: DataFrame, how_many: int, k: int) -> DataFrame:
-    """For items of giant baskets, the partners that can rank by giant baskets alone.
-
-    Items with the same mask score alike, so from each of the few masks only the
-    ``k + 1`` lowest ids can reach a top ``k``; ids already paired through other
-    baskets only score higher than counted here and are merged by maximum.
-    """
-    lowest = top_per_key(masks, ["mask"], (F.col("product_id").asc(),), k + 1)
-    partner = lowest.groupBy("mask").agg(F.collect_list("product_id").alias("partners"))
-    partner = partner.withColumnRenamed("mask", "partner_mask")
-    every = F.explode(F.sequence(F.lit(1), F.lit((1 << how_many) - 1))).alias("partner_mask")
-    # ``partner`` has at most 2^how_many - 1 rows of k + 1 ids.
-    return (
-        masks.select("product_id", "mask", every)
-        .withColumn("score", F.bit_count(F.col("mask").bitwiseAND(F.col("partner_mask"))).cast("bigint"))
-        .filter(F.col("score") > 0)
-        .join(F.broadcast(partner), "partner_mask")
-        .select("product_id", F.explode("partners").alias("rec_product_id"), "score")
-        .filter(F.col("product_id") != F.col("rec_product_id"))
-    )
+    left = sized.select("customer_id", F.col("product_id").alias("p1"), own.alias("block_1"), other.alias("block_2"))
+    right = sized.select("customer_id", F.col("product_id").alias("p2"), own.alias("block_2"), other.alias("block_1"))
+    pairs = left.join(right, ["customer_id", "block_1", "block_2"]).filter(F.col("p1") < F.col("p2"))
+    return pairs.groupBy("p1", "p2").agg(F.count("*").alias("co_count"))
 
 
 def cooccurrence_recs(
@@ -131,8 +49,6 @@ def cooccurrence_recs(
     k: int = 5,
     room: str | None = None,
     block_items: int = BLOCK_ITEMS,
-    giant_items: int = GIANT_ITEMS,
-    giants: int = GIANT_BASKETS,
     details: DataFrame | None = None,
 ) -> DataFrame:
     """For every product, the ``k`` products most often bought by the same customers.
@@ -140,8 +56,7 @@ def cooccurrence_recs(
     ``details`` names the products; without it names are gathered from the orders.
     """
     orders = only(orders, room_name=room)
-    items = baskets(orders)
-    counted, giant_ids = _all_pairs(items, giants, giant_items, block_items)
+    counted = pair_counts(baskets(orders), block_items)
     both_ways = F.inline(
         F.array(
             F.struct(F.col("p1").alias("product_id"), F.col("p2").alias("rec_product_id")),
@@ -150,11 +65,6 @@ def cooccurrence_recs(
     )
     scored = counted.select(F.col("co_count").alias("score"), both_ways).select("product_id", "rec_product_id", "score")
     order = (F.col("score").desc(), F.col("rec_product_id").asc())
-    if giant_ids:
-        # A pair outside its product's first k here is beaten by k others anyway.
-        first = top_per_key(scored, ["product_id"], order, k).drop("rank")
-        also = _giant_candidates(_masks(items, giant_ids), len(giant_ids), k)
-        scored = first.unionByName(also).groupBy("product_id", "rec_product_id").agg(F.max("score").alias("score"))
     best = top_per_key(scored, ["product_id"], order, k)
     details = item_details(orders) if details is None else details.select("product_id", "product_name", "category")
     rec = details.select(
@@ -176,14 +86,11 @@ def association_rules(
     both_directions: bool = False,
     max_pairs: int | None = None,
     block_items: int = BLOCK_ITEMS,
-    giant_items: int = GIANT_ITEMS,
     details: DataFrame | None = None,
 ) -> DataFrame:
     """Rules "bought A, bought B" by lift.
 
     Items below ``min_support`` cannot be in a rule and leave before the pairing.
-    Up to ``min_support - 1`` giant baskets stay out of it as well: alone they
-    cannot lift a pair to the support, so every rule shows in the other baskets.
     """
     orders = only(orders, room_name=room)
     items = baskets(orders)
@@ -191,9 +98,7 @@ def association_rules(
     counts = items.groupBy("product_id").agg(F.count("*").alias("buyers"))
     frequent = counts.filter(F.col("buyers") >= min_support)
     kept = items.join(frequent.select("product_id"), "product_id", "left_semi")
-    giants = max(0, min(GIANT_BASKETS, min_support - 1))
-    pairs, _ = _all_pairs(kept, giants, giant_items, block_items)
-    pairs = pairs.filter(F.col("co_count") >= min_support)
+    pairs = pair_counts(kept, block_items).filter(F.col("co_count") >= min_support)
     if max_pairs:
         pairs = pairs.orderBy(F.col("co_count").desc(), "p1", "p2").limit(max_pairs)
     rules = pairs.select("p1", "p2", "co_count")

@@ -9,7 +9,7 @@ from roompulse.functions.numbers import half_up, percent, ratio
 from roompulse.functions.texts import STOP_WORDS, char_windows, is_topic_term, terms
 from roompulse.functions.times import bucket_start, clock, minutes
 from roompulse.operators.audience import by_chats, is_chat
-from roompulse.operators.common import newest_rows, only, small_side, top_per_key
+from roompulse.operators.common import newest_rows, only, top_per_key
 
 # Sentiment labels and the scores that separate them.
 POSITIVE = "正面"
@@ -93,8 +93,8 @@ def _label(score: Column) -> Column:
 def _weighted_terms(lines: DataFrame, model: DataFrame) -> DataFrame:
     """One row per term of every line, at least one per line, with its weight (0 if unknown).
 
-    ``pos`` is the place of the term, 0 for the first.  The model is broadcast
-    only while small; else the join shuffles terms and splits hot ones.
+    ``pos`` is the place of the term, 0 for the first.  The join is
+    chosen by measured size at run time, and hot terms are split there.
     """
     rest = [c for c in lines.columns if c != "text"]
     exploded = lines.select(
@@ -102,7 +102,7 @@ def _weighted_terms(lines: DataFrame, model: DataFrame) -> DataFrame:
         (F.col("text") == "").alias("empty"),
         F.posexplode_outer(terms(F.col("text"))).alias("pos", "term"),
     )
-    return exploded.join(small_side(model.select("term", "weight")), "term", "left").withColumn(
+    return exploded.join(model.select("term", "weight"), "term", "left").withColumn(
         "weight", F.coalesce("weight", F.lit(0))
     )
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from roompulse.functions.numbers import parse_count, whole_div
 from roompulse.functions.times import clock, iso_text, minute_text, minutes, parse_iso
 from roompulse.operators.audience import chats_per_user
-from roompulse.operators.common import small_side
 from roompulse.operators.messages import named_rooms
 from roompulse.operators.windows import priced_gifts
 
@@ -50,7 +49,6 @@ def dwd_danmaku(danmaku: DataFrame, rooms: DataFrame) -> DataFrame:
     are shuffled to pick one; all others keep their place, whole text included.
     """
     repeated = danmaku.groupBy("id").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("id")
-    repeated = small_side(repeated)
     single = danmaku.join(repeated, "id", "left_anti")
     copies = danmaku.join(repeated, "id", "left_semi")
     values = [c for c in danmaku.columns if c not in ("id", "created_at")]

@@ -20,10 +20,9 @@ BASELINE_ABOVE = 100
 DROP_PCT, SPIKE_PCT = 30, 50
 DROP, SPIKE = ("online_drop", "HIGH"), ("online_spike", "MEDIUM")
 
-# Revenue estimate per chat, and the bound on remembered alerts.
+# Revenue estimate per chat.
 BUYERS_PER_CHAT = "0.03"
 BASKET_VALUE = "150"
-ALERTS_KEPT = 20
 
 # Surge thresholds.
 CHAT_SURGE = 100
@@ -226,7 +225,7 @@ def room_snapshot(signals: DataFrame, samples: DataFrame, minutes: int = 1, **bl
         F.col("chats").alias("danmaku_rate"),
         F.col("gifts").cast("double").alias("gift_value"),
         (F.col("chats").cast("decimal(18,0)") * per_chat + F.col("gifts")).cast("double").alias("gmv_estimate"),
-        F.least(F.col("alerts"), F.lit(ALERTS_KEPT)).alias("alert_count"),
+        F.col("alerts").alias("alert_count"),
     )
 
 

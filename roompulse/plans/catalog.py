@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,10 @@ from roompulse.functions.times import iso_text, parse_iso
 from roompulse.operators import audience, commerce, forecast, messages, recommend, rooms, text, warehouse, windows
 from roompulse.operators.common import top_per_key
 from roompulse.plans.views import Views
-from roompulse.schemas import CHAT_MESSAGE, ROOM_RECORD, TOPIC_CHAT, TOPIC_GIFT, TOPIC_MESSAGE, TOPIC_ROOM
+from roompulse.schemas import CHAT_MESSAGE, ODS_DANMAKU, ROOM_RECORD, TOPIC_CHAT, TOPIC_GIFT, TOPIC_MESSAGE, TOPIC_ROOM
+from roompulse.session import shared_folder
+from roompulse.sinks.files import overwrite_orc, save_table, write_tsv
+from roompulse.sources.files import read_orc, read_tsv
 from roompulse.streaming import replay
 
 # The data spans 30 days of events and six years of orders, thin in time, so
@@ -160,9 +164,9 @@ def _line(v: Views) -> DataFrame:
 
 
 def _json_quarantine(v: Views) -> DataFrame:
-    good, bad = messages.json_quarantine(chat_json(v), "value", CHAT_MESSAGE)
-    kept = good.select("id", "body.room_id", "body.username", "body.timestamp", F.lit(False).alias("bad"))
-    return kept.unionByName(bad.select("id", F.lit(True).alias("bad")), allowMissingColumns=True)
+    decoded = messages.json_quarantine(chat_json(v), "value", CHAT_MESSAGE)
+    fields = [F.when(~F.col("bad"), F.col(f"body.{name}")).alias(name) for name in ("room_id", "username", "timestamp")]
+    return decoded.select("id", *fields, "bad")
 
 
 def _fn_iso_parse(v: Views) -> DataFrame:
@@ -196,6 +200,29 @@ def _sampled_users(v: Views) -> DataFrame:
     return top_per_key(users, ["room_name"], (draw.asc(), F.col("username").asc()), 5)
 
 
+def _tsv_round_trip(v: Views) -> DataFrame:
+    """Messages landed as text and read back; texts of messages hold line breaks."""
+    path = shared_folder(v.spark, "tsv")
+    write_tsv(warehouse.ods_danmaku(v.danmaku), path)
+    return read_tsv(v.spark, path, ODS_DANMAKU, line_breaks=True)
+
+
+def _orc_overwrite(v: Views) -> DataFrame:
+    """Room samples written twice over, by partition and day, and read back."""
+    path, rows = shared_folder(v.spark, "orc"), warehouse.ods_room_info(v.live_metrics)
+    overwrite_orc(rows.limit(10).withColumn("part", F.lit(0)), path, "part")
+    overwrite_orc(rows.withColumn("part", F.pmod(F.col("like_count"), F.lit(2)).cast("int")), path, "part")
+    return read_orc(v.spark, path).drop("part")
+
+
+def _ctas_product_ranking(v: Views) -> DataFrame:
+    table = f"ranking_{uuid.uuid4().hex}"
+    save_table(warehouse.ads_product_ranking(v.orders), table)
+    return v.spark.table(table)
+
+
+ROOM = "ASIA"
+
 QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     # streams, as batch plans over the same rows
     "danmaku_tumble_1m": lambda v: windows.tumble_counts(_timed(v)),
@@ -306,6 +333,18 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     ),
     "dws_live_minute": lambda v: warehouse.dws_live_minute(v.signals, v.sales, v.gift_prices, v.rooms),
     "ads_user_segments": lambda v: warehouse.ads_user_segments(v.signals, "2024-01-31"),
+    "tsv_round_trip": _tsv_round_trip,
+    "orc_overwrite": _orc_overwrite,
+    "ctas_product_ranking": _ctas_product_ranking,
+    # one room, one product, one category, the newest chats only
+    "danmaku_recent_room": lambda v: audience.danmaku_recent(v.danmaku, room=ROOM),
+    "funnel_full_room": lambda v: audience.funnel_full(v.signals, ROOM),
+    "rfm_segments_room": lambda v: audience.rfm_segments(audience.rfm_users(v.signals, room=ROOM)),
+    "product_sales_trend_one": lambda v: commerce.product_sales_trend(v.products, v.sales, 7),
+    "product_list_category": lambda v: commerce.product_list(v.products, ROOM, "MEDIUM"),
+    "keywords_latest": lambda v: text.keywords_tfidf(v.danmaku, latest=200),
+    "cooccurrence_recs_room": lambda v: recommend.cooccurrence_recs(v.sales, room=ROOM, details=v.catalogue),
+    "association_rules_room": lambda v: recommend.association_rules(v.sales, 2, 0.05, room=ROOM, details=v.catalogue),
     "ads_product_ranking": lambda v: warehouse.ads_product_ranking(v.orders),
 }
 

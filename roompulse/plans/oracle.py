@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import re
 
+from roompulse.functions.texts import STOP_WORDS
+
 VIEWS: dict[str, str] = {
     "v_room": "SELECT 'room_' || CAST(r_regionkey AS VARCHAR) AS room_id, r_name AS room_name FROM region",
     "v_events_x": """
@@ -128,8 +130,7 @@ FROM (SELECT room_name, username, count(*) AS cnt, CASE WHEN bool_and(text = '')
   FROM v_weighted GROUP BY room_name, username HAVING count(*) >= 2)""",
     "v_lines": """
 SELECT room_name, text, count(*) AS times FROM v_chats WHERE length(text) >= 2 GROUP BY room_name, text""",
-    "v_stop": """
-SELECT unnest(string_split('的 了 在 是 我 有 和 就 不 人 都 一 一个 上 也 很 到 说 要 去 你 会 着 没有 看 好 自己 这 那 他 她 它 们 什么 怎么 哪 为什么 吗 吧 呢 啊 哦 呀 哈 啦 呗 咦 喂 嘛 哇 嗯 哎 哟 呵 嘿 哼 得 地 个 但 是 为 所以 因为 如果 虽然 然而 而且 或者 不过 还 就 才 又 再 也 都 已经 正在 将 要 可以 能 会 应该 必须 可能 一定 大家 知道 觉得 真的 可以 这样 那个 这个 怎么 看到 一下 啥 没', ' ')) AS term""",
+    "v_stop": f"SELECT unnest({sorted(STOP_WORDS)!r}) AS term",
     "v_terms": r"""
 SELECT room_name, term, CAST(sum(n * times) AS BIGINT) AS tf, CAST(sum(times) AS BIGINT) AS df_room FROM (
   SELECT room_name, text, times, term, count(*) AS n
@@ -185,7 +186,7 @@ SELECT strftime(start, '%Y-%m-%d %H:%M:%S') AS window_start, room_id, room_name,
   CAST(coalesce(last_value(average IGNORE NULLS) OVER w, 0) AS BIGINT) AS online_avg,
   coalesce(last_value(trend IGNORE NULLS) OVER w, 'stable') AS online_trend,
   CAST(chats AS BIGINT) AS danmaku_rate, CAST(gifts AS DOUBLE) AS gift_value,
-  CAST(chats * 4.50 + gifts AS DOUBLE) AS gmv_estimate, CAST(least(sum(alerts) OVER w, 20) AS BIGINT) AS alert_count
+  CAST(chats * 4.50 + gifts AS DOUBLE) AS gmv_estimate, CAST(sum(alerts) OVER w AS BIGINT) AS alert_count
 FROM v_windows WINDOW w AS (PARTITION BY room_id ORDER BY start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
     "v_width": "SELECT 1 AS width",
     "v_envelopes": """
@@ -207,11 +208,6 @@ SQL: dict[str, str] = {
 SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(w + INTERVAL 1 MINUTE, '%Y-%m-%d %H:%M:%S') AS window_end,
   room_id, room_name, danmaku_cnt FROM (SELECT time_bucket(INTERVAL 1 MINUTE, created_at) AS w, room_id,
   max(room_name) AS room_name, count(*) AS danmaku_cnt FROM v_chats GROUP BY ALL)""",
-    "stream_danmaku_tumble_1m": """
-SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(w + INTERVAL 1 MINUTE, '%Y-%m-%d %H:%M:%S') AS window_end,
-  room_id, room_name, danmaku_cnt FROM (SELECT time_bucket(INTERVAL 1 MINUTE, created_at) AS w, room_id,
-  max(room_name) AS room_name, count(*) AS danmaku_cnt FROM v_chats GROUP BY ALL)
-WHERE w + INTERVAL 1 MINUTE <= (SELECT max(created_at) - INTERVAL 5 SECOND FROM v_chats)""",
     "room_minute_agg": """
 SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, room_id, max(room_name) AS room_name,
   CAST(coalesce(sum(online) // nullif(count(online), 0), 0) AS BIGINT) AS online_avg, coalesce(max(online), 0) AS online_max,
@@ -219,15 +215,6 @@ SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, room_id, max(room_name)
 FROM (SELECT room_id, room_name, date_trunc('minute', created_at) AS w, 1 AS chat, NULL AS online FROM v_chats
   UNION ALL SELECT room_id, room_name, date_trunc('minute', created_at), 0, CASE WHEN online > 0 THEN online END FROM v_samples)
 GROUP BY w, room_id""",
-    "stream_room_minute_agg": """
-SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, room_id, max(room_name) AS room_name,
-  CAST(coalesce(sum(online) // nullif(count(online), 0), 0) AS BIGINT) AS online_avg, coalesce(max(online), 0) AS online_max,
-  coalesce(min(online), 0) AS online_min, CAST(sum(chat) AS BIGINT) AS danmaku_rate, count(online) AS samples
-FROM (SELECT room_id, room_name, created_at, date_trunc('minute', created_at) AS w, 1 AS chat, NULL AS online FROM v_chats
-  UNION ALL SELECT room_id, room_name, created_at, date_trunc('minute', created_at), 0, CASE WHEN online > 0 THEN online END FROM v_samples)
-GROUP BY w, room_id
-HAVING w + INTERVAL 1 MINUTE <= (SELECT max(created_at) - INTERVAL 5 SECOND FROM
-  (SELECT created_at FROM v_chats UNION ALL SELECT created_at FROM v_samples))""",
     "online_alerts": """
 SELECT room_id, room_name, id, created_at AS event_time,
   CASE WHEN online * n * 10 < s * 7 THEN 'online_drop' ELSE 'online_spike' END AS alert_type,
@@ -286,8 +273,8 @@ SELECT topic, room_id, room_name, count(*) AS n FROM (
   UNION ALL SELECT 'live_room_info', room_id, room_name FROM v_live_metrics
   UNION ALL SELECT 'live_room_info', room_id, room_name FROM v_room_stats) GROUP BY ALL""",
     "ingest_danmaku": """
-SELECT room_id, substr(room_name, 1, 50) AS room_name, substr(coalesce(username, ''), 1, 100) AS username,
-  CASE WHEN msg_type = 'chat' THEN user_id END AS user_id, CASE WHEN msg_type = 'chat' THEN substr(coalesce(text, ''), 1, 500) END AS text,
+SELECT room_id, room_name, coalesce(username, '') AS username,
+  CASE WHEN msg_type = 'chat' THEN user_id END AS user_id, CASE WHEN msg_type = 'chat' THEN coalesce(text, '') END AS text,
   gift_name, CAST(CASE WHEN msg_type = 'gift' THEN CASE WHEN id % 2 = 0 THEN gift_count ELSE 1 END END AS BIGINT) AS gift_count,
   msg_type, strftime(created_at, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp, created_at AS event_time FROM v_danmaku""",
     "ingest_live_metrics": """
@@ -601,7 +588,30 @@ SQL["room_last_minute"] = _last_minutes(1)
 SQL["room_last_day"] = _last_minutes(60 * 24)
 SQL["online_trend"] = _trend(120)
 SQL["online_trend_month"] = _trend(60 * 24 * 31)
-SQL["stream_online_alerts"] = SQL["online_alerts"]
+# One room, one product, one category, and the newest chats only.
+for _name in ("danmaku_recent", "funnel_full", "rfm_segments"):
+    SQL[f"{_name}_room"] = f"SELECT * FROM ({SQL[_name]}) WHERE room_name = 'ASIA'"
+SQL["product_sales_trend_one"] = f"SELECT * FROM ({SQL['product_sales_trend']}) WHERE product_id = 7"
+SQL["product_list_category"] = SQL["product_list"].replace("ORDER BY sold", "WHERE category = 'MEDIUM' AND room_name = 'ASIA' ORDER BY sold")
+SQL["keywords_latest"] = SQL["keywords_tfidf"]
+SQL["cooccurrence_recs_room"] = SQL["cooccurrence_recs"]
+SQL["association_rules_room"] = SQL["association_rules"]
+SQL["tsv_round_trip"] = SQL["ods_danmaku"]
+SQL["orc_overwrite"] = SQL["ods_room_info"]
+SQL["ctas_product_ranking"] = SQL["ads_product_ranking"]
+ASIA_ORDERS = VIEWS["v_orders"] + " WHERE r.room_name = 'ASIA'"
+REPLACED: dict[str, dict[str, str]] = {
+    "surge_alerts": {"v_width": "SELECT 60 AS width"},
+    "cooccurrence_recs_room": {"v_orders": ASIA_ORDERS},
+    "association_rules_room": {"v_orders": ASIA_ORDERS},
+    "keywords_latest": {
+        "v_lines": """
+SELECT room_name, text, count(*) AS times FROM (SELECT * FROM v_chats WHERE text IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY room_name ORDER BY id DESC) <= 200) WHERE length(text) >= 2 GROUP BY room_name, text"""
+    },
+}
+for _name in ("danmaku_tumble_1m", "room_minute_agg", "online_alerts"):
+    SQL[f"stream_{_name}"] = SQL[_name]
 
 
 def _needed(text: str, views: dict[str, str]) -> list[str]:
@@ -625,5 +635,4 @@ def with_views(text: str, **replaced: str) -> str:
 
 
 def oracle() -> dict[str, str]:
-    hourly = {"surge_alerts": {"v_width": "SELECT 60 AS width"}}
-    return {name: with_views(text, **hourly.get(name, {})) for name, text in SQL.items()}
+    return {name: with_views(text, **REPLACED.get(name, {})) for name, text in SQL.items()}

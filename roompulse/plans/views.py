@@ -12,8 +12,6 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roompulse.session import shared_folder
-from roompulse.sources.files import spread
 
 # Gift prices; a gift not listed counts 1.
 GIFT_PRICES = (
@@ -38,11 +36,11 @@ class Views:
 
     @cached_property
     def events(self) -> DataFrame:
-        return spread(self.table("events"), "event_id")
+        return self.table("events")
 
     @cached_property
     def lineitem(self) -> DataFrame:
-        return spread(self.table("lineitem"), "l_orderkey")
+        return self.table("lineitem")
 
     @cached_property
     def rooms(self) -> DataFrame:
@@ -223,14 +221,12 @@ class Views:
     def labelled_texts(self) -> DataFrame:
         """Training texts for the sentiment model: whole documents and a 0/1 label."""
         labels = self.table("labels").select("doc_id", (F.col("quality") == 1).alias("positive"))
-        documents = spread(self.table("documents").select("doc_id", "text"), "doc_id")
+        documents = self.table("documents").select("doc_id", "text")
         return labels.join(documents, "doc_id").select("text", "positive")
 
     @cached_property
     def sentiment_model(self) -> DataFrame:
-        """The trained model, written once and read back, so that its size is known to the joins."""
+        """The trained model: an aggregation, part of the plans that use it."""
         from roompulse.operators.text import train_sentiment
 
-        folder = shared_folder(self.spark, "sentiment-model")
-        train_sentiment(self.labelled_texts).write.parquet(folder)
-        return self.spark.read.parquet(folder)
+        return train_sentiment(self.labelled_texts)

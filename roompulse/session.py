@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -16,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Top-k per key is cut in each task before the shuffle for every k in use.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
 }
 
 
@@ -32,11 +33,8 @@ def build_session(app: str = "roompulse", master: str | None = None, **extra: st
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the one every executor can reach.
 
-    The cluster names that folder in ``spark.checkpoint.dir``.  Only where it is
-    unset, as in local tests, is a temporary folder used.
+    The cluster names that folder in ``spark.checkpoint.dir``; where it is unset,
+    the warehouse, which is shared as well, holds it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="roompulse-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_intermediate")
     return os.path.join(root, "roompulse", f"{name}-{uuid.uuid4().hex}")

@@ -20,7 +20,7 @@ def jdbc_options(
     }
 
 
-def read_table(spark: SparkSession, url: str, table: str, column: str = "id", partitions: int = 64, **driver: str) -> DataFrame:
+def read_table(spark: SparkSession, url: str, table: str, partitions: int, column: str = "id", **driver: str) -> DataFrame:
     """The whole table; filters and column lists are pushed into each range query.
 
     The range comes from one query for the lowest and highest ``column``.
@@ -29,6 +29,6 @@ def read_table(spark: SparkSession, url: str, table: str, column: str = "id", pa
     bounds = f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}"
     lo, hi = reader.option("query", bounds).load().first()
     if lo is None:
-        return reader.option("dbtable", table).load()
+        return spark.read.format("jdbc").options(url=url, dbtable=table, **driver).load()
     options = jdbc_options(url, table, int(lo), int(hi) + 1, partitions, column)
     return spark.read.format("jdbc").options(**driver).options(**options).load()

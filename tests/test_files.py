@@ -8,7 +8,7 @@ from roompulse.operators import audience, warehouse
 from roompulse.schemas import ODS_DANMAKU
 from roompulse.sinks import files
 from roompulse.sinks.database import upsert_batches, upsert_statement
-from roompulse.sources.files import read_orc, read_tsv, spread
+from roompulse.sources.files import read_orc, read_tsv
 from roompulse.sources.jdbc import jdbc_options
 
 T0 = dt.datetime(2024, 1, 1)
@@ -24,7 +24,7 @@ def test_tsv_round_trip_of_awkward_text(spark, tmp_path):
     rows = [("r", "R", "u", t, "chat", None, None, "2024-01-01T00:00:00.000000") for t in texts]
     df = spark.createDataFrame(rows, ODS_DANMAKU)
     files.write_tsv(df, str(tmp_path / "t"))
-    assert same(read_tsv(spark, str(tmp_path / "t"), ODS_DANMAKU), df)
+    assert same(read_tsv(spark, str(tmp_path / "t"), ODS_DANMAKU, line_breaks=True), df)
 
 
 def test_landing_full_and_incremental(spark, views, tmp_path):
@@ -33,11 +33,11 @@ def test_landing_full_and_incremental(spark, views, tmp_path):
     files.land(rows, path, full=True, day="2024-01-30")
     recent = warehouse.ods_danmaku(warehouse.last_hour(views.danmaku, mins=60 * 24))
     files.land(recent, path, full=False, day="2024-01-31")
-    landed = read_tsv(spark, path, ODS_DANMAKU.add("load_day", "string"))
+    landed = read_tsv(spark, path, ODS_DANMAKU.add("load_day", "string"), line_breaks=True)
     assert landed.count() == rows.count() + recent.count()
     assert same(landed.filter("load_day = '2024-01-31'").drop("load_day"), recent)
     files.land(rows, path, full=True, day="2024-02-01")
-    assert read_tsv(spark, path, ODS_DANMAKU).count() == rows.count()
+    assert read_tsv(spark, path, ODS_DANMAKU, line_breaks=True).count() == rows.count()
 
 
 def test_orc_overwrite_by_partition(spark, tmp_path):
@@ -120,9 +120,3 @@ def test_database_upsert_sends_each_key_from_one_task(spark, tmp_path):
 def test_jdbc_reads_ranges():
     options = jdbc_options("jdbc:x", "danmaku", 1, 101, 4)
     assert (options["partitionColumn"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("id", "1", "101", "4")
-
-
-def test_small_scans_are_dealt_out(spark, views):
-    assert spread(views.table("events"), "event_id").rdd.getNumPartitions() == 8
-    wide = spark.range(0, 100, 1, 16)
-    assert spread(wide, "id") is wide
