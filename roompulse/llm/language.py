@@ -142,8 +142,8 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(True))
 
 
-def labelled_words(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
-    """(lang, word, n) over the documents fitted on."""
+def labelled_words(docs: DataFrame, sizes: dict[str, int], train_docs: int = TRAIN_DOCS) -> DataFrame:
+    """(lang, word, n) over the documents fitted on; sizes: the labelled documents of each language."""
 
     def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         counts: Counter = Counter()
@@ -156,8 +156,8 @@ def labelled_words(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
         yield from ((*key, n) for key, n in counts.items())
 
     labelled = docs.where(F.col("lang").isNotNull() & ~held_out()).select("doc_id", "lang", "text")
-    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n")).select("lang", F.lit(train_docs * 1_000_000 / F.col("n")).cast("long").alias("millionths"))
-    chosen = labelled.join(sizes, "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.col("millionths"))
+    millionths = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, train_docs * 1_000_000 // n)])
+    chosen = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < millionths[F.col("lang")])
     counted = chosen.select("lang", text_bytes().alias("text")).mapInArrow(lambda parts: batches(_WORD_ARROW, rows(parts)), "lang string, word string, n bigint")
     return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
@@ -177,7 +177,7 @@ def fitted(docs: DataFrame, path: str, train_docs: int = TRAIN_DOCS, rounds: int
     probabilities = np.full((own.size, len(langs)), 1 / own.size)
     if not langs:
         return LanguageModel(path, langs, priors, probabilities)
-    words = stored(labelled_words(docs, train_docs), "language-words")
+    words = stored(labelled_words(docs, {r["lang"]: r["n"] for r in shares}, train_docs), "language-words")
     numbers = {lang: i for i, lang in enumerate(langs)}
     for _ in range(rounds):
         model = spark.sparkContext.broadcast(probabilities)
@@ -192,7 +192,7 @@ def fitted(docs: DataFrame, path: str, train_docs: int = TRAIN_DOCS, rounds: int
 
         spread = words.repartition("word").mapInArrow(lambda parts, f=counted: batches(_COUNT_ARROW, f(parts)), "lang int, piece int, n double")
         expected = np.full_like(probabilities, SMOOTHING)
-        for row in spread.groupBy("lang", "piece").agg(F.sum("n").alias("n")).toLocalIterator():
+        for row in spread.groupBy("lang", "piece").agg(F.sum("n").alias("n")).collect():  # vocabulary times languages
             expected[row["piece"], row["lang"]] += row["n"]
         probabilities = expected / expected.sum(axis=0)
     return LanguageModel(path, langs, priors, probabilities)
