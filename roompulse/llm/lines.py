@@ -117,7 +117,8 @@ def frequent_lines(keys: DataFrame, n_batches: int = BATCHES, min_docs: int = MI
 def without_repeated_lines(docs: DataFrame, n_batches: int = BATCHES, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
     """The rows (doc_id, text, rest: the other columns) with repeated lines left out, and n_lines and n_dropped."""
     keys = stored(line_keys(docs, min_chars), "line-keys")
-    frequent = frequent_lines(keys, n_batches, min_docs)
+    # Stored, so that both sides of the join are shuffled and a line of very many documents is split there.
+    frequent = stored(frequent_lines(keys, n_batches, min_docs), "line-frequent")
     drops = keys.join(frequent, "key").where(F.col("doc_id") != F.col("keeper")).groupBy("doc_id").agg(F.collect_list("key").alias("dropped"))
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     rest = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.struct(F.lit(0).alias("none"))
