@@ -4,9 +4,10 @@
    Documents of equal sets form a class, represented by the smallest id; only representatives go on.
 2. Bands of the signature name buckets.  In each bucket every member is paired with one hub, the member that meets most
    others.  Pairs whose signatures agree enough are confirmed on the full sets; links give components.
-3. Pairs that the hubs did not settle: in buckets that still hold members of different components, blocks of bounded
-   size are compared by signature, and all pairs across components that may reach the threshold are confirmed too.
-   Pairs inside one component need no test, so no group is ever expanded into all its pairs.
+3. What the hubs did not settle: documents of buckets that still hold different components are joined on the seldom
+   shingles that any two sets over the threshold must share, with length and position bounds, across components only.
+   The pairs found are verified and confirmed like the others.  Pairs inside one component need no test, and documents
+   far below the threshold never meet, so no group is expanded into all its pairs.
 4. Components by large-star and small-star over all links.
 
 With 26 bands of 5 minima a link of similarity 0.85 shares no bucket with probability 2e-7; the signature bound lies
@@ -40,8 +41,8 @@ MINIMA = BANDS * BAND_MINIMA
 LINK_PERCENT = 85
 #: Least share of equal minima of a pair that goes on to the full sets.
 SIGNATURE_SHARE = 0.70
-#: Members compared in one block.
-BLOCK = 512
+#: Hash cells in which the shingles of open documents are counted.
+CELLS = 1 << 16
 WORDS_KEPT = 400_000
 
 _GENERATOR = np.random.Generator(np.random.PCG64(20240607))
@@ -54,6 +55,8 @@ _WORDS: dict[bytes, int] = {}
 _SCAN_ARROW = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("signature", pa.binary())])
 _SCAN_DDL = "doc_id bigint, n_shingles bigint, digest binary, signature binary"
 _BAND_ARROW = pa.schema([("bucket", pa.int64()), ("doc_id", pa.int64())])
+_CELL_ARROW = pa.schema([("cell", pa.int32()), ("n", pa.int64())])
+_PREFIX_ARROW = pa.schema([(c, pa.int64()) for c in ("h", "doc_id", "component", "n", "at")])
 _PAIR_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -184,31 +187,58 @@ def hub_pairs(members: DataFrame) -> DataFrame:
     return pairs.select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b")).distinct()
 
 
-def open_pairs(members: DataFrame, parts: DataFrame, signed: DataFrame) -> DataFrame:
-    """Pairs of one bucket and different components whose signatures agree; parts: (node, component)."""
+def open_documents(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """(doc_id, component) of the documents in buckets that hold several components; parts: (node, component)."""
     placed = members.join(parts, F.col("doc_id") == F.col("node"), "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    mixed_buckets = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where(F.col("lo") != F.col("hi"))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = placed.join(mixed_buckets.select("bucket", blocks.alias("blocks")), "bucket").join(signed.select("doc_id", "signature"), "doc_id")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    rows = rows.select("bucket", "doc_id", "component", "signature", "block", other)
-    rows = rows.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-
-    def compared(group: pa.Table) -> pa.Table:
-        ids, parts_, block = (group.column(c).to_numpy() for c in ("doc_id", "component", "block"))
-        own = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint32).reshape(-1, MINIMA)
-        lo, hi = group.column("lo")[0].as_py(), group.column("hi")[0].as_py()
-        left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
-        found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i in left:
-            there = right[(parts_[right] != parts_[i]) & ((ids[right] > ids[i]) if lo == hi else True)]
-            near = there[(own[there] == own[i]).mean(axis=1) >= SIGNATURE_SHARE]
-            found_a.append(np.minimum(ids[i], ids[near]))
-            found_b.append(np.maximum(ids[i], ids[near]))
-        return pa.Table.from_arrays([pa.array(np.concatenate(found_a)), pa.array(np.concatenate(found_b))], schema=_PAIR_ARROW)
-
-    return rows.groupBy("bucket", "lo", "hi").applyInArrow(compared, "a bigint, b bigint").distinct()
+    several = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(F.col("lo") != F.col("hi"))
+    return placed.join(several, "bucket", "left_semi").select("doc_id", "component").distinct()
+
+
+def commonness(texts: DataFrame) -> np.ndarray:
+    """How often shingles of each hash cell occur: a table of fixed size, whatever the input."""
+
+    def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        total = np.zeros(CELLS, np.int64)
+        for part in parts:
+            for packed in part.column("packed"):
+                total += np.bincount(shingles(unpack(packed.as_py())) % np.uint64(CELLS), minlength=CELLS)
+        yield from ((int(cell), int(total[cell])) for cell in np.flatnonzero(total))
+
+    cells = texts.select("packed").mapInArrow(lambda parts: batches(_CELL_ARROW, rows(parts)), "cell int, n bigint")
+    out = np.zeros(CELLS, np.int64)
+    for row in cells.groupBy("cell").agg(F.sum("n").alias("n")).toLocalIterator():
+        out[row["cell"]] = row["n"]
+    return out
+
+
+def open_pairs(texts: DataFrame, percent: int = LINK_PERCENT) -> DataFrame:
+    """All pairs (a, b) of different components that can reach the threshold; texts: (doc_id, packed, component).
+
+    Shingles are put in one order, seldom ones first.  Two sets that reach the threshold share a shingle among the first
+    few of both, and from the first such one on enough is left of either; so pairs meet only on those.
+    """
+    counts = texts.sparkSession.sparkContext.broadcast(commonness(texts))
+
+    def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        for part in parts:
+            for doc_id, component, packed in zip(*(part.column(c).to_pylist() for c in ("doc_id", "component", "packed"))):
+                own = shingles(unpack(packed))
+                n, common = len(own), counts.value[own % np.uint64(CELLS)]
+                first = own[np.lexsort((own, common))][: n - (percent * n + 99) // 100 + 1]
+                for at, h in enumerate(first.view(np.int64).tolist()):
+                    yield h, doc_id, component, n, at
+
+    schema = "h bigint, doc_id bigint, component bigint, n bigint, at bigint"
+    prefixes = stored(texts.select("doc_id", "component", "packed").mapInArrow(lambda parts: batches(_PREFIX_ARROW, rows(parts)), schema), "minhash-prefixes")
+    x, y = (prefixes.select("h", *[F.col(c).alias(f"{c}_{side}") for c in ("doc_id", "component", "n", "at")]) for side in ("a", "b"))
+    lengths = (percent * F.col("n_a") <= 100 * F.col("n_b")) & (percent * F.col("n_b") <= 100 * F.col("n_a"))
+    left = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    enough = (100 + percent) * left >= percent * (F.col("n_a") + F.col("n_b"))
+    apart = (F.col("doc_id_a") < F.col("doc_id_b")) & (F.col("component_a") != F.col("component_b"))
+    met = (x["h"] == y["h"]) & apart & lengths & enough
+    return x.join(y, met).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = LINK_PERCENT) -> DataFrame:
@@ -224,7 +254,8 @@ def near_duplicates(docs: DataFrame, percent: int = LINK_PERCENT) -> DataFrame:
     texts = stored(packed_texts(docs, members.select("doc_id").distinct()), "minhash-texts")
     links = stored(confirmed(pairs, texts, percent), "minhash-links")
     parts = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    late = stored(open_pairs(members, parts, signed).join(pairs, ["a", "b"], "left_anti"), "minhash-late-pairs")
+    apart = stored(texts.join(open_documents(members, parts), "doc_id"), "minhash-open")
+    late = stored(agreeing(open_pairs(apart, percent).join(pairs, ["a", "b"], "left_anti"), signed), "minhash-late-pairs")
     late_links = stored(confirmed(late, texts, percent), "minhash-late-links")
     stars = parts.select(F.col("node").alias("u"), F.col("component").alias("v"))
     parts = components(stars.unionByName(late_links.select(F.col("a").alias("u"), F.col("b").alias("v"))))

@@ -37,7 +37,7 @@ def test_near_duplicates_on_tables(spark):
 
 
 def test_near_duplicates_near_the_threshold(spark, edges, monkeypatch):
-    monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(minhash, "CELLS", 64)
     rng = random.Random(11)
     rows = [r for r in edges[1] if r[0] != 50]
     for family in range(4):
