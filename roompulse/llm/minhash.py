@@ -43,7 +43,7 @@ LINK_PERCENT = 85
 SIGNATURE_SHARE = 0.70
 #: Hash cells in which the shingles of open documents are counted.
 CELLS = 1 << 16
-WORDS_KEPT = 400_000
+WORDS_KEPT = 150_000
 
 _GENERATOR = np.random.Generator(np.random.PCG64(20240607))
 _A = _GENERATOR.integers(1, 1 << 63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -207,7 +207,7 @@ def commonness(texts: DataFrame) -> np.ndarray:
 
     cells = texts.select("packed").mapInArrow(lambda parts: batches(_CELL_ARROW, rows(parts)), "cell int, n bigint")
     out = np.zeros(CELLS, np.int64)
-    for row in cells.groupBy("cell").agg(F.sum("n").alias("n")).toLocalIterator():
+    for row in cells.groupBy("cell").agg(F.sum("n").alias("n")).collect():  # at most CELLS rows
         out[row["cell"]] = row["n"]
     return out
 
@@ -260,7 +260,9 @@ def near_duplicates(docs: DataFrame, percent: int = LINK_PERCENT) -> DataFrame:
     stars = parts.select(F.col("node").alias("u"), F.col("component").alias("v"))
     parts = components(stars.unionByName(late_links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
     of_class = classes.join(parts, F.col("class") == F.col("node"), "left").select("digest", F.coalesce("component", "class").alias("component_id"))
-    return scan.join(of_class, "digest", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    in_class = scan.where(F.col("doc_id").isNotNull()).join(of_class, "digest").select("doc_id", "n_shingles", "component_id")
+    alone = scan.where(F.col("doc_id").isNull() | F.col("digest").isNull())
+    return in_class.unionByName(alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

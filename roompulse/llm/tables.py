@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from roompulse.session import shared_folder
 
+# Workers hand freed record batches back to the system, as several of them share an executor's memory.
+pa.set_memory_pool(pa.system_memory_pool())
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
