@@ -75,6 +75,12 @@ class LineRuns:
         counts = self._merged(names) if len(names) > 1 else self.spark.table(names[0])
         return counts.where(F.col("n_docs") >= self.min_docs).select("key", "keeper")
 
+    def drop(self) -> None:
+        """Remove all runs."""
+        for name in [name for level in self.levels for name in level]:
+            self.spark.sql(f"DROP TABLE {name}")
+        self.levels = []
+
     def _merged(self, names: list[str]) -> DataFrame:
         rows = self.spark.table(names[0])
         for name in names[1:]:
@@ -111,14 +117,16 @@ def frequent_lines(keys: DataFrame, n_batches: int = BATCHES, min_docs: int = MI
         part = keys if cut is None else keys.where(F.col("doc_id") >= cut)
         runs.add(part if above is None else part.where(F.col("doc_id") < above))
         above = cut
-    return runs.frequent()
+    # Stored, so that both sides of the later join are shuffled and a line of very many documents is split there.
+    found = stored(runs.frequent(), "line-frequent")
+    runs.drop()
+    return found
 
 
 def without_repeated_lines(docs: DataFrame, n_batches: int = BATCHES, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
     """The rows (doc_id, text, rest: the other columns) with repeated lines left out, and n_lines and n_dropped."""
     keys = stored(line_keys(docs, min_chars), "line-keys")
-    # Stored, so that both sides of the join are shuffled and a line of very many documents is split there.
-    frequent = stored(frequent_lines(keys, n_batches, min_docs), "line-frequent")
+    frequent = frequent_lines(keys, n_batches, min_docs)
     drops = keys.join(frequent, "key").where(F.col("doc_id") != F.col("keeper")).groupBy("doc_id").agg(F.collect_list("key").alias("dropped"))
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     rest = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.struct(F.lit(0).alias("none"))
