@@ -26,25 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roompulse.llm.tables import batches, table, text_bytes
-from roompulse.llm.tokens import BYTE_VOCABULARY, vocabulary
+from roompulse.llm.tokens import BYTE_VOCABULARY, span_encoder, vocabulary
 
 RULES = ("start", "most", "split")
 OUTSIDE = -1
-#: Characters encoded at once.
-ENCODED_CHARS = 1 << 20
-
 COUNT_SCHEMA = "doc_id bigint, section bigint, n_chars bigint, n_tokens double, n_crossing bigint"
 _COUNT_ARROW = pa.schema([("doc_id", pa.int64()), ("section", pa.int64()), ("n_chars", pa.int64()), ("n_tokens", pa.float64()), ("n_crossing", pa.int64())])
-_TOKENIZERS: dict = {}
-
-
-def tokenizer(path: str):
-    if path not in _TOKENIZERS:
-        from tokenizers import Tokenizer
-
-        _TOKENIZERS[path] = Tokenizer.from_file(path)
-        _TOKENIZERS[path].encode_special_tokens = True
-    return _TOKENIZERS[path]
 
 
 def line_bounds(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -99,23 +86,12 @@ def token_counts(docs: DataFrame, vocabulary_path: str, rule: str = "most", sect
             yield doc_id, OUTSIDE, 0, outside, 0
 
     def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        encode = tokenizer(vocabulary_path).encode_batch
-        held: list[tuple] = []
-        chars = 0
-
-        def made() -> Iterator[tuple]:
-            for (doc_id, text, given), e in zip(held, encode([h[1] for h in held], add_special_tokens=False)):
-                yield from counted(doc_id, text, np.array(e.offsets, np.int64).reshape(-1, 2), given)
-
+        spans = span_encoder(vocabulary_path).spans
         for part in parts:
-            given = part.column("sections").to_pylist() if "sections" in part.schema.names else [None] * part.num_rows
+            given = part.column("sections").to_pylist() if given_sections else [None] * part.num_rows
             for doc_id, text, own in zip(part.column("doc_id").to_pylist(), part.column("text"), given):
-                held.append((doc_id, text.as_py().decode("utf-8", "replace"), (own or []) if given_sections else None))
-                chars += len(held[-1][1])
-                if chars >= ENCODED_CHARS:
-                    yield from made()
-                    held, chars = [], 0
-        yield from made()
+                text = text.as_py().decode("utf-8", "replace")
+                yield from counted(doc_id, text, spans(text), (own or []) if given_sections else None)
 
     texts = docs.select(F.col("doc_id").cast("long"), text_bytes().alias("text"))
     if sections is not None:

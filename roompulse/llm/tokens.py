@@ -7,6 +7,7 @@ words' ids in a row.  Words repeat, so their ids are remembered; the ids themsel
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 
@@ -91,11 +92,63 @@ class WordEncoder:
         return ids
 
 
+#: White space and letters of the texts that the byte vocabulary is known to cut by SPAN_PIECE.
+SPAN_PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
+SPAN_PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-zÀ-ÖØ-öø-ÿ0-9]+|\s+(?!\S)|\s+")
+
+
+class SpanEncoder:
+    """The span of characters of every token under the byte vocabulary, with each piece of a plain text cut once."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        self.pieces = Memory(WORDS_KEPT)
+
+    def spans(self, text: str) -> np.ndarray:
+        """(tokens, 2): first character and the one behind the last."""
+        if not SPAN_PLAIN.fullmatch(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
+        pieces, get = SPAN_PIECE.findall(text), self.pieces.young.get
+        cuts = [get(p) or self.piece(p) for p in pieces]
+        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+        inside = np.frombuffer(b"".join(cuts), np.int32).reshape(-1, 2)
+        return inside + np.repeat(starts, np.fromiter(map(len, cuts), np.int64, len(cuts)) // 8)[:, None]
+
+    def piece(self, piece: str) -> bytes:
+        cut = self.pieces.older(piece)
+        if cut is None:
+            data, edges, at = piece.encode(), [], 0
+            for token in self.model.tokenize("".join([self.letters[b] for b in data])):
+                edges += at, at + len(token.value)
+                at = edges[-1]
+            if len(data) > len(piece):
+                # From bytes to the characters they belong to.
+                of_byte = [i for i, c in enumerate(piece) for _ in c.encode()]
+                edges = [of_byte[e - 1] + 1 if k % 2 else of_byte[e] for k, e in enumerate(edges)]
+            cut = array("i", edges).tobytes()
+            if len(data) <= WORD_BYTES:
+                self.pieces.put(piece, cut)
+        return cut
+
+
 def packed(ids: list[int]) -> bytes:
     return np.array(ids, "<u4").tobytes()
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
+_SPANS: dict[str, SpanEncoder] = {}
+
+
+def span_encoder(path: str) -> SpanEncoder:
+    """One encoder for each worker process."""
+    if path not in _SPANS:
+        _SPANS[path] = SpanEncoder(path)
+    return _SPANS[path]
 
 
 def word_encoder(path: str) -> WordEncoder:

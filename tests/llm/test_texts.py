@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from roompulse.llm import decontaminate, lines, packing, suffix_dedup, token_counts, token_files
-from roompulse.llm.tokens import BYTE_VOCABULARY, WORD_VOCABULARY, WordEncoder, vocabulary
+from roompulse.llm.tokens import BYTE_VOCABULARY, WORD_VOCABULARY, SpanEncoder, WordEncoder, vocabulary
 from roompulse.session import shared_folder
 
 WORDS = vocabulary(WORD_VOCABULARY)
@@ -29,6 +29,16 @@ def test_special_strings_are_encoded_as_in_whole_texts():
         assert np.frombuffer(ENCODER.encode(text.encode()), "<u4").tolist() == PLAIN.encode(text, add_special_tokens=False).ids
 
 
+SPANS, BYTES = SpanEncoder(vocabulary(BYTE_VOCABULARY)), Tokenizer.from_file(vocabulary(BYTE_VOCABULARY))
+BYTES.encode_special_tokens = True
+
+
+@given(st.text("abÀé'st \n\t09<|>,.~ß ", max_size=50) | st.text(st.characters(codec="latin-1"), max_size=50) | st.text(st.characters(codec="utf-8"), max_size=30))
+@settings(max_examples=500, deadline=None)
+def test_spans_of_pieces_are_the_spans_of_the_text(text):
+    assert [tuple(x) for x in SPANS.spans(text).tolist()] == BYTES.encode(text, add_special_tokens=False).offsets
+
+
 def file_rows(spark, docs):
     path = shared_folder(spark, "test-tokens")
     token_files.write_tokens(docs, path, WORDS)
