@@ -39,7 +39,9 @@ SMOOTHING = 0.05
 PIECE_CHARS = 8
 STRETCH = 32
 #: Words whose scores a worker remembers.
-WORDS_KEPT = 250_000
+WORDS_KEPT = 800_000
+#: Words scored at once.
+WORDS_AT_ONCE = 100_000
 #: Words cut into pieces at once.
 CHUNK = 4_096
 
@@ -207,11 +209,13 @@ def scored(docs: DataFrame, model: LanguageModel) -> DataFrame:
         m = shared.value
         own, known, logs = pieces(m.path), {}, np.zeros((1 << 16, len(m.langs)))
 
-        def numbered(words: list[str]) -> list[int]:
+        def numbered(words: list[str]) -> np.ndarray:
             nonlocal logs
-            fresh = list({w for w in words if w not in known})
+            numbers = np.array([known.get(w, -1) for w in words], np.int64)
+            fresh = list({words[i] for i in np.flatnonzero(numbers < 0)})
             if len(known) + len(fresh) > WORDS_KEPT:
                 known.clear()
+                numbers[:] = -1
                 fresh = list(set(words))
             if fresh:
                 at = len(known)
@@ -219,25 +223,35 @@ def scored(docs: DataFrame, model: LanguageModel) -> DataFrame:
                     logs = np.vstack([logs, np.zeros_like(logs)])
                 logs[at : at + len(fresh)] = likelihoods(fresh, own, m.probabilities)
                 known.update(zip(fresh, range(at, at + len(fresh))))
-            return list(map(known.__getitem__, words))
-
-        def judged(words: list[str]) -> tuple[str, float]:
-            if not words:
-                return UNDETERMINED, 0.0
-            total = np.zeros(len(m.langs)) + m.priors
-            for at in range(0, len(words), WORDS_KEPT // 2):
-                numbers = numbered(words[at : at + WORDS_KEPT // 2])
-                total += logs[numbers].sum(axis=0)
-            best = int(total.argmax())
-            return m.langs[best], float(1 / np.exp(total - total[best]).sum())
+                for i in np.flatnonzero(numbers < 0):
+                    numbers[i] = known[words[i]]
+            return numbers
+
+        def best(total: np.ndarray) -> tuple[str, float]:
+            top = int(total.argmax())
+            return m.langs[top], float(1 / np.exp(total - total[top]).sum())
+
+        def judged(cut: list[list[str]]) -> Iterator[tuple[str, float]]:
+            """Many short texts at once, so that their fresh words are scored together; a long one stretch by stretch."""
+            if len(cut) > 1 and sum(map(len, cut)) > WORDS_AT_ONCE:
+                for half in (cut[: len(cut) // 2], cut[len(cut) // 2 :]):
+                    yield from judged(half)
+                return
+            flat, totals = [w for words in cut for w in words], np.zeros((len(cut), len(m.langs))) + m.priors
+            of_text = np.repeat(np.arange(len(cut)), [len(words) for words in cut])
+            for at in range(0, len(flat), WORDS_AT_ONCE):
+                numbers, texts = numbered(flat[at : at + WORDS_AT_ONCE]), of_text[at : at + WORDS_AT_ONCE]
+                scores = logs[numbers]
+                for k in range(len(m.langs)):
+                    totals[:, k] += np.bincount(texts, scores[:, k], len(cut))
+            for words, total in zip(cut, totals):
+                yield best(total) if words else (UNDETERMINED, 0.0)
 
         for part in parts:
             found = []
             for lo in range(0, part.num_rows, 64):
                 cut = [stretches(t.as_py().decode("utf-8", "replace")) if m.langs else [] for t in part.column("text")[lo : lo + 64]]
-                if sum(map(len, cut)) < WORDS_KEPT:
-                    numbered([w for words in cut for w in words])  # fresh words of many texts at once
-                found += map(judged, cut)
+                found += judged(cut)
             columns = [part.column("held_out"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             language = pa.StructArray.from_arrays(columns, fields=list(answer))
             yield pa.RecordBatch.from_arrays([part.column("row"), language], names=["row", "language"])
