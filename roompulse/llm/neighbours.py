@@ -1,10 +1,13 @@
 """Approximate nearest neighbours by cross-polytope hashing, with exact reranking.
 
-Largest inner product becomes largest cosine by one more coordinate: a candidate x is (x / M, sqrt(1 - |x|^2 / M^2)) with
-M the largest norm, a query is (q / |q|, 0).  In each table a pseudo-rotation (three rounds of random signs and a fast
+Largest inner product becomes largest cosine by one more coordinate: a candidate x is (x / M, sqrt(1 - |x|^2 / M^2)), a
+query is (q / |q|, 0).  M is the largest norm of x's band: norms within a factor of NORM_STEP are a band with cells of its
+own, so the last coordinate stays small and one large vector does not crowd the others into a few cells.  A query probes
+every band, and all it meets is reranked together.  Bands of few vectors are met whole.  In each table a pseudo-rotation (three rounds of random signs and a fast
 Hadamard transform) turns the vector, and its bucket is the nearest signed axis.  A query probes, in every table, the
 axes nearest to it; how many follows from the number of vectors n by one rule, PROBE_SHARE * n^-PROBE_POWER of all axes:
-the more vectors there are, the nearer the neighbours and the fewer probes they need.
+the more vectors there are, the nearer the neighbours and the fewer probes they need.  A query always meets its own vector;
+one that meets fewer than k + 1 entries is compared with all vectors of its length.
 
 Equal vectors are one entry, so a very common vector is no hot bucket; each keeps its ``k + 1`` smallest ids, which is all
 that can be among any query's k nearest.  Buckets are dealt in blocks of bounded size on both sides, a block pair is one
@@ -19,6 +22,7 @@ gives no rows; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -32,13 +36,20 @@ QUERY_STEP = 20
 TABLES = 8
 PROBE_SHARE = 2.2
 PROBE_POWER = 0.35
+#: Largest norm of a band over its smallest, at most.
+NORM_STEP = 1.15
+#: A band of at most so many vectors is met whole by every query of its length.
+FEW = 256
 #: Vectors of a bucket in one block, on the candidates' and on the queries' side.
 BLOCK = 2_048
 QUERY_BLOCK = 256
 
-_PROBE_ARROW = pa.schema([("dim", pa.int32()), ("cell", pa.int32()), ("entry", pa.int64()), ("packed", pa.binary())])
-_PROBE_DDL = "dim int, cell int, entry bigint, packed binary"
+_PROBE_ARROW = pa.schema([("dim", pa.int32()), ("cell", pa.int64()), ("entry", pa.int64()), ("packed", pa.binary())])
+_PROBE_DDL = "dim int, cell bigint, entry bigint, packed binary"
 _FOUND_ARROW = pa.schema([("query", pa.int64()), ("entry", pa.int64()), ("score", pa.float64())])
+_FOUND_DDL = "query bigint, entry bigint, score double"
+#: The cells of vectors that are met whole lie from here downwards, below those of all bands.
+WHOLE = -(1 << 60)
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -78,33 +89,131 @@ def probe_count(n: int, width: int) -> int:
     return max(1, int(np.ceil(share * 2 * width)))
 
 
-def probes(entries: DataFrame, largest: float | None, n: int = 0) -> DataFrame:
-    """(dim, cell, entry, packed) of (entry, vector): one cell a table for candidates, several for queries (largest: None)."""
+def measured(heads: DataFrame) -> DataFrame:
+    """(entry, vector, dim, norm, band) of (entry, vector)."""
+    most = F.array_max(F.transform("vector", F.abs))
+    squares = F.aggregate("vector", F.lit(0.0), lambda total, x: total + (x / F.col("most")) * (x / F.col("most")))
+    sized = heads.select("entry", "vector", F.size("vector").alias("dim"), most.alias("most")).withColumn("spread", F.sqrt(squares))
+    band = F.round((F.log("most") + F.log("spread")) / float(np.log(NORM_STEP))).cast("int")
+    return sized.select("entry", "vector", "dim", (F.col("most") * F.col("spread")).alias("norm"), band.alias("band"))
+
+
+@dataclass
+class Bands:
+    """The vectors of one length: how many there are, the largest norm of each probed band, the probes of a table."""
+
+    n: int
+    whole: set[int]
+    largest: dict[int, float]
+    probes: int
+
+    @property
+    def parts(self) -> int:
+        """Into how many cells the vectors met whole are dealt."""
+        return -(-self.n // BLOCK)
+
+
+def width(dim: int) -> int:
+    return 1 << dim.bit_length()
+
+
+def banded(heads: DataFrame) -> dict[int, Bands]:
+    """The bands of each length; heads: (dim, norm, band)."""
+    out: dict[int, Bands] = {}
+    for row in heads.groupBy("dim", "band").agg(F.count("*").alias("n"), F.max("norm").alias("largest")).collect():
+        own = out.setdefault(row["dim"], Bands(0, set(), {}, 0))
+        own.n += row["n"]
+        if row["n"] <= FEW:
+            own.whole.add(row["band"])
+        else:
+            own.largest[row["band"]] = row["largest"]
+    for dim, own in out.items():
+        own.probes = probe_count(own.n, width(dim))
+    return out
+
+
+def matrices(part: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The length, rows and vectors of pieces of a batch with a vector column, by length."""
+    vectors = part.column("vector")
+    sizes = vectors.value_lengths().to_numpy()
+    for dim in np.unique(sizes):
+        own = np.flatnonzero(sizes == dim)
+        for at in range(0, len(own), 1_024):
+            some = own[at : at + 1_024]
+            yield int(dim), some, np.array([vectors[int(i)].as_py() for i in some], np.float64)
+
+
+def axes(x: np.ndarray, last: np.ndarray, count: int) -> Iterator[np.ndarray]:
+    """Of each table, the cells of unit vectors, counted through all tables."""
+    unit = padded(x, last)
+    for number in range(TABLES):
+        yield signed_axes(rotated(unit, number), count) + number * 2 * unit.shape[1]
+
+
+def candidate_cells(x: np.ndarray, bands: np.ndarray, entries: np.ndarray, own: Bands) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, cells): candidates of a probed band lie in one cell a table, those met whole in one of the cells below."""
+    dealt = (entries.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(own.parts)
+    for band in np.unique(bands).tolist():
+        rows = np.flatnonzero(bands == band)
+        if band in own.whole:
+            yield rows, WHOLE - dealt[rows].astype(np.int64)[:, None]
+        else:
+            scaled = x[rows] / own.largest[band]
+            last = np.sqrt(np.maximum(0, 1 - (scaled * scaled).sum(axis=1)))
+            for cells in axes(scaled, last, 1):
+                yield rows, cells + band * TABLES * 2 * width(x.shape[1])
+
+
+def query_cells(x: np.ndarray, own: Bands) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, cells): a query goes to its nearest axes in every probed band, and to all that is met whole."""
+    rows = np.arange(len(x))
+    if own.whole:
+        yield rows, np.broadcast_to(WHOLE - np.arange(own.parts), (len(x), own.parts))
+    if own.largest:
+        unit = x / np.abs(x).max(axis=1, keepdims=True)
+        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+        for cells in axes(unit, np.zeros(len(x)), own.probes):
+            for band in own.largest:
+                yield rows, cells + band * TABLES * 2 * width(x.shape[1])
+
+
+def probes(heads: DataFrame, lengths: dict[int, Bands], asking: bool) -> DataFrame:
+    """(dim, cell, entry, packed) of (entry, vector, band), as candidates or as queries; lengths not given take no part."""
 
     def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for part in parts:
-            ids, vectors = part.column("entry").to_numpy(), part.column("vector")
-            sizes = vectors.value_lengths().to_numpy()
-            for dim in np.unique(sizes):
-                own = np.flatnonzero(sizes == dim)
-                for at in range(0, len(own), 1_024):
-                    some = own[at : at + 1_024]
-                    x = np.array([vectors[int(i)].as_py() for i in some], np.float64)
-                    norms = np.linalg.norm(x, axis=1)
-                    if largest is None:
-                        unit = padded(x / norms[:, None], np.zeros(len(x)))
-                    else:
-                        unit = padded(x / largest, np.sqrt(np.maximum(0, 1 - (norms / largest) ** 2)))
-                    width = unit.shape[1]
-                    count = 1 if largest is not None else probe_count(n, width)
+            ids, bands = part.column("entry").to_numpy(), part.column("band").to_numpy()
+            for dim, some, x in matrices(part):
+                if dim in lengths:
                     packed = [row.tobytes() for row in x]
-                    for number in range(TABLES):
-                        cells = signed_axes(rotated(unit, number), count) + number * 2 * width
-                        for i, row in zip(range(len(some)), cells):
+                    found = query_cells(x, lengths[dim]) if asking else candidate_cells(x, bands[some], ids[some], lengths[dim])
+                    for members, cells in found:
+                        for i, row in zip(members.tolist(), cells.tolist()):
                             for cell in row:
-                                yield int(dim), int(cell), int(ids[some[i]]), packed[i]
+                                yield dim, cell, int(ids[some[i]]), packed[i]
+
+    return heads.select("entry", "vector", "band").mapInArrow(lambda parts: batches(_PROBE_ARROW, rows(parts), 5_000), _PROBE_DDL)
+
+
+def met(heads: DataFrame, asked: DataFrame, lengths: dict[int, Bands], best: int) -> DataFrame:
+    """(query, entry, score): the best of what each query meets."""
+    others = blocked(probes(heads, lengths, False), BLOCK, "others")
+    asking = blocked(probes(asked, lengths, True), QUERY_BLOCK, "queries")
+    found = reranked(others.join(asking, ["dim", "cell"]), best)
+    return top(found.groupBy("query", "entry").agg(F.max("score").alias("score")), "query", "entry", best).drop("rank")
+
+
+def selves(asked: DataFrame) -> DataFrame:
+    """(query, entry, score) of each query and its own vector, summed as in ``reranked``."""
+
+    def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for part in parts:
+            ids = part.column("entry").to_numpy()
+            for _, some, x in matrices(part):
+                for entry, score in zip(ids[some].tolist(), (x * x).sum(axis=1).tolist()):
+                    yield entry, entry, score
 
-    return entries.select("entry", "vector").mapInArrow(lambda parts: batches(_PROBE_ARROW, rows(parts), 5_000), _PROBE_DDL)
+    return asked.select("entry", "vector").mapInArrow(lambda parts: batches(_FOUND_ARROW, rows(parts)), _FOUND_DDL)
 
 
 def blocked(cells: DataFrame, size: int, name: str) -> DataFrame:
@@ -136,7 +245,7 @@ def reranked(pairs: DataFrame, best: int) -> DataFrame:
                     for entry, score in zip(ids[near].tolist(), exact.tolist()):
                         yield query["entry"], entry, score
 
-    return pairs.select("dim", "queries", "others").mapInArrow(lambda parts: batches(_FOUND_ARROW, rows(parts)), "query bigint, entry bigint, score double")
+    return pairs.select("dim", "queries", "others").mapInArrow(lambda parts: batches(_FOUND_ARROW, rows(parts)), _FOUND_DDL)
 
 
 def clean_vectors(rows: DataFrame, name: str = "embedding") -> DataFrame:
@@ -158,13 +267,18 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     by_vector = Window.partitionBy("vector").orderBy("vec_id")
     ranked = vectors.withColumn("nth", F.row_number().over(by_vector)).where(F.col("nth") <= k + 1)
     members = stored(ranked.withColumn("entry", F.min("vec_id").over(Window.partitionBy("vector"))), "neighbour-members")
-    heads = members.where(F.col("nth") == 1).select("entry", "vector")
-    n, largest = heads.agg(F.count("*"), F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)))).first()
+    heads = stored(measured(members.where(F.col("nth") == 1).select("entry", "vector")), "neighbour-heads")
+    lengths = banded(heads)
     asked = stored(queries.join(members.where(F.col("nth") == 1).select("vector", "entry"), "vector").select("vec_id", "entry"), "neighbour-queries")
-    asked_heads = heads.join(asked.select("entry").distinct(), "entry", "left_semi")
-    others = blocked(probes(heads, largest or 1.0), BLOCK, "others")
-    asking = blocked(probes(asked_heads, None, n), QUERY_BLOCK, "queries")
-    found = reranked(others.join(asking, ["dim", "cell"]), k + 1)
+    asked_heads = stored(heads.join(asked.select("entry").distinct(), "entry", "left_semi"), "neighbour-asked")
+    found = stored(met(heads, asked_heads, lengths, k + 1), "neighbour-found")
+    counts = found.groupBy("query").agg(F.count("*").alias("n")).where(F.col("n") > k)
+    open_lengths = {dim: replace(own, whole={*own.whole, *own.largest}, largest={}) for dim, own in lengths.items() if own.largest}
+    short = asked_heads.where(F.col("dim").isin(list(open_lengths))).join(counts, F.col("entry") == F.col("query"), "left_anti")
+    short = stored(short, "neighbour-short")
+    found = found.unionByName(selves(asked_heads))
+    if not short.isEmpty():
+        found = found.unionByName(met(heads, short, open_lengths, k + 1))
     best = top(found.groupBy("query", "entry").agg(F.max("score").alias("score")), "query", "entry", k + 1).drop("rank")
     ids = members.select("entry", F.col("vec_id").alias("member"))
     listed = top(best.join(ids, "entry").select("query", "member", "score"), "query", "member", k + 1).drop("rank")

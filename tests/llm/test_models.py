@@ -184,6 +184,28 @@ def test_neighbours_with_ties_nulls_and_few_vectors(spark):
     assert neighbours.nearest(empty, empty).count() == 0
 
 
+def recall_of(spark, vectors, step):
+    plain = {i: v.tolist() for i, v in enumerate(vectors)}
+    df = spark.createDataFrame(list(plain.items()), "vec_id bigint, embedding array<double>").repartition(8)
+    clean = neighbours.clean_vectors(df)
+    got = found(neighbours.nearest(clean, clean.where(f"vec_id % {step} = 0")))
+    want = brute.nearest(plain, range(0, len(plain), step))
+    assert {q: len(r) for q, r in got.items()} == {q: len(r) for q, r in want.items()}
+    return np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / len(want[q]) for q in want])
+
+
+@pytest.mark.parametrize("norms", ["one large", "spread"])
+def test_neighbours_of_unequal_norms(spark, norms):
+    rng = np.random.default_rng(11)
+    vectors = rng.standard_normal((4_000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    if norms == "spread":
+        vectors *= rng.lognormal(0, 0.5, (4_000, 1))
+    else:
+        vectors[77] *= 20
+    assert recall_of(spark, vectors, 40) >= 0.9
+
+
 def test_pipeline_against_brute_force(spark):
     got = corpus_pipeline.run(spark, SMALL).collect()
     _, docs = small_docs(spark)
