@@ -4,10 +4,11 @@ Largest inner product becomes largest cosine by one more coordinate: a candidate
 query is (q / |q|, 0).  M is the largest norm of x's band: norms within a factor of NORM_STEP are a band with cells of its
 own, so the last coordinate stays small and one large vector does not crowd the others into a few cells.  A query probes
 every band, and all it meets is reranked together.  Bands of few vectors are met whole.  In each table a pseudo-rotation (three rounds of random signs and a fast
-Hadamard transform) turns the vector, and its bucket is the nearest signed axis.  A query probes, in every table, the
-axes nearest to it; how many follows from the number of vectors n by one rule, PROBE_SHARE * n^-PROBE_POWER of all axes:
-the more vectors there are, the nearer the neighbours and the fewer probes they need.  A query always meets its own vector;
-one that meets fewer than k + 1 entries is compared with all vectors of its length.
+Hadamard transform) turns the vector, and its bucket is the nearest signed axis.  A query probes,
+in every table, the axes nearest to it; how many is fitted for each length of vectors: up to SAMPLE queries are compared with
+all vectors, and the fewest probes are taken with which their mean recall, less two standard errors, is at least RECALL.
+Where so many probes would touch no fewer vectors than a comparison with all, all are compared.  A query always meets its
+own vector; one that meets fewer than k + 1 entries is compared with all vectors of its length.
 
 Equal vectors are one entry, so a very common vector is no hot bucket; each keeps its ``k + 1`` smallest ids, which is all
 that can be among any query's k nearest.  Buckets are dealt in blocks of bounded size on both sides, a block pair is one
@@ -34,8 +35,9 @@ from roompulse.llm.tables import batches, stored, table
 K = 20
 QUERY_STEP = 20
 TABLES = 8
-PROBE_SHARE = 2.2
-PROBE_POWER = 0.35
+#: The fit of the probes: mean recall of the sampled queries of a length, less two standard errors, and their number.
+RECALL = 0.95
+SAMPLE = 128
 #: Largest norm of a band over its smallest, at most.
 NORM_STEP = 1.15
 #: A band of at most so many vectors is met whole by every query of its length.
@@ -48,6 +50,8 @@ _PROBE_ARROW = pa.schema([("dim", pa.int32()), ("cell", pa.int64()), ("entry", p
 _PROBE_DDL = "dim int, cell bigint, entry bigint, packed binary"
 _FOUND_ARROW = pa.schema([("query", pa.int64()), ("entry", pa.int64()), ("score", pa.float64())])
 _FOUND_DDL = "query bigint, entry bigint, score double"
+_DEPTH_ARROW = pa.schema([("dim", pa.int32()), ("query", pa.int64()), ("depth", pa.int64())])
+_DEPTH_DDL = "dim int, query bigint, depth bigint"
 #: The cells of vectors that are met whole lie from here downwards, below those of all bands.
 WHOLE = -(1 << 60)
 
@@ -84,11 +88,6 @@ def signed_axes(y: np.ndarray, count: int) -> np.ndarray:
     return np.argpartition(-both, count - 1, axis=1)[:, :count]
 
 
-def probe_count(n: int, width: int) -> int:
-    share = min(1.0, PROBE_SHARE * max(n, 1) ** -PROBE_POWER)
-    return max(1, int(np.ceil(share * 2 * width)))
-
-
 def measured(heads: DataFrame) -> DataFrame:
     """(entry, vector, dim, norm, band) of (entry, vector)."""
     most = F.array_max(F.transform("vector", F.abs))
@@ -127,11 +126,94 @@ def banded(heads: DataFrame) -> dict[int, Bands]:
             own.whole.add(row["band"])
         else:
             own.largest[row["band"]] = row["largest"]
-    for dim, own in out.items():
-        own.probes = probe_count(own.n, width(dim))
     return out
 
 
+def fewest_probes(depths: list[list[int]]) -> int:
+    """The fewest probes that reach RECALL; depths: of each sampled query, how many probes find each of its neighbours."""
+    for count in sorted({depth for own in depths for depth in own}):
+        recall = np.array([np.mean(np.array(own) <= count) for own in depths])
+        if recall.mean() - 2 * recall.std() / np.sqrt(len(recall)) >= RECALL:
+            return count
+    return 1
+
+
+def fitted(heads: DataFrame, asked: DataFrame, lengths: dict[int, Bands], k: int) -> dict[int, Bands]:
+    """``lengths`` with the probes that the sampled queries need, or with all bands met whole."""
+    wanted = [dim for dim, own in lengths.items() if own.largest]
+    if not wanted:
+        return lengths
+    drawn = asked.where(F.col("dim").isin(wanted)).withColumn("score", F.xxhash64("entry"))
+    sample: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    rows_of: dict[int, list] = {}
+    for row in top(drawn, "dim", "entry", SAMPLE).select("dim", "entry", "vector").collect():  # at most SAMPLE a length
+        rows_of.setdefault(row["dim"], []).append(row)
+    for dim, own in rows_of.items():
+        sample[dim] = np.array([r["entry"] for r in own]), np.array([r["vector"] for r in own], np.float64)
+    shared = heads.sparkSession.sparkContext.broadcast(sample)
+
+    def scores(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for part in parts:
+            ids = part.column("entry").to_numpy()
+            for dim, some, x in matrices(part):
+                if dim in shared.value:
+                    queries, y = shared.value[dim]
+                    score, entry = y @ x.T, np.broadcast_to(ids[some], (len(y), len(x)))
+                    if dim in held:
+                        score, entry = np.hstack([held[dim][0], score]), np.hstack([held[dim][1], entry])
+                    best = np.argsort(-score, axis=1, kind="stable")[:, : k + 1]
+                    held[dim] = np.take_along_axis(score, best, 1), np.take_along_axis(entry, best, 1)
+        for dim, (score, entry) in held.items():
+            for query, own, others in zip(shared.value[dim][0].tolist(), score.tolist(), entry.tolist()):
+                yield from ((query, other, value) for other, value in zip(others, own))
+
+    def depths(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for part in parts:
+            asking, ids, bands = (part.column(c).to_numpy() for c in ("query", "entry", "band"))
+            for dim, some, x in matrices(part):
+                own, (queries, y) = lengths[dim], shared.value[dim]
+                place = {q: i for i, q in enumerate(queries.tolist())}
+                unit = unit_rows(y)
+                at = np.array([place[q] for q in asking[some].tolist()])
+                depth = np.full(len(some), 1)
+                for band in set(bands[some].tolist()) - own.whole:
+                    rows = np.flatnonzero(bands[some] == band)
+                    least = np.full(len(rows), np.iinfo(np.int64).max)
+                    cells = (c for _, c in candidate_cells(x[rows], bands[some][rows], ids[some][rows], own))
+                    for number, cell in enumerate(cells):
+                        turned = rotated(padded(unit, np.zeros(len(unit))), number)
+                        both = np.stack([-turned, turned], axis=2).reshape(len(turned), -1)[at[rows]]
+                        mine = np.take_along_axis(both, cell % both.shape[1], 1)
+                        least = np.minimum(least, (both > mine).sum(axis=1) + 1)
+                    depth[rows] = least
+                for query, value in zip(asking[some].tolist(), depth.tolist()):
+                    yield dim, query, value
+
+    found = heads.where(F.col("dim").isin(wanted)).select("entry", "vector").mapInArrow(lambda parts: batches(_FOUND_ARROW, scores(parts)), _FOUND_DDL)
+    true = top(found.where(F.col("query") != F.col("entry")), "query", "entry", k)
+    deep = true.join(heads, "entry").select("query", "entry", "band", "vector").mapInArrow(lambda parts: batches(_DEPTH_ARROW, depths(parts)), _DEPTH_DDL)
+    needed: dict[int, dict[int, list[int]]] = {}
+    for row in deep.collect():  # at most SAMPLE * k a length
+        needed.setdefault(row["dim"], {}).setdefault(row["query"], []).append(row["depth"])
+    out = dict(lengths)
+    for dim in wanted:
+        own = lengths[dim]
+        count = fewest_probes(list(needed.get(dim, {}).values()))
+        touched = TABLES * count * (len(own.largest) + own.n / (2 * width(dim)))
+        out[dim] = replace(own, probes=count) if touched < own.n + own.parts else all_whole(own)
+    return out
+
+
+def all_whole(own: Bands) -> Bands:
+    return replace(own, whole={*own.whole, *own.largest}, largest={})
+
+
+def unit_rows(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def matrices(part: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """The length, rows and vectors of pieces of a batch with a vector column, by length."""
     vectors = part.column("vector")
@@ -170,9 +252,7 @@ def query_cells(x: np.ndarray, own: Bands) -> Iterator[tuple[np.ndarray, np.ndar
     if own.whole:
         yield rows, np.broadcast_to(WHOLE - np.arange(own.parts), (len(x), own.parts))
     if own.largest:
-        unit = x / np.abs(x).max(axis=1, keepdims=True)
-        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-        for cells in axes(unit, np.zeros(len(x)), own.probes):
+        for cells in axes(unit_rows(x), np.zeros(len(x)), own.probes):
             for band in own.largest:
                 yield rows, cells + band * TABLES * 2 * width(x.shape[1])
 
@@ -268,12 +348,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     ranked = vectors.withColumn("nth", F.row_number().over(by_vector)).where(F.col("nth") <= k + 1)
     members = stored(ranked.withColumn("entry", F.min("vec_id").over(Window.partitionBy("vector"))), "neighbour-members")
     heads = stored(measured(members.where(F.col("nth") == 1).select("entry", "vector")), "neighbour-heads")
-    lengths = banded(heads)
     asked = stored(queries.join(members.where(F.col("nth") == 1).select("vector", "entry"), "vector").select("vec_id", "entry"), "neighbour-queries")
     asked_heads = stored(heads.join(asked.select("entry").distinct(), "entry", "left_semi"), "neighbour-asked")
+    lengths = fitted(heads, asked_heads, banded(heads), k)
     found = stored(met(heads, asked_heads, lengths, k + 1), "neighbour-found")
     counts = found.groupBy("query").agg(F.count("*").alias("n")).where(F.col("n") > k)
-    open_lengths = {dim: replace(own, whole={*own.whole, *own.largest}, largest={}) for dim, own in lengths.items() if own.largest}
+    open_lengths = {dim: all_whole(own) for dim, own in lengths.items() if own.largest}
     short = asked_heads.where(F.col("dim").isin(list(open_lengths))).join(counts, F.col("entry") == F.col("query"), "left_anti")
     short = stored(short, "neighbour-short")
     found = found.unionByName(selves(asked_heads))

@@ -206,6 +206,19 @@ def test_neighbours_of_unequal_norms(spark, norms):
     assert recall_of(spark, vectors, 40) >= 0.9
 
 
+@pytest.mark.parametrize("n, dim", [(2_000, 768), (20_000, 64)])
+def test_neighbours_reach_their_recall_at_any_size_and_width(spark, n, dim):
+    vectors = np.random.default_rng(11).standard_normal((n, dim))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    assert recall_of(spark, vectors, n // 100) >= 0.95
+
+
+def test_probes_are_the_fewest_that_reach_the_recall():
+    assert neighbours.fewest_probes([[1] * 20, [3] * 20]) == 3
+    assert neighbours.fewest_probes([[1] * 39 + [9], [1] * 39 + [9]]) == 1
+    assert neighbours.fewest_probes([]) == 1
+
+
 def test_pipeline_against_brute_force(spark):
     got = corpus_pipeline.run(spark, SMALL).collect()
     _, docs = small_docs(spark)
