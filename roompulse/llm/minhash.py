@@ -11,7 +11,7 @@
 4. Components by large-star and small-star over all links.
 
 With 26 bands of 5 minima a link of similarity 0.85 shares no bucket with probability 2e-7; the signature bound lies
-over 4.5 standard deviations below the threshold.
+5 standard deviations below the threshold, whatever that is.
 
 Defined results: a null text or one without words has no shingles and is linked with nothing; fewer words than a
 shingle are one shingle; rows of one doc_id are each scanned and keep one component; rows without doc_id are alone
@@ -39,8 +39,8 @@ BAND_MINIMA = 5
 MINIMA = BANDS * BAND_MINIMA
 #: A link: 100 * intersection >= LINK_PERCENT * union.
 LINK_PERCENT = 85
-#: Least share of equal minima of a pair that goes on to the full sets.
-SIGNATURE_SHARE = 0.70
+#: Standard deviations between the threshold and the least share of equal minima of a pair that goes on to the full sets.
+SIGNATURE_SLACK = 5.0
 #: Hash cells in which the shingles of open documents are counted.
 CELLS = 1 << 16
 WORDS_KEPT = 150_000
@@ -125,14 +125,21 @@ def banded(signed: DataFrame) -> DataFrame:
     return signed.select("doc_id", "signature").mapInArrow(rows, "bucket bigint, doc_id bigint")
 
 
-def agreeing(pairs: DataFrame, signed: DataFrame) -> DataFrame:
+def least_share(percent: int) -> float:
+    """The least share of equal minima with which a pair can be a link."""
+    share = percent / 100
+    return share - SIGNATURE_SLACK * (share * (1 - share) / MINIMA) ** 0.5
+
+
+def agreeing(pairs: DataFrame, signed: DataFrame, percent: int = LINK_PERCENT) -> DataFrame:
     """The pairs (a, b) whose signatures agree in enough places."""
+    least = least_share(percent)
 
     def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             if part.num_rows:
                 x, y = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint32).reshape(-1, MINIMA) for c in ("sa", "sb"))
-                keep = pa.array((x == y).mean(axis=1) >= SIGNATURE_SHARE)
+                keep = pa.array((x == y).mean(axis=1) >= least)
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], schema=_PAIR_ARROW).filter(keep)
 
     first = signed.select(F.col("doc_id").alias("a"), F.col("signature").alias("sa"))
@@ -250,12 +257,12 @@ def near_duplicates(docs: DataFrame, percent: int = LINK_PERCENT) -> DataFrame:
     bands = banded(signed)
     crowded = bands.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     members = stored(bands.join(crowded, "bucket"), "minhash-members")
-    pairs = stored(agreeing(hub_pairs(members), signed), "minhash-pairs")
+    pairs = stored(agreeing(hub_pairs(members), signed, percent), "minhash-pairs")
     texts = stored(packed_texts(docs, members.select("doc_id").distinct()), "minhash-texts")
     links = stored(confirmed(pairs, texts, percent), "minhash-links")
     parts = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     apart = stored(texts.join(open_documents(members, parts), "doc_id"), "minhash-open")
-    late = stored(agreeing(open_pairs(apart, percent).join(pairs, ["a", "b"], "left_anti"), signed), "minhash-late-pairs")
+    late = stored(agreeing(open_pairs(apart, percent).join(pairs, ["a", "b"], "left_anti"), signed, percent), "minhash-late-pairs")
     late_links = stored(confirmed(late, texts, percent), "minhash-late-links")
     stars = parts.select(F.col("node").alias("u"), F.col("component").alias("v"))
     parts = components(stars.unionByName(late_links.select(F.col("a").alias("u"), F.col("b").alias("v"))))

@@ -1,6 +1,7 @@
 """Near duplicates, languages, chats, neighbours, and the pipeline."""
 
 import itertools
+import math
 import random
 import zlib
 
@@ -52,6 +53,28 @@ def test_near_duplicates_near_the_threshold(spark, edges, monkeypatch):
     assert classes(minhash.near_duplicates(frame(spark, rows))) == want
 
 
+@pytest.mark.parametrize("percent", [60, 80, 85, 95])
+def test_signature_bound_follows_the_threshold(percent):
+    least, share = np.ceil(minhash.least_share(percent) * minhash.MINIMA - 1e-9), percent / 100
+    dropped = sum(math.comb(minhash.MINIMA, i) * share**i * (1 - share) ** (minhash.MINIMA - i) for i in range(int(least)))
+    assert dropped < 1e-4
+
+
+def test_near_duplicates_at_another_threshold(spark):
+    rng, rows = random.Random(5), []
+    for family in range(60):
+        base = [f"w{family}-{i}" for i in range(300)]
+        rows.append((10 * family, " ".join(base)))
+        for i in range(1, 4):
+            copy = list(base)
+            for at in rng.sample(range(0, 300, 6), 4 + i + family % 3):
+                copy[at] = f"new{family}-{i}-{at}"
+            rows.append((10 * family + i, " ".join(copy)))
+    want = sorted(brute.linked_components(rows, 80))
+    assert want != sorted(brute.linked_components(rows, 85))
+    assert classes(minhash.near_duplicates(frame(spark, rows), 80)) == want
+
+
 def test_near_duplicates_of_awkward_and_empty_tables(spark, awkward, nothing):
     got = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in minhash.near_duplicates(awkward[0]).collect()}
     assert got[8, 1] == 7 and got[None, 0] is None
