@@ -75,6 +75,15 @@ def test_near_duplicates_at_another_threshold(spark):
     assert classes(minhash.near_duplicates(frame(spark, rows), 80)) == want
 
 
+def test_late_pairs_do_not_depend_on_signatures(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "SIGNATURE_SLACK", -1_000.0)
+    base = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join([*base[:i], f"new{i}", *base[i + 1 :]])) for i in range(12)]
+    want = sorted(brute.linked_components(rows))
+    assert {c for _, _, c in want} == {0}
+    assert classes(minhash.near_duplicates(frame(spark, rows))) == want
+
+
 def test_near_duplicates_of_awkward_and_empty_tables(spark, awkward, nothing):
     got = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in minhash.near_duplicates(awkward[0]).collect()}
     assert got[8, 1] == 7 and got[None, 0] is None
