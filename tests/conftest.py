@@ -8,10 +8,9 @@ sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
 
-from roompulse.session import build_session  # noqa: E402
+from oracle_check import SMALL  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-CHECKED = "/root/testdata/sf0.01"
+from roompulse.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -17,6 +17,9 @@ import duckdb
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+SMALL = "/root/testdata/sf0.001"
+CHECKED = "/root/testdata/sf0.01"
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
@@ -83,7 +86,7 @@ def main(argv: list[str]) -> int:
     from __spark_entry__ import oracle_sql, queries
     from roompulse.session import build_session
 
-    folder = argv[0] if argv else "/root/testdata/sf0.01"
+    folder = argv[0] if argv else CHECKED
     spark = build_session(
         "oracle-check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"}
     )

@@ -1,8 +1,7 @@
 """Every query against its SQL."""
 
 import pytest
-from conftest import CHECKED
-from oracle_check import compare, connect
+from oracle_check import CHECKED, compare, connect
 
 from __spark_entry__ import LLM_ORACLE, LLM_QUERIES, entry, oracle_sql, queries
 

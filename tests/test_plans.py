@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import SMALL
+from oracle_check import SMALL
 
 from __spark_entry__ import LLM_QUERIES, queries
 

@@ -4,7 +4,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import SMALL
+from oracle_check import SMALL
 from pyspark.sql import functions as F
 
 from roompulse.operators import messages as m
