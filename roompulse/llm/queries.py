@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from roompulse.llm.alignment import op11_cross_tokenizer_alignment
 from roompulse.llm.chat import OP3_SQL, op3_chat_formatting
 from roompulse.llm.decontaminate import OP8_SQL, op8_benchmark_decontamination
+from roompulse.llm.group_packing import op13_packing
+from roompulse.llm.infill import OP12_SQL, op12_fill_in_middle
 from roompulse.llm.language import op6_language_id
 from roompulse.llm.lines import OP7_SQL, op7_line_dedup
 from roompulse.llm.minhash import op5_minhash_near_dedup
@@ -24,10 +27,15 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_token_files": op9_token_files,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_packing": op13_packing,
 }
 
 ORACLE = {
     "op3_chat_formatting": OP3_SQL,
     "op7_line_dedup": OP7_SQL,
     "op8_benchmark_decontamination": OP8_SQL,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
+    "op12_fill_in_middle": OP12_SQL,
 }

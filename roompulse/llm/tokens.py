@@ -13,6 +13,7 @@ import numpy as np
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.json"
+PIECE_VOCABULARY = "piece_bpe_32k.model"
 
 #: Bounds of the two memories of a worker, in entries; words longer than WORD_BYTES are not remembered.
 WORDS_KEPT = 1_000_000
@@ -136,12 +137,91 @@ class SpanEncoder:
         return cut
 
 
+#: The cutting rule of byte-level files that name no other, as their format defines it.
+BYTE_LEVEL_RULE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+class ByteEncoder:
+    """Ids of a space and a text under a byte-level vocabulary file, special strings as plain text.
+
+    Where the file's merges are in the order of its ids and it cuts by the byte-level rule alone, a text of known letters
+    goes through ranks built from the file's own entries; every other text, or file, through ``tokenizers``.
+    """
+
+    def __init__(self, path: str):
+        import json
+
+        import pyarrow as pa
+        import tiktoken
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        own = json.loads(self.tokenizer.to_str())
+        special = {t["id"] for t in own["added_tokens"]}
+        of_letter = {letter: b for b, letter in byte_letters().items()}
+        ranks = {bytes(of_letter[c] for c in entry): i for entry, i in own["model"]["vocab"].items() if i not in special}
+        entries = dict(zip(ranks.values(), ranks))
+        #: Bytes of each id; special ids have none and are never given.
+        self.entries = pa.array([entries.get(i, b"") for i in range(max(own["model"]["vocab"].values()) + 1)], pa.binary())
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in own["model"]["merges"]]
+        in_order = all(own["model"]["vocab"].get(a + b) == 256 + i for i, (a, b) in enumerate(merges)) and len(ranks) == 256 + len(merges)
+        cutting = own["pre_tokenizer"] or {}
+        by_rule = cutting.get("type") == "ByteLevel" and cutting.get("use_regex", True) and not cutting.get("add_prefix_space")
+        rest = any(own["model"].get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+        self.ranks = None
+        if in_order and by_rule and not own["normalizer"] and not rest:
+            self.ranks = tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_RULE, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(self.ids(" " + t), np.int32) for t in texts]
+
+    def ids(self, text: str) -> list[int]:
+        if self.ranks and SPAN_PLAIN.fullmatch(text):
+            return self.ranks.encode_ordinary(text)
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+class PieceEncoder:
+    """Ids of a text under a sentence-piece model, which puts a space before it."""
+
+    def __init__(self, path: str):
+        import pyarrow as pa
+        import sentencepiece
+
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.entries = pa.array([self.entry(i) for i in range(self.model.get_piece_size())], pa.binary())
+
+    def entry(self, i: int) -> bytes:
+        piece = self.model.id_to_piece(i)
+        return bytes([int(piece[3:-1], 16)]) if self.model.is_byte(i) else piece.replace("\u2581", " ").encode()
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(ids, np.int32) for ids in self.model.encode(texts, num_threads=1)]
+
+
 def packed(ids: list[int]) -> bytes:
     return np.array(ids, "<u4").tobytes()
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
 _SPANS: dict[str, SpanEncoder] = {}
+_BYTES: dict[str, ByteEncoder] = {}
+_MODELS: dict[str, PieceEncoder] = {}
+
+
+def byte_encoder(path: str) -> ByteEncoder:
+    """One encoder for each worker process."""
+    if path not in _BYTES:
+        _BYTES[path] = ByteEncoder(path)
+    return _BYTES[path]
+
+
+def piece_encoder(path: str) -> PieceEncoder:
+    """One encoder for each worker process."""
+    if path not in _MODELS:
+        _MODELS[path] = PieceEncoder(path)
+    return _MODELS[path]
 
 
 def span_encoder(path: str) -> SpanEncoder:

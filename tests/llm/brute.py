@@ -128,3 +128,61 @@ def nearest(vectors: dict[int, list[float]], queries: list[int], k: int = 20) ->
         order = [i for i in np.lexsort((ids, -scores)) if ids[i] != q][:k]
         out[q] = [(int(ids[i]), float(scores[i])) for i in order]
     return out
+
+
+def alignments(docs: list[tuple[int, str | None]], a_path: str, b_path: str) -> list[tuple]:
+    """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
+    import json
+
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a, b = Tokenizer.from_file(a_path), sentencepiece.SentencePieceProcessor(model_file=b_path)
+    a.encode_special_tokens = True
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letters = {chr(x): x for x in own} | {chr(256 + i): x for i, x in enumerate(x for x in range(256) if x not in own)}
+    entries = {i: bytes(letters.get(c, 0) for c in e) for e, i in json.load(open(a_path))["model"]["vocab"].items()}
+
+    def tokens(text):
+        if not text:
+            return [], []
+        left = [(i, entries[i]) for i in a.encode(" " + text, add_special_tokens=False).ids]
+        right = [(i, bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode()) for i in b.encode(text) for p in [b.id_to_piece(i)]]
+        whole = (" " + text).encode()
+        return (left, right) if b"".join(x for _, x in left) == whole == b"".join(x for _, x in right) else ([], [])
+
+    found, counts = [], {}
+    for doc_id, text in docs:
+        left, right = tokens(text)
+        ends = [{end: i for i, end in enumerate(itertools.accumulate(len(x) for _, x in side))} for side in (left, right)]
+        links, groups, from_a, from_b = [], [], 0, 0
+        for end in sorted(ends[0].keys() & ends[1].keys()):
+            to_a, to_b = ends[0][end], ends[1][end]
+            links.append((left[to_a][0], right[to_b][0]))
+            groups.append(",".join(str(i) for i, _ in left[from_a : to_a + 1]) + "|" + ",".join(str(i) for i, _ in right[from_b : to_b + 1]))
+            from_a, from_b = to_a + 1, to_b + 1
+        for pair in links:
+            counts[pair] = counts.get(pair, 0) + 1
+        found.append((doc_id, len(left), len(right), links, sha(";".join(groups)) if groups else ""))
+    best = {}
+    for (_, y), n in counts.items():
+        best[y] = max(best.get(y, 0), n)
+    return [(d, n_a, n_b, len(x), len(x), sum(counts[p] == best[p[1]] for p in x), sum(counts[p] for p in x), digest) for d, n_a, n_b, x, digest in found]
+
+
+def infilled(docs: list[tuple[int, str | None]]) -> list[tuple]:
+    """doc_id, n, form, prefix_chars, middle_chars, output."""
+    out = []
+    for doc_id, text in docs:
+        text = text or ""
+        own = re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+", text)
+        h = [int(sha(f"42:{doc_id}")[i : i + 8], 16) for i in (0, 8, 16, 24)]
+        lo, hi = sorted(x % (len(own) + 1) for x in h[:2])
+        p, m, s = "".join(own[:lo]), "".join(own[lo:hi]), "".join(own[hi:])
+        if not text or any(x in text for x in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 50:
+            out.append((doc_id, len(own), "plain", None, None, text))
+        elif h[3] % 100 < 80:
+            out.append((doc_id, len(own), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"))
+        else:
+            out.append((doc_id, len(own), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"))
+    return out
