@@ -337,9 +337,10 @@ def danmaku_trend(
     return per_minute.select("room_name", "t", c.alias("c")).filter(F.col("c") > 0)
 
 
-def danmaku_recent(danmaku: DataFrame, n: int = 20, room: str | None = None) -> DataFrame:
-    """The ``n`` newest messages of every room."""
-    return newest_rows(only(danmaku, room_name=room), ["room_name"], "id", n).select(
+def danmaku_recent(danmaku: DataFrame, n: int = 20, room: str | None = None, complete=None) -> DataFrame:
+    """The ``n`` newest messages of every room; ``complete`` may add columns, such as the text, to the chosen rows."""
+    rows = newest_rows(only(danmaku, room_name=room), ["room_name"], "id", n)
+    return (complete(rows) if complete else rows).select(
         "room_name", "rank", "username", "text", "gift_name", "gift_count", "msg_type", "created_at"
     )
 
@@ -354,7 +355,7 @@ def danmaku_search(danmaku: DataFrame, needle: str, n: int = 50, room: str | Non
     )
 
 
-def export_latest(danmaku: DataFrame, n: int = 10_000, room: str | None = None) -> DataFrame:
-    """The ``n`` newest messages per room with every column, ready for a CSV sink."""
-    rows = newest_rows(only(danmaku, room_name=room), ["room_name"], "id", n)
-    return rows.select(*danmaku.columns)
+def export_latest(danmaku: DataFrame, n: int = 10_000, room: str | None = None, complete=None) -> DataFrame:
+    """The ``n`` newest messages per room with every column, ready for a CSV sink; ``complete`` as for the newest."""
+    rows = newest_rows(only(danmaku, room_name=room), ["room_name"], "id", n).select(*danmaku.columns)
+    return complete(rows) if complete else rows

@@ -10,6 +10,7 @@ from roompulse.functions.texts import STOP_WORDS, char_windows, is_topic_term, t
 from roompulse.functions.times import bucket_start, clock, minutes
 from roompulse.operators.audience import by_chats, is_chat
 from roompulse.operators.common import newest_rows, only, top_per_key
+from roompulse.sinks.files import stored
 
 # Sentiment labels and the scores that separate them.
 POSITIVE = "正面"
@@ -53,18 +54,21 @@ def chat_lines(danmaku: DataFrame, room: str | None = None, latest: int | None =
 def train_sentiment(labelled: DataFrame) -> DataFrame:
     """Multinomial naive Bayes as one aggregation: a log-odds weight per term.
 
-    Weights are whole millionths, so their sums do not depend on row order.  The
-    class prior sits in every row to keep the model a single frame.
+    The texts are read once: counts of terms, and of the texts themselves (the row without a term), are stored, and
+    totals and prior come from those few rows.  Weights are whole millionths, so their sums do not depend on row order.
+    The class prior sits in every row to keep the model a single frame.
     """
-    positive = F.col("positive")
-    word = F.explode(terms(F.col("text"))).alias("term")
-    counts = (
+    positive, no_term = F.col("positive"), F.array(F.lit(None).cast("string"))
+    word = F.explode(F.concat(F.coalesce(terms(F.col("text")), F.array().cast("array<string>")), no_term)).alias("term")
+    counted = (
         labelled.select(positive, word)
         .groupBy("term")
         .agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
     )
+    counted = stored(counted, "sentiment-counts")
+    counts, texts = counted.filter(F.col("term").isNotNull()), counted.filter(F.col("term").isNull())
     totals = counts.agg(F.struct(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.count("*").alias("terms")))
-    prior = labelled.agg(F.ln((F.count_if(positive) + 1) / (F.count_if(~positive) + 1)))
+    prior = texts.agg(F.ln((F.max("pos") + 1) / (F.max("neg") + 1)))
     t = totals.scalar()
     share_pos = (F.col("pos") + 1) / (t["pos"] + t["terms"])
     share_neg = (F.col("neg") + 1) / (t["neg"] + t["terms"])
@@ -266,22 +270,24 @@ def keywords_tfidf(
     """The ``k`` terms of each room with the highest TF-IDF weight.
 
     Term and document frequencies come from one pass: each line yields all its
-    terms, then its distinct terms, both counted before anything is shuffled.
+    terms, then its distinct terms and one row without a term, all counted before
+    anything is shuffled.  The counts are stored, and every total is taken from them.
     """
     long_enough = F.char_length("text") >= 2
     lines = chat_lines(danmaku, None, latest).filter(long_enough).select("room_name", "text")
     arrays = lines.select("room_name", terms(F.col("text")).alias("all"))
-    either = arrays.select(
-        "room_name", F.posexplode(F.array(F.col("all"), F.array_distinct("all"))).alias("kind", "list")
-    )
-    each = either.select("room_name", "kind", F.explode("list").alias("term")).filter(is_topic_term(F.col("term")))
-    counts = each.groupBy("room_name", "term").agg(
+    once = F.concat(F.array_distinct("all"), F.array(F.lit(None).cast("string")))
+    either = arrays.select("room_name", F.posexplode(F.array(F.col("all"), once)).alias("kind", "list"))
+    each = either.select("room_name", "kind", F.explode("list").alias("term"))
+    each = each.filter(F.col("term").isNull() | is_topic_term(F.col("term")))
+    counted = each.groupBy("room_name", "term").agg(
         F.count_if(F.col("kind") == 0).alias("tf"), F.count_if(F.col("kind") == 1).alias("df_room")
     )
-    counts = _without_stop_words(counts)
+    counted = stored(_without_stop_words(counted), "keyword-counts")
+    counts, line_counts = counted.filter(F.col("term").isNotNull()), counted.filter(F.col("term").isNull())
     spread = counts.groupBy("term").agg(F.sum("df_room").alias("df"))
     totals = counts.groupBy("room_name").agg(F.sum("tf").alias("room_terms"))
-    n_lines = lines.agg(F.count("*")).scalar()
+    n_lines = F.coalesce(line_counts.agg(F.sum("df_room")).scalar(), F.lit(0))
     idf = F.ln((n_lines + 1) / (F.col("df") + 1))
     weighted = (
         only(counts, room_name=room)

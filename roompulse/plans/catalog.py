@@ -277,9 +277,9 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "hourly_activity": lambda v: audience.hourly_activity(v.signals),
     "danmaku_trend": lambda v: audience.danmaku_trend(v.signals),
     "danmaku_trend_minutes": lambda v: audience.danmaku_trend(v.signals, 60 * 24, by_clock=False),
-    "danmaku_recent": lambda v: audience.danmaku_recent(v.danmaku),
+    "danmaku_recent": lambda v: audience.danmaku_recent(v.signals, complete=v.with_texts),
     "danmaku_search": lambda v: audience.danmaku_search(v.danmaku, "worth"),
-    "export_latest": lambda v: audience.export_latest(v.danmaku),
+    "export_latest": lambda v: audience.export_latest(v.signals, complete=v.with_texts),
     # text
     "sentiment_score": _scores,
     "sentiment_room": lambda v: text.sentiment_room(_scores(v)),
@@ -337,12 +337,12 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "orc_overwrite": _orc_overwrite,
     "ctas_product_ranking": _ctas_product_ranking,
     # one room, one product, one category, the newest chats only
-    "danmaku_recent_room": lambda v: audience.danmaku_recent(v.danmaku, room=ROOM),
+    "danmaku_recent_room": lambda v: audience.danmaku_recent(v.signals, room=ROOM, complete=v.with_texts),
     "funnel_full_room": lambda v: audience.funnel_full(v.signals, ROOM),
     "rfm_segments_room": lambda v: audience.rfm_segments(audience.rfm_users(v.signals, room=ROOM)),
     "product_sales_trend_one": lambda v: commerce.product_sales_trend(v.products, v.sales, 7),
     "product_list_category": lambda v: commerce.product_list(v.products, ROOM, "MEDIUM"),
-    "keywords_latest": lambda v: text.keywords_tfidf(v.danmaku, latest=200),
+    "keywords_latest": lambda v: text.keywords_tfidf(v.danmaku, latest=2000),
     "cooccurrence_recs_room": lambda v: recommend.cooccurrence_recs(v.sales, room=ROOM, details=v.catalogue),
     "association_rules_room": lambda v: recommend.association_rules(v.sales, 2, 0.05, room=ROOM, details=v.catalogue),
     "ads_product_ranking": lambda v: warehouse.ads_product_ranking(v.orders),

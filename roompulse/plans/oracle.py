@@ -607,7 +607,7 @@ REPLACED: dict[str, dict[str, str]] = {
     "keywords_latest": {
         "v_lines": """
 SELECT room_name, text, count(*) AS times FROM (SELECT * FROM v_chats WHERE text IS NOT NULL
-QUALIFY row_number() OVER (PARTITION BY room_name ORDER BY id DESC) <= 200) WHERE length(text) >= 2 GROUP BY room_name, text"""
+QUALIFY row_number() OVER (PARTITION BY room_name ORDER BY id DESC) <= 2000) WHERE length(text) >= 2 GROUP BY room_name, text"""
     },
 }
 for _name in ("danmaku_tumble_1m", "room_minute_agg", "online_alerts"):

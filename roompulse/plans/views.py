@@ -92,12 +92,33 @@ class Views:
 
     @cached_property
     def danmaku(self) -> DataFrame:
-        """Chat and gift messages; a chat carries the whole text of a document."""
-        docs = self.table("documents").select("doc_id", F.col("text").alias("doc_text"))
-        n_docs = self.table("documents").agg(F.count("*")).scalar()
-        rows = self._messages.withColumn("doc_id", F.col("id") % n_docs).join(docs, "doc_id", "left")
+        """Chat and gift messages; a chat carries the whole text of a document.
+
+        Texts are far larger than their compressed files, so both sides are dealt out by document and never broadcast;
+        what is done with the texts then runs in all tasks.
+        """
+        docs = self.table("documents").select("doc_id", F.col("text").alias("doc_text")).hint("merge")
+        rows = self._messages.withColumn("doc_id", self._doc_id()).join(docs, "doc_id", "left")
+        return self._said(rows, self._messages.columns)
+
+    def _doc_id(self) -> Column:
+        return F.col("id") % self.table("documents").agg(F.count("*")).scalar()
+
+    @staticmethod
+    def _said(rows: DataFrame, columns: list[str]) -> DataFrame:
         text = F.when(F.col("msg_type") == "chat", F.col("doc_text")).alias("text")
-        return rows.select(*self._messages.columns[:6], text, *self._messages.columns[6:])
+        at = columns.index("msg_type") + 1
+        return rows.select(*columns[:at], text, *columns[at:])
+
+    def with_texts(self, chosen: DataFrame) -> DataFrame:
+        """A bounded number of messages, chosen without their texts, with them.
+
+        Only the documents of those messages are moved: their ids, a fixed number a room, go to the documents.
+        """
+        rows = chosen.withColumn("doc_id", self._doc_id())
+        docs = self.table("documents").select("doc_id", F.col("text").alias("doc_text"))
+        wanted = docs.join(F.broadcast(rows.select("doc_id").distinct()), "doc_id", "left_semi")
+        return self._said(rows.join(wanted, "doc_id", "left"), chosen.columns)
 
     @cached_property
     def signals(self) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from roompulse.session import shared_folder
 from roompulse.sources.files import TSV_OPTIONS
 
 TSV_ROWS_PER_FILE = 500_000
@@ -32,6 +33,13 @@ def land(df: DataFrame, path: str, full: bool, day: str) -> str:
     return target
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, so that several uses do not compute it again."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def overwrite_orc(df: DataFrame, path: str, partition: str | None = None) -> None:
     """Replace a columnar table, or only the partitions present in ``df``."""
     writer = df.write.mode("overwrite")
