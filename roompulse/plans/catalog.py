@@ -102,7 +102,7 @@ def room_records(v: Views) -> DataFrame:
     return messages.decode_json(signups.select(F.col("event_id").alias("id"), F.to_json(record).alias("value")), "value", ROOM_RECORD)
 
 
-def envelopes(v: Views) -> DataFrame:
+def envelopes(v: Views, activity: DataFrame | None = None) -> DataFrame:
     """Every event as a decoded envelope: thirteen known types and two unknown ones in turn."""
     names = [*messages.METHODS, "WebcastLiveShoppingMessage", "WebcastProductChangeMessage"]
     k = F.col("k")
@@ -125,7 +125,7 @@ def envelopes(v: Views) -> DataFrame:
         (k % 4).alias("adaptation_type"),
     )
     method = F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("event_id") % len(names) + 1).cast("int"))
-    e = v.activity.join(v.rooms, "room_id")
+    e = (v.activity if activity is None else activity).join(v.rooms, "room_id")
     return e.select(
         F.col("event_id").alias("id"), method.alias("method"), "room_id", "room_name", F.to_json(payload).alias("payload"),
         iso_text(F.col("created_at")).alias("timestamp"),
@@ -188,6 +188,13 @@ def _ingest(rows: Callable[[DataFrame], DataFrame]) -> Callable[[Views], DataFra
     return lambda v: rows(topic_messages(v)).withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
 
 
+def _stream_idle(v: Views) -> DataFrame:
+    """Hourly snapshots with the silent hours of each room, up to the last hour in which any room had a signal."""
+    rows = replay.room_snapshot(v, 60, idle=True)
+    last = rows.filter("active").agg(F.max("window_start")).scalar()
+    return rows.filter(F.col("window_start") <= last)
+
+
 def _json_encode(v: Views) -> DataFrame:
     stats = v.room_stats.select("id", "room_id", "room_name", "online_count", "total_users")
     return stats.select("id", messages.encode_json(stats.drop("id")).alias("value"))
@@ -240,6 +247,12 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "stream_danmaku_tumble_1m": replay.tumble_counts,
     "stream_room_minute_agg": replay.room_minute_agg,
     "stream_online_alerts": replay.online_alerts,
+    "stream_room_snapshot": lambda v: replay.room_snapshot(v).filter("active").drop("active"),
+    "stream_room_snapshot_idle": _stream_idle,
+    "stream_message_type_counts": lambda v: replay.message_type_counts(v, envelopes),
+    "stream_late_rows": replay.late_rows,
+    "stream_gift_value": replay.gift_value,
+    "stream_ingest": lambda v: replay.ingest(v, topic_messages(v)),
     # sources and ingestion
     "json_quarantine": _json_quarantine,
     "room_name_fallback": lambda v: topic_messages(v).groupBy("topic", "room_id", "room_name").agg(F.count("*").alias("n")),

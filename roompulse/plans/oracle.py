@@ -602,6 +602,7 @@ SQL["ctas_product_ranking"] = SQL["ads_product_ranking"]
 ASIA_ORDERS = VIEWS["v_orders"] + " WHERE r.room_name = 'ASIA'"
 REPLACED: dict[str, dict[str, str]] = {
     "surge_alerts": {"v_width": "SELECT 60 AS width"},
+    "stream_room_snapshot_idle": {"v_width": "SELECT 60 AS width"},
     "cooccurrence_recs_room": {"v_orders": ASIA_ORDERS},
     "association_rules_room": {"v_orders": ASIA_ORDERS},
     "keywords_latest": {
@@ -610,8 +611,32 @@ SELECT room_name, text, count(*) AS times FROM (SELECT * FROM v_chats WHERE text
 QUALIFY row_number() OVER (PARTITION BY room_name ORDER BY id DESC) <= 2000) WHERE length(text) >= 2 GROUP BY room_name, text"""
     },
 }
-for _name in ("danmaku_tumble_1m", "room_minute_agg", "online_alerts"):
+for _name in ("danmaku_tumble_1m", "room_minute_agg", "online_alerts", "room_snapshot", "message_type_counts"):
     SQL[f"stream_{_name}"] = SQL[_name]
+SQL["stream_room_snapshot_idle"] = """
+SELECT strftime(start, '%Y-%m-%d %H:%M:%S') AS window_start, room_id, last_value(room_name IGNORE NULLS) OVER w AS room_name,
+  CAST(coalesce(last_value(online IGNORE NULLS) OVER w, 0) AS BIGINT) AS online_current,
+  CAST(coalesce(last_value(average IGNORE NULLS) OVER w, 0) AS BIGINT) AS online_avg,
+  coalesce(last_value(trend IGNORE NULLS) OVER w, 'stable') AS online_trend,
+  CAST(coalesce(chats, 0) AS BIGINT) AS danmaku_rate, CAST(coalesce(gifts, 0) AS DOUBLE) AS gift_value,
+  CAST(coalesce(chats * 4.50 + gifts, 0) AS DOUBLE) AS gmv_estimate, CAST(coalesce(sum(alerts) OVER w, 0) AS BIGINT) AS alert_count,
+  chats IS NOT NULL AS active
+FROM (SELECT room_id, unnest(generate_series(min(start), (SELECT max(start) FROM v_windows), to_minutes((SELECT width FROM v_width)))) AS start
+  FROM v_windows GROUP BY room_id) LEFT JOIN v_windows USING (room_id, start)
+WINDOW w AS (PARTITION BY room_id ORDER BY start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+SQL["stream_gift_value"] = """
+SELECT strftime(time_bucket(INTERVAL 1 MINUTE, created_at), '%Y-%m-%d %H:%M:%S') AS window_start, room_id,
+  CAST(sum(gift_count) AS BIGINT) AS gift_count, CAST(sum(amount) AS DOUBLE) AS gift_value FROM v_gifts GROUP BY ALL"""
+SQL["stream_late_rows"] = """
+SELECT room_id, count(*) AS arrived, count(*) FILTER (NOT late) AS counted, count(*) FILTER (late) AS late,
+  CAST(max(epoch_us(mark) - epoch_us(created_at)) FILTER (late) AS DOUBLE) / 1000000 AS max_late_seconds
+FROM (SELECT c.*, mark, coalesce(time_bucket(INTERVAL 1 MINUTE, c.created_at) + INTERVAL 1 MINUTE <= mark, false) AS late
+  FROM v_chats c LEFT JOIN (SELECT arrival + 1 AS arrival, max(max(created_at)) OVER (ORDER BY arrival) - INTERVAL 5 SECOND AS mark
+    FROM (SELECT *, id % 4 AS arrival FROM v_chats) GROUP BY arrival) m ON m.arrival = c.id % 4) GROUP BY room_id"""
+SQL["stream_ingest"] = """
+SELECT topic, count(*) AS arrived, count(*) FILTER (id % 50 <> 0) AS stored, count(*) FILTER (id % 50 = 0) AS quarantined FROM (
+  SELECT CASE msg_type WHEN 'chat' THEN 'live_danmaku' ELSE 'live_gifts' END AS topic, id FROM v_danmaku
+  UNION ALL SELECT 'live_room_info', id FROM v_live_metrics UNION ALL SELECT 'live_room_info', id FROM v_room_stats) GROUP BY topic"""
 
 
 def _needed(text: str, views: dict[str, str]) -> list[str]:

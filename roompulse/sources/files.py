@@ -23,12 +23,13 @@ def read_orc(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.orc(path)
 
 
-def json_lines(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
+def json_lines(spark: SparkSession, path: str, files_per_batch: int | None = 1) -> DataFrame:
     """A stream of JSON lines in the shape of the topic source: ``topic`` and ``value``.
 
     The topic is the name of the folder a file lies in.  Used where no broker is at hand.
     """
-    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", "true").text(path)
+    stream = spark.readStream.option("recursiveFileLookup", "true")
+    lines = (stream.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else stream).text(path)
     parts = F.split(F.col("_metadata.file_path"), "/")
     return lines.select(F.element_at(parts, -2).alias("topic"), "value")
 

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from roompulse.functions.numbers import try_parse_count
-from roompulse.operators.messages import audience_rows, message_rows, metric_rows, named_rooms, publish, route_messages
+from roompulse.operators.messages import audience_rows, message_rows, message_type_counts, metric_rows, named_rooms, publish, route_messages
 from roompulse.operators.windows import gift_amount, room_minute_agg, room_signals, room_snapshot, tumble_counts
 from roompulse.schemas import TOPIC_CHAT, TOPIC_GIFT, TOPIC_ROOM
-from roompulse.sinks.batches import append_batches, read_batches, route_batches
+from roompulse.sinks.batches import append_batches, merge_batches, read_batches, route_batches
 from roompulse.sources.topics import landing, messages
+from roompulse.streaming.snapshots import snapshot_stream, with_timers
 from roompulse.streaming.state import alert_stream
 
 FLUSH_EVERY = "10 seconds"
@@ -56,16 +57,32 @@ def aggregate_rooms(raw: DataFrame, path: str, checkpoint: str, minutes: int = 1
     return run(room_minute_agg(signal_stream(raw), minutes), append_batches(path), checkpoint, "append", once)
 
 
-def value_gifts(raw: DataFrame, prices: DataFrame, path: str, checkpoint: str, minutes: int = 1, once=False) -> StreamingQuery:
-    """Gift value per room and window, against the static price list."""
-    gifts = messages(raw).filter(F.col("topic") == TOPIC_GIFT)
+def gift_windows(gifts: DataFrame, prices: DataFrame, minutes: int = 1) -> DataFrame:
+    """Gifts and their value per room and window, from a stream of gift messages with a watermark."""
     count = F.coalesce("gift_count", F.lit(1))
     priced = gifts.join(prices, "gift_name", "left").withColumn("amount", gift_amount(count, F.col("price")))
     windowed = priced.groupBy(F.window("event_time", f"{minutes} minutes").alias("w"), "room_id").agg(
         F.sum(count).alias("gift_count"), F.sum("amount").cast("double").alias("gift_value")
     )
-    rows = windowed.select(F.col("w.start").alias("window_start"), "room_id", "gift_count", "gift_value")
-    return run(rows, append_batches(path), checkpoint, "append", once)
+    return windowed.select(F.col("w.start").alias("window_start"), "room_id", "gift_count", "gift_value")
+
+
+def value_gifts(raw: DataFrame, prices: DataFrame, path: str, checkpoint: str, minutes: int = 1, once=False) -> StreamingQuery:
+    """Gift value per room and window, against the static price list."""
+    gifts = messages(raw).filter(F.col("topic") == TOPIC_GIFT)
+    return run(gift_windows(gifts, prices, minutes), append_batches(path), checkpoint, "append", once)
+
+
+def count_types(envelopes: DataFrame, path: str, checkpoint: str, once=False) -> StreamingQuery:
+    """Running counters by message type: a table with the current figures of every room."""
+    counts = message_type_counts(route_messages(envelopes))
+    return run(counts, merge_batches(path, ["room_id"]), checkpoint, "update", once)
+
+
+def watch_rooms(signals: DataFrame, path: str, checkpoint: str, minutes: int = 1, idle: bool = True, once=False) -> StreamingQuery:
+    """Append every room's snapshot at the end of each window, silent windows included unless told otherwise."""
+    snapshots = snapshot_stream(signals, minutes, idle=idle)
+    return with_timers(signals.sparkSession, lambda: run(snapshots, append_batches(path), checkpoint, "append", once))
 
 
 def watch_audience(samples: DataFrame, path: str, checkpoint: str, once=False) -> StreamingQuery:

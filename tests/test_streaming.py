@@ -11,10 +11,10 @@ from roompulse.operators import messages as m
 from roompulse.operators import windows
 from roompulse.plans.catalog import bound, envelopes, topic_messages
 from roompulse.schemas import ENVELOPE, TOPIC_CHAT, TOPIC_GIFT, TOPIC_ROOM
-from roompulse.sinks.batches import append_batches, read_batches, upserted
+from roompulse.sinks.batches import append_batches, merge_batches, merged, read_batches, upserted
 from roompulse.sources.files import json_lines
 from roompulse.sources.topics import kafka_options, messages
-from roompulse.streaming import jobs
+from roompulse.streaming import jobs, lateness, replay
 from roompulse.streaming.state import alert_stream
 
 T0 = dt.datetime(2024, 1, 1, 12, 0, 0)
@@ -199,7 +199,7 @@ def test_replays_do_not_depend_on_files(spark, tmp_path, layout):
     dealt = events.coalesce(1) if layout == "folder" else events.repartition(4, F.xxhash64("event_id"))
     dealt.write.parquet(str(tmp_path / "events.parquet"))
     spark.read.parquet(f"{SMALL}/region.parquet").write.parquet(str(tmp_path / "region.parquet"))
-    for name in ("danmaku_tumble_1m", "room_minute_agg", "online_alerts"):
+    for name in ("danmaku_tumble_1m", "room_minute_agg", "online_alerts", "room_snapshot"):
         got, want = bound(f"stream_{name}")(spark, str(tmp_path)), bound(name)(spark, SMALL)
         assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
 
@@ -241,3 +241,79 @@ def test_alert_stream_is_keyed_by_room(spark, tmp_path):
     stream = spark.readStream.schema(schema).parquet(str(tmp_path))
     plan = alert_stream(stream)
     assert plan.isStreaming and "baseline" in plan.columns
+
+
+@pytest.mark.parametrize("least", [1, 5])
+def test_snapshots_by_timers_equal_the_batch_plan(spark, views, least):
+    got = replay.room_snapshot(views, 10, least=least).filter("active").drop("active")
+    samples = windows.audience_samples(views.live_metrics, views.room_stats)
+    want = windows.room_snapshot(windows.room_signals(views.signals, samples, views.gift_prices), samples, 10)
+    assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def signal(second, kind, room="r1", online=None, cents=None, number=0):
+    return (room, "R", number, T0 + dt.timedelta(seconds=second), kind, online, cents)
+
+
+SIGNALS = "room_id string, room_name string, id bigint, event_time timestamp, kind string, online bigint, cents bigint"
+
+
+def feed(spark, folder, number, rows):
+    import os
+
+    spark.createDataFrame(rows, SIGNALS).coalesce(1).write.parquet(f"{folder}/p{number}")
+    for name in os.listdir(f"{folder}/p{number}"):
+        os.utime(f"{folder}/p{number}/{name}", (1_700_000_000 + number,) * 2)
+
+
+def test_a_silent_room_gets_its_rows_and_state_survives_a_restart(spark, tmp_path):
+    source, out, cp = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
+
+    def play():
+        stream = spark.readStream.schema(SIGNALS).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(source)
+        finish(jobs.watch_rooms(stream, out, cp, once=True))
+
+    feed(spark, source, 0, [signal(5, "sample", online=200, number=1), signal(8, "chat"), signal(9, "sample", online=220, number=2), signal(3, "chat", "r2")])
+    feed(spark, source, 1, [signal(70, "gift", "r2", cents=150), signal(250, "chat", "r2")])
+    play()
+    feed(spark, source, 2, [signal(260, "sample", online=100, number=3), signal(261, "sample", online=None, number=4)])
+    feed(spark, source, 3, [signal(400, "chat", "r2")])
+    play()
+    rows = {(r.room_id, r.window_start[11:]): r for r in read_batches(spark, out).collect()}
+    assert [k[1] for k in sorted(rows) if k[0] == "r1"] == [f"12:0{m}:00" for m in range(6)]
+    first, silent, late = (rows["r1", f"12:0{m}:00"] for m in (0, 2, 4))
+    assert (first.online_current, first.online_avg, first.online_trend, first.danmaku_rate, first.gmv_estimate, first.active) == (220, 210, "up", 1, 4.5, True)
+    assert (silent.online_current, silent.online_avg, silent.danmaku_rate, silent.active, silent.room_name) == (220, 210, 0, False, "R")
+    assert (late.online_current, late.online_avg, late.online_trend, late.alert_count) == (100, 173, "down", 1)
+    gift = rows["r2", "12:01:00"]
+    assert (gift.gift_value, gift.gmv_estimate, gift.online_current, gift.online_trend) == (1.5, 1.5, 0, "stable")
+
+
+def test_merged_batches_hold_current_values(spark, tmp_path):
+    out = str(tmp_path / "out")
+    write = merge_batches(out, ["k"])
+    for number, rows in enumerate([[("a", 1), (None, 1)], [("b", 2), (None, 5)], [], [("a", 7)], [("a", 7)]]):
+        write(spark.createDataFrame(rows, "k string, v int"), number)
+    write(spark.createDataFrame([("a", 7)], "k string, v int"), 4)
+    assert sorted(map(tuple, merged(spark, out).collect()), key=str) == [("a", 7), ("b", 2), (None, 5)]
+    import os
+
+    assert len([x for x in os.listdir(out) if x.startswith("batch_id=")]) <= 3
+
+
+def test_late_rows_are_kept_with_their_lateness(spark, tmp_path):
+    source, root = tmp_path / "in", str(tmp_path / "out")
+    put(source, TOPIC_CHAT, 0, [chat(1), chat(200)])
+    put(source, TOPIC_CHAT, 1, [chat(2), chat(190), chat(300, "r2")])
+    put(source, TOPIC_CHAT, 2, [chat(3), chat(299)])
+
+    def rows():
+        return messages(json_lines(spark, str(source)), late=None)
+
+    finish(lateness.count_keeping_late(rows(), root, str(tmp_path / "cp"), once=True))
+    put(source, TOPIC_CHAT, 3, [chat(250)])
+    finish(lateness.count_keeping_late(rows(), root, str(tmp_path / "cp"), once=True))
+    late = sorted((r.event_time.minute, r.event_time.second, r.late_seconds) for r in lateness.kept_late(spark, root).collect())
+    assert late == [(0, 2, 193.0), (0, 3, 292.0)]
+    counted = lateness.kept_counts(spark, root).agg(F.sum("danmaku_cnt")).first()[0]
+    assert counted + len(late) == 8
