@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from roompulse.functions.times import parse_iso
-from roompulse.schemas import PAYLOAD, ROOM_RECORD, TOPIC_CHAT, TOPIC_GIFT, TOPIC_ROOM
+from roompulse.schemas import PAYLOAD, RESPONSE, ROOM_RECORD, TOPIC_CHAT, TOPIC_GIFT, TOPIC_ROOM
 
 # Status code of a running broadcast and the two labels.
 STATUS_LIVE = 2
@@ -196,8 +198,8 @@ def route_messages(envelopes: DataFrame) -> DataFrame:
     )
 
 
-def publish(routed: DataFrame) -> DataFrame:
-    """Topic, key and JSON value of the routed messages other jobs consume."""
+def publish(routed: DataFrame, *keep: str) -> DataFrame:
+    """Topic, key and JSON value of the routed messages other jobs consume, and columns to keep."""
     kind = F.col("kind")
     chat = F.struct("username", F.col("user_id").cast("string").alias("user_id"), F.col("content").alias("text"),
                     "timestamp", "room_name", "room_id")
@@ -205,7 +207,7 @@ def publish(routed: DataFrame) -> DataFrame:
     stats = F.struct(F.col("amount").cast("string").alias("online"), F.col("content").alias("total_users"),
                      F.lit("websocket").alias("source"), "timestamp", "room_name", "room_id")
     value = F.when(kind == "chat", F.to_json(chat)).when(kind == "gift", F.to_json(gift)).otherwise(F.to_json(stats))
-    return routed.filter(F.col("topic").isNotNull()).select("topic", F.col("room_id").alias("key"), value.alias("value"))
+    return routed.filter(F.col("topic").isNotNull()).select(*keep, "topic", F.col("room_id").alias("key"), value.alias("value"))
 
 
 def rank_entries(envelopes: DataFrame) -> DataFrame:
@@ -222,6 +224,22 @@ def rank_entries(envelopes: DataFrame) -> DataFrame:
     )
 
 
+def route_params(responses: DataFrame, names: Sequence[str], value: str = "response") -> DataFrame:
+    """Routing parameters of server responses (id, room_id, JSON), merged over the responses of each room.
+
+    The map of a response is exploded into one row a parameter; of the ``names`` asked for come the uses, the distinct
+    values, and the value that stands after all responses, which is that of the highest id.
+    """
+    decoded = decode_json(responses, value, RESPONSE).filter(F.col("bad").isNull())
+    entries = decoded.select("id", "room_id", F.explode("body.routeParams").alias("param", "setting"))
+    wanted = entries.filter(F.col("param").isin(*names))
+    # Equal settings collapse first, so a parameter that hardly changes is a few rows.
+    settings = wanted.groupBy("room_id", "param", "setting").agg(F.count("*").alias("n"), F.max("id").alias("last_id"))
+    return settings.groupBy("room_id", "param").agg(
+        F.sum("n").alias("uses"), F.count("*").alias("settings"), F.max_by("setting", F.struct("last_id", "setting")).alias("setting"), F.max("last_id").alias("last_id")
+    )
+
+
 def message_type_counts(routed: DataFrame) -> DataFrame:
     """Messages per room of the counted types and in total."""
     return routed.groupBy("room_id").agg(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -11,12 +12,15 @@ from pyspark.sql.types import DateType, DecimalType
 
 from roompulse.functions.numbers import parse_count, try_parse_count
 from roompulse.functions.times import iso_text, parse_iso
-from roompulse.operators import audience, commerce, forecast, messages, recommend, rooms, text, warehouse, windows
-from roompulse.operators.common import top_per_key
+from roompulse.operators import audience, commerce, forecast, messages, recommend, rooms, sketches, text, warehouse, windows
+from roompulse.operators.common import top_per_key, upper_medians
 from roompulse.plans.views import Views
 from roompulse.schemas import CHAT_MESSAGE, ODS_DANMAKU, ROOM_RECORD, TOPIC_CHAT, TOPIC_GIFT, TOPIC_MESSAGE, TOPIC_ROOM
 from roompulse.session import shared_folder
 from roompulse.sinks.files import overwrite_orc, save_table, write_tsv
+from roompulse.sinks.landing import Landing
+from roompulse.sinks.topics import as_messages, read_once, write_messages
+from roompulse.sources.evolution import read_generations
 from roompulse.sources.files import read_orc, read_tsv
 from roompulse.streaming import replay
 
@@ -228,6 +232,94 @@ def _ctas_product_ranking(v: Views) -> DataFrame:
     return v.spark.table(table)
 
 
+# Ends of the first load and of the first increment.
+LOADED_UP_TO = (dt.datetime(2024, 1, 15), dt.datetime(2024, 1, 22))
+
+
+def _ods_landed(v: Views) -> DataFrame:
+    """A full load, two increments behind its mark, the first of them run twice; read back with the number of the load."""
+    landing = Landing(v.spark, shared_folder(v.spark, "landed"))
+    full, first = LOADED_UP_TO
+    landing.load(v.danmaku, "full", full=True, as_of=full, shape=warehouse.ods_danmaku)
+    for _ in range(2):
+        landing.load(v.danmaku, "first", as_of=first, shape=warehouse.ods_danmaku)
+    landing.load(v.danmaku, "second", shape=warehouse.ods_danmaku)
+    return landing.read(lambda path: read_tsv(v.spark, path, ODS_DANMAKU, line_breaks=True))
+
+
+def _active_users_sketch(v: Views) -> DataFrame:
+    """Estimated distinct users of hours and days beside the exact ones, and whether they are as near as stated."""
+    estimated = sketches.active_users(v.signals)
+    exact = [
+        v.signals.groupBy(F.lit(unit).alias("unit"), "room_name", F.date_trunc(unit, "created_at").cast("timestamp_ntz").alias("start")).agg(
+            F.count_distinct("username").alias("users")
+        )
+        for unit in ("hour", "day")
+    ]
+    both = exact[0].unionByName(exact[1]).filter(F.col("users") > 0).join(estimated, ["unit", "room_name", "start"], "full")
+    return both.select("unit", "room_name", "start", "users", sketches.within(F.col("estimate"), F.col("users")).alias("near"))
+
+
+def _rfm_medians_sketch(v: Views) -> DataFrame:
+    """Medians of sketches by room and last day, merged across days, against the exact upper medians: are their places near the middle?"""
+    names = ["tenths", "frequency"]
+    users = audience.rfm_users(v.signals).select("room_name", half_tenths().alias("tenths"), "frequency", (F.col("recency") / 24).cast("int").alias("day"))
+    by_day = sketches.quantile_sketches(users, ["room_name", "day"], names)
+    found = sketches.medians(sketches.merged_quantiles(by_day, ["room_name"], names), ["room_name"], names)
+    errors = sketches.rank_error(users, ["room_name"], found, names)
+    exact = upper_medians(users, ["room_name"], {"tenths": "r_median", "frequency": "f_median"})
+    near = [(F.col(n) <= sketches.RANK_ERROR).alias(f"{short}_near") for n, short in zip(names, "rf")]
+    return exact.join(errors, "room_name").select("room_name", (F.col("r_median") / 10.0).alias("r_median"), "f_median", *near)
+
+
+def half_tenths() -> Column:
+    """Recency, which is in tenths of an hour, as a whole number."""
+    return F.round(F.col("recency") * 10).cast("bigint")
+
+
+def responses(v: Views) -> DataFrame:
+    """Server responses as JSON, one an event: a map of routing parameters, some of them missing or changing over time."""
+    k = F.col("k")
+    params = F.map_concat(
+        F.create_map(F.lit("room_id"), F.col("room_id"), F.lit("cursor"), F.concat(F.lit("c"), F.col("event_id").cast("string"))),
+        F.when(k % 3 == 0, F.create_map(F.lit("region"), F.concat(F.lit("zone-"), (k % 4).cast("string")))).otherwise(F.create_map().cast("map<string,string>")),
+        F.when(k % 5 == 0, F.create_map(F.lit("host"), F.concat(F.lit("push-"), (k % 7).cast("string")))).otherwise(F.create_map().cast("map<string,string>")),
+    )
+    e = v.activity.join(v.rooms, "room_id")
+    return e.select(F.col("event_id").alias("id"), "room_id", F.to_json(F.struct(params.alias("routeParams"), k.alias("fetchInterval"))).alias("response"))
+
+
+def _evolved_metrics(v: Views) -> DataFrame:
+    """Room samples written by three generations of a writer: fewer columns and narrow numbers first, all of them last."""
+    m = v.live_metrics.select("id", "room_id", "like_count", "cart_total", "has_cart", "status", "created_at")
+    root, third = shared_folder(v.spark, "generations"), F.col("id") % 3
+    narrow = m.filter(third == 0).select("id", "room_id", F.col("like_count").cast("int").alias("like_count"), "created_at")
+    grown = m.filter(third == 1).select("id", "room_id", "like_count", F.col("cart_total").cast("smallint").alias("cart_total"), "created_at")
+    paths = []
+    for number, rows in enumerate((narrow, grown, m.filter(third == 2))):
+        paths.append(f"{root}/generation={number}")
+        rows.write.parquet(paths[-1])
+    return read_generations(v.spark, paths)
+
+
+def _published_round_trip(v: Views) -> DataFrame:
+    """Published messages written twice over, as after a failed batch, and read without the repeats."""
+    path = shared_folder(v.spark, "published")
+    routed = messages.route_messages(envelopes(v))
+    rows = as_messages(messages.publish(routed, "id"), F.col("id"))
+    write_messages(rows, "parquet", path=path)
+    write_messages(rows.filter(F.col("key") != "room_3"), "parquet", path=path)
+    return read_once(v.spark.read.parquet(path)).select("topic", "key", "value")
+
+
+def _user_texts(v: Views) -> DataFrame:
+    """Every user's chats joined in id order, as the digest and length of each piece."""
+    pieces = sketches.user_texts(v.danmaku.filter(F.col("msg_type") == "chat"), 3)
+    return pieces.select(
+        "room_name", "username", "piece", "first_id", "last_id", "chats", F.md5("texts").alias("texts_md5"), F.char_length("texts").alias("n_chars")
+    )
+
+
 ROOM = "ASIA"
 
 QUERIES: dict[str, Callable[[Views], DataFrame]] = {
@@ -264,6 +356,9 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "fn_ngrams": lambda v: text.ngram_counts(v.table("benchmark").select(F.lit("all").alias("room_name"), "text")),
     "fn_iso_parse": _fn_iso_parse,
     "fn_parse_count": _fn_parse_count,
+    "route_params": lambda v: messages.route_params(responses(v), ("cursor", "region", "host")),
+    "evolved_metrics": _evolved_metrics,
+    "published_round_trip": _published_round_trip,
     # rooms
     "room_overview": lambda v: rooms.room_overview(v.rooms, v.live_metrics, v.signals),
     "room_stats": lambda v: rooms.room_stats(v.rooms, v.live_metrics, v.signals),
@@ -282,6 +377,9 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "rfm_segments": lambda v: audience.rfm_segments(audience.rfm_users(v.signals)),
     "rfm_top": lambda v: audience.rfm_top(audience.rfm_users(v.signals)),
     "rfm_top_users": lambda v: audience.rfm_top(audience.rfm_users(v.signals), 20, by_segment=False),
+    "rfm_medians_sketch": _rfm_medians_sketch,
+    "active_users_sketch": _active_users_sketch,
+    "user_texts": _user_texts,
     "retention_daily": lambda v: audience.retention_daily(v.signals),
     "retention_summary": lambda v: audience.retention_summary(audience.retention_daily(v.signals)),
     "user_journey": lambda v: audience.user_journey(v.danmaku, counted=v.signals),
@@ -337,6 +435,7 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     ),
     # warehouse
     "ods_room_info": lambda v: warehouse.ods_room_info(v.live_metrics),
+    "ods_landed": _ods_landed,
     "ods_danmaku": lambda v: warehouse.ods_danmaku(v.danmaku),
     "ods_room_info_last_hour": lambda v: warehouse.ods_room_info(warehouse.last_hour(v.live_metrics)),
     "ods_danmaku_last_hour": lambda v: warehouse.ods_danmaku(warehouse.last_hour(v.danmaku)),

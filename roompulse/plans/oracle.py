@@ -624,6 +624,28 @@ SELECT strftime(start, '%Y-%m-%d %H:%M:%S') AS window_start, room_id, last_value
 FROM (SELECT room_id, unnest(generate_series(min(start), (SELECT max(start) FROM v_windows), to_minutes((SELECT width FROM v_width)))) AS start
   FROM v_windows GROUP BY room_id) LEFT JOIN v_windows USING (room_id, start)
 WINDOW w AS (PARTITION BY room_id ORDER BY start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+SQL["ods_landed"] = f"""
+SELECT *, CASE WHEN ts <= '2024-01-15T00:00:00.000000' THEN 0 WHEN ts <= '2024-01-22T00:00:00.000000' THEN 1 ELSE 2 END AS load_number FROM ({SQL['ods_danmaku']})"""
+SQL["active_users_sketch"] = """
+SELECT unit, room_name, start, users, true AS near FROM (
+  SELECT 'hour' AS unit, room_name, date_trunc('hour', created_at) AS start, count(DISTINCT username) AS users FROM v_danmaku GROUP BY ALL
+  UNION ALL SELECT 'day', room_name, date_trunc('day', created_at), count(DISTINCT username) FROM v_danmaku GROUP BY ALL) WHERE users > 0"""
+SQL["rfm_medians_sketch"] = "SELECT room_name, r_med / 10.0 AS r_median, f_med AS f_median, true AS r_near, true AS f_near FROM v_rfm_medians"
+SQL["route_params"] = """
+SELECT room_id, param, count(*) AS uses, count(DISTINCT setting) AS settings, max_by(setting, id) AS setting, max(id) AS last_id FROM (
+  SELECT event_id AS id, e.room_id, 'cursor' AS param, 'c' || event_id AS setting FROM v_events_x e JOIN v_room r ON r.room_id = e.room_id
+  UNION ALL SELECT event_id, e.room_id, 'region', 'zone-' || (k % 4) FROM v_events_x e JOIN v_room r ON r.room_id = e.room_id WHERE k % 3 = 0
+  UNION ALL SELECT event_id, e.room_id, 'host', 'push-' || (k % 7) FROM v_events_x e JOIN v_room r ON r.room_id = e.room_id WHERE k % 5 = 0)
+GROUP BY room_id, param"""
+SQL["evolved_metrics"] = """
+SELECT id, room_id, like_count, created_at, CASE WHEN id % 3 > 0 THEN cart_total END AS cart_total,
+  CASE WHEN id % 3 = 2 THEN has_cart END AS has_cart, CASE WHEN id % 3 = 2 THEN status END AS status FROM v_live_metrics"""
+SQL["published_round_trip"] = SQL["published_messages"]
+SQL["user_texts"] = """
+SELECT room_name, username, piece, min(id) AS first_id, max(id) AS last_id, count(*) AS chats,
+  md5(string_agg(text, chr(10) ORDER BY id)) AS texts_md5, CAST(length(string_agg(text, chr(10) ORDER BY id)) AS INT) AS n_chars
+FROM (SELECT *, (row_number() OVER (PARTITION BY room_name, username ORDER BY id) - 1) // 3 AS piece FROM v_chats WHERE text IS NOT NULL)
+GROUP BY room_name, username, piece"""
 SQL["stream_gift_value"] = """
 SELECT strftime(time_bucket(INTERVAL 1 MINUTE, created_at), '%Y-%m-%d %H:%M:%S') AS window_start, room_id,
   CAST(sum(gift_count) AS BIGINT) AS gift_count, CAST(sum(amount) AS DOUBLE) AS gift_value FROM v_gifts GROUP BY ALL"""

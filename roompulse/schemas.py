@@ -72,8 +72,9 @@ PAYLOAD = _struct(
     display_long=S,
     ranks_list=ArrayType(RANK_ENTRY),
     adaptation_type=L,
-    headers=MapType(S, S),
 )
+# What a server response says beside its messages.
+RESPONSE = _struct(cursor=S, fetchInterval=L, routeParams=MapType(S, S), pushServer=S)
 ENVELOPE = _struct(method=S, room_id=S, payload=S, timestamp=S)
 
 ODS_ROOM_INFO = _struct(

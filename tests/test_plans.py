@@ -10,7 +10,9 @@ from __spark_entry__ import LLM_QUERIES, queries
 BUILDS = {name: build for name, build in queries().items() if name not in LLM_QUERIES}
 # Windows over one row per day of all rooms together; nothing larger may be left unpartitioned.
 DAILY = {"sales_ma7_all_rooms", "gmv_kpis"}
-RUN_BY_BUILDING = {name for name in BUILDS if name.startswith("stream_")} | {"tsv_round_trip", "orc_overwrite", "ctas_product_ranking"}
+RUN_BY_BUILDING = {name for name in BUILDS if name.startswith("stream_")} | {
+    "tsv_round_trip", "orc_overwrite", "ctas_product_ranking", "ods_landed", "evolved_metrics", "published_round_trip"
+}
 
 
 def test_no_plan_depends_on_counts_taken_while_it_is_built():
@@ -50,3 +52,15 @@ def test_scan_reads_only_what_is_needed(spark):
 def test_group_limit_comes_before_the_shuffle(spark):
     plan = physical(BUILDS["top_users"](spark, SMALL))
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def scans(plan, table):
+    return len(re.findall(rf"FileScan parquet [^\n]*/{table}\.parquet", plan))
+
+
+@pytest.mark.parametrize("name", ["sentiment_room", "sentiment_quadrant", "keywords_tfidf", "word_cloud", "room_activity_matrix"])
+def test_text_reports_deal_texts_out_and_read_them_once(spark, name):
+    plan = physical(BUILDS[name](spark, SMALL))
+    # One scan may count the documents; training and word counts are stored before.
+    assert scans(plan, "documents") <= 2
+    assert not re.search(r"BroadcastExchange[^\n]*text", plan)
