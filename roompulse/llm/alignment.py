@@ -38,7 +38,7 @@ from roompulse.llm.tables import stored, table, text_bytes
 from roompulse.llm.tokens import BYTE_VOCABULARY, PIECE_VOCABULARY, byte_encoder, piece_encoder, vocabulary
 
 #: Text bytes of the documents that one block holds, and of those encoded at once.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 SLICE_BYTES = 2 << 20
 #: An id pair is one number: the A id times this, plus the B id.
 PAIR = 1 << 20
