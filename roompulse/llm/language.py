@@ -1,8 +1,9 @@
 """Language identification by unigram models summed over all segmentations.
 
-Words are runs of letters, lower-cased, behind a word mark.  For every language each piece of a fixed public vocabulary
-has a probability; a word's likelihood is the sum, over all ways to cut it into pieces, of the products of their
-probabilities (forward algorithm).  Piece probabilities are fitted by expectation-maximisation on the distinct words of
+Words are runs of letters (numerals such as ½ or Ⅷ are none), lower-cased, behind a word mark.  For every language each
+piece of a fixed public vocabulary has a probability; a word's likelihood is the sum, over all ways to cut it into
+pieces, of the products of their probabilities: a forward algorithm over whole words of any length, with all of the
+vocabulary's pieces that are letters.  Piece probabilities are fitted by expectation-maximisation on the distinct words of
 labelled documents.  A text's score for a language is the sum of its words' log-likelihoods and the language's prior;
 the answer is the best language, with its posterior.
 
@@ -35,28 +36,29 @@ TRAIN_DOCS = 1_500
 ROUNDS = 2
 #: Expected count added to each piece.
 SMOOTHING = 0.05
-#: Longest piece, and longest stretch of a word that is cut at once (longer words are scored stretch by stretch).
-PIECE_CHARS = 8
-STRETCH = 32
+#: Letters after which sums are scaled anew, so that no word is too long for a floating-point number.
+SCALED_EVERY = 16
 #: Words whose scores a worker remembers.
 WORDS_KEPT = 800_000
 #: Words scored at once.
 WORDS_AT_ONCE = 100_000
-#: Words cut into pieces at once.
-CHUNK = 4_096
+#: Letters of words cut into pieces at once, and letters of the words a worker remembers.
+CHUNK = 40_000
+LETTERS_KEPT = 10_000_000
 
 MARK = "▁"
-WORD = re.compile(r"[^\W\d_]+")
+#: Runs that may hold letters; numerals among them are taken out where a run is not all letters.
+RUN = re.compile(r"[^\W\d_]+")
 _WORD_ARROW = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
 _COUNT_ARROW = pa.schema([("lang", pa.int32()), ("piece", pa.int32()), ("n", pa.float64())])
 
 
-def stretches(text: str) -> list[str]:
-    """The marked words of a text, cut where they are longer than a stretch."""
-    words = WORD.findall(text.lower())
-    if all(len(w) < STRETCH for w in words):
-        return words
-    return [w[i : i + STRETCH - 1] for w in words for i in range(0, len(w), STRETCH - 1)]
+def words_of(text: str) -> list[str]:
+    """The runs of letters of a text, in lower case."""
+    runs = RUN.findall(text.lower())
+    if text.isascii() or all(map(str.isalpha, runs)):
+        return runs
+    return [word for run in runs for word in "".join(c if c.isalpha() else " " for c in run).split()]
 
 
 class Pieces:
@@ -66,17 +68,27 @@ class Pieces:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        own = sorted({p.lower() for p in map(model.id_to_piece, range(model.get_piece_size())) if len(p) <= PIECE_CHARS and p.replace(MARK, "a").isalpha() and MARK not in p[1:]})
+        own = sorted({p.lower() for p in map(model.id_to_piece, range(model.get_piece_size())) if p.replace(MARK, "a").isalpha() and MARK not in p[1:]})
         self.numbers = {p: i + 1 for i, p in enumerate(own)}
         self.size = len(own) + 1
-
-    def cuts(self, words: list[str]) -> np.ndarray:
-        """For words of one length n: the piece at each start and of each length (n words, n, PIECE_CHARS), -1 for none."""
-        n, number = len(words[0]), self.numbers.get
-        flat = [number(w[s : s + k], -1) if s + k <= n else -1 for w in words for s in range(n) for k in range(1, PIECE_CHARS + 1)]
-        ids = np.array(flat, np.int32).reshape(len(words), n, PIECE_CHARS)
-        ids[:, :, 0] = np.where(ids[:, :, 0] < 0, 0, ids[:, :, 0])
-        return ids
+        #: Length of the longest piece, and of the longest one with each two-letter beginning.
+        self.longest = max(map(len, own))
+        self.reach: dict[str, int] = {}
+        for p in own:
+            self.reach[p[:2]] = max(self.reach.get(p[:2], 1), len(p))
+        self.gaps = [[-1] * k for k in range(self.longest + 1)]
+
+    def cuts(self, words: list[str], first: int, stop: int) -> np.ndarray:
+        """For words of one length: the piece at each start from ``first`` and of each length (words, starts, longest), -1 for none."""
+        n, number, reach, gaps, width = len(words[0]), self.numbers.get, self.reach.get, self.gaps, self.longest
+        flat: list[int] = []
+        for w in words:
+            for s in range(first, stop):
+                m = min(reach(w[s : s + 2], 1), n - s)
+                flat.append(number(w[s], 0))
+                flat += [number(w[s:e], -1) for e in range(s + 2, s + m + 1)]
+                flat += gaps[width - m]
+        return np.array(flat, np.int32).reshape(len(words), stop - first, width)
 
 
 _PIECES: dict[str, Pieces] = {}
@@ -93,50 +105,87 @@ def by_length(words: list[str]) -> Iterator[tuple[np.ndarray, list[str]]]:
     groups: dict[int, list[int]] = {}
     for i, w in enumerate(words):
         groups.setdefault(len(w), []).append(i)
-    for places in groups.values():
-        for at in range(0, len(places), CHUNK):
-            part = places[at : at + CHUNK]
+    for length, places in groups.items():
+        chunk = max(1, CHUNK // (length + 1))
+        for at in range(0, len(places), chunk):
+            part = places[at : at + chunk]
             yield np.array(part), [MARK + words[i] for i in part]
 
 
+def stretches(words: list[str], own: Pieces) -> Iterator[tuple[int, np.ndarray]]:
+    """The cuts of words of one length, in stretches of starts that bound what is held, each with its first start."""
+    n, step = len(words[0]), max(1, CHUNK // len(words))
+    for first in range(0, n, step):
+        yield first, own.cuts(words, first, min(n, first + step))
+
+
 def likelihoods(words: list[str], own: Pieces, probabilities: np.ndarray) -> np.ndarray:
-    """Log-likelihood of each word in each language; probabilities: (pieces, languages)."""
+    """Log-likelihood of each word in each language, over all its segmentations; probabilities: (pieces, languages).
+
+    The forward sums run over whole words; only the last ones, as many as the longest piece has letters, are held, and
+    they are scaled from time to time with the logarithm of the scale kept aside.
+    """
     out = np.zeros((len(words), probabilities.shape[1]))
-    padded = np.vstack([probabilities, np.zeros((1, probabilities.shape[1]))])  # row -1: no piece
     for places, marked in by_length(words):
-        ids = own.cuts(marked)
-        n = ids.shape[1]
-        forward = np.zeros((n + 1, len(marked), probabilities.shape[1]))
-        forward[0] = 1
-        for end in range(1, n + 1):
-            for k in range(1, min(end, PIECE_CHARS) + 1):
-                forward[end] += forward[end - k] * padded[ids[:, end - k, k - 1]]
-        out[places] = np.log(forward[n])
+        shape = (len(marked), probabilities.shape[1])
+        # ring[k]: the sum of all segmentations that end k letters behind the current start.
+        ring, logs = [np.ones(shape), *(np.zeros(shape) for _ in range(own.longest))], np.zeros(shape)
+        for first, ids in stretches(marked, own):
+            for at in range(ids.shape[1]):
+                here = ring.pop(0)
+                ring.append(np.zeros(shape))
+                if (first + at) % SCALED_EVERY == SCALED_EVERY - 1:
+                    scale = np.maximum(here, np.maximum.reduce(ring))
+                    here, ring, logs = here / scale, [x / scale for x in ring], logs + np.log(scale)
+                for k in range(own.longest):
+                    column = ids[:, at, k]
+                    some = np.flatnonzero(column >= 0)
+                    if len(some):
+                        ring[k][some] += here[some] * probabilities[column[some]]
+        out[places] = np.log(ring[0]) + logs
     return out
 
 
 def expected_counts(words: list[str], langs: np.ndarray, weights: np.ndarray, own: Pieces, probabilities: np.ndarray) -> np.ndarray:
     """Expected piece counts over all segmentations, each word under its own language's model."""
-    totals = np.zeros((own.size + 1) * probabilities.shape[1])
-    padded = np.vstack([probabilities, np.zeros((1, probabilities.shape[1]))])
+    n_langs = probabilities.shape[1]
+    totals = np.zeros(own.size * n_langs)
     for places, marked in by_length(words):
-        ids, lang = own.cuts(marked), langs[places]
-        n = ids.shape[1]
-        p = padded[ids, lang[:, None, None]]
-        forward, backward = np.zeros((n + 1, len(marked))), np.zeros((n + 1, len(marked)))
-        forward[0] = backward[n] = 1
-        for end in range(1, n + 1):
-            for k in range(1, min(end, PIECE_CHARS) + 1):
-                forward[end] += forward[end - k] * p[:, end - k, k - 1]
-        for start in range(n - 1, -1, -1):
-            for k in range(1, min(n - start, PIECE_CHARS) + 1):
-                backward[start] += p[:, start, k - 1] * backward[start + k]
-        scale = weights[places] / forward[n]
-        for start in range(n):
-            for k in range(1, min(n - start, PIECE_CHARS) + 1):
-                share = forward[start] * p[:, start, k - 1] * backward[start + k] * scale
-                totals += np.bincount((ids[:, start, k - 1] % (own.size + 1)) * probabilities.shape[1] + lang, share, len(totals))
-    return totals.reshape(own.size + 1, -1)[:-1]
+        lang, n, rows = langs[places], len(marked[0]), len(marked)
+        cut = list(stretches(marked, own))
+        # forward[s] and its log scale; both sums are over the segmentations of what lies before and behind s.
+        forward, logs, offset = np.zeros((n + 1, rows)), np.zeros((n + 1, rows)), np.zeros(rows)
+        forward[0] = 1
+        for first, ids in cut:
+            for s in range(first, first + ids.shape[1]):
+                if s % SCALED_EVERY == SCALED_EVERY - 1:
+                    ahead = slice(s, min(n, s + own.longest) + 1)
+                    scale = forward[ahead].max(axis=0)
+                    forward[ahead] /= scale
+                    offset = offset + np.log(scale)
+                logs[s] = offset
+                for k in range(min(own.longest, n - s)):
+                    column = ids[:, s - first, k]
+                    some = np.flatnonzero(column >= 0)
+                    if len(some):
+                        forward[s + k + 1][some] += forward[s][some] * probabilities[column[some], lang[some]]
+        whole = np.log(forward[n]) + offset
+        ring, behind = [np.ones(rows), *(np.zeros(rows) for _ in range(own.longest - 1))], np.zeros(rows)
+        for first, ids in reversed(cut):
+            for s in range(first + ids.shape[1] - 1, first - 1, -1):
+                here, share = np.zeros(rows), weights[places] * forward[s] * np.exp(logs[s] + behind - whole)
+                for k in range(min(own.longest, n - s)):
+                    column = ids[:, s - first, k]
+                    some = np.flatnonzero(column >= 0)
+                    if len(some):
+                        part = probabilities[column[some], lang[some]] * ring[k][some]
+                        here[some] += part
+                        totals += np.bincount(column[some].astype(np.int64) * n_langs + lang[some], share[some] * part, len(totals))
+                ring = [here, *ring[:-1]]
+                if s % SCALED_EVERY == 0:
+                    scale = np.maximum.reduce(ring)
+                    ring, behind = [x / scale for x in ring], behind + np.log(scale)
+    return totals.reshape(own.size, n_langs)
 
 
 def held_out() -> Column:
@@ -151,7 +200,7 @@ def labelled_words(docs: DataFrame, sizes: dict[str, int], train_docs: int = TRA
         counts: Counter = Counter()
         for part in parts:
             for lang, text in zip(part.column("lang").to_pylist(), part.column("text")):
-                counts.update((lang, w) for w in stretches(text.as_py().decode("utf-8", "replace")))
+                counts.update((lang, w) for w in words_of(text.as_py().decode("utf-8", "replace")))
             if len(counts) > 400_000:
                 yield from ((*key, n) for key, n in counts.items())
                 counts.clear()
@@ -207,24 +256,26 @@ def scored(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     def answers(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        own, known, logs = pieces(m.path), {}, np.zeros((1 << 16, len(m.langs)))
+        own, known, letters, logs = pieces(m.path), {}, 0, np.zeros((1 << 16, len(m.langs)))
 
         def numbered(words: list[str]) -> np.ndarray:
-            nonlocal logs
+            nonlocal logs, letters
             numbers = np.array([known.get(w, -1) for w in words], np.int64)
             fresh = list({words[i] for i in np.flatnonzero(numbers < 0)})
-            if len(known) + len(fresh) > WORDS_KEPT:
+            if len(known) + len(fresh) > WORDS_KEPT or letters > LETTERS_KEPT:
                 known.clear()
-                numbers[:] = -1
+                letters, numbers[:] = 0, -1
                 fresh = list(set(words))
             if fresh:
                 at = len(known)
                 while at + len(fresh) > len(logs):
                     logs = np.vstack([logs, np.zeros_like(logs)])
                 logs[at : at + len(fresh)] = likelihoods(fresh, own, m.probabilities)
-                known.update(zip(fresh, range(at, at + len(fresh))))
+                letters += sum(map(len, fresh))
+                places = dict(zip(fresh, range(at, at + len(fresh))))
+                known.update(places)
                 for i in np.flatnonzero(numbers < 0):
-                    numbers[i] = known[words[i]]
+                    numbers[i] = places[words[i]]
             return numbers
 
         def best(total: np.ndarray) -> tuple[str, float]:
@@ -232,7 +283,7 @@ def scored(docs: DataFrame, model: LanguageModel) -> DataFrame:
             return m.langs[top], float(1 / np.exp(total - total[top]).sum())
 
         def judged(cut: list[list[str]]) -> Iterator[tuple[str, float]]:
-            """Many short texts at once, so that their fresh words are scored together; a long one stretch by stretch."""
+            """Many short texts at once, so that their fresh words are scored together; a long one part by part."""
             if len(cut) > 1 and sum(map(len, cut)) > WORDS_AT_ONCE:
                 for half in (cut[: len(cut) // 2], cut[len(cut) // 2 :]):
                     yield from judged(half)
@@ -250,7 +301,7 @@ def scored(docs: DataFrame, model: LanguageModel) -> DataFrame:
         for part in parts:
             found = []
             for lo in range(0, part.num_rows, 64):
-                cut = [stretches(t.as_py().decode("utf-8", "replace")) if m.langs else [] for t in part.column("text")[lo : lo + 64]]
+                cut = [words_of(t.as_py().decode("utf-8", "replace")) if m.langs else [] for t in part.column("text")[lo : lo + 64]]
                 found += judged(cut)
             columns = [part.column("held_out"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             language = pa.StructArray.from_arrays(columns, fields=list(answer))

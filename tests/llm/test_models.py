@@ -99,24 +99,28 @@ def test_components_of_paths_stars_and_rings(spark):
     assert components.components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
 
 
-def all_cuts(word, limit):
+def all_cuts(word):
+    """Every way to cut a word, with no limit on the length of a piece."""
     if not word:
         yield []
-    for k in range(1, min(limit, len(word)) + 1):
-        for rest in all_cuts(word[k:], limit):
+    for k in range(1, len(word) + 1):
+        for rest in all_cuts(word[k:]):
             yield [word[:k], *rest]
 
 
 def test_forward_sums_all_cuts_and_counts_are_expected():
     own = language.pieces(vocabulary(language.VOCABULARY))
     p = np.random.default_rng(1).random((own.size, 2)) + 0.1
-    words = ["the", "été", "straße", "quick", "日x"]
+    long_piece = max((x for x in own.numbers if not x.startswith(language.MARK)), key=len)
+    assert len(long_piece) > 8
+    words = ["the", "été", "straße", "quick", "日x", long_piece]
+    langs = np.array([0, 1, 0, 1, 1, 0])
     logs = language.likelihoods(words, own, p)
-    counts = language.expected_counts(words, np.array([0, 1, 0, 1, 1]), np.full(5, 2.0), own, p)
+    counts = language.expected_counts(words, langs, np.full(len(words), 2.0), own, p)
     want = np.zeros_like(counts)
-    for w, lang, got in zip(words, [0, 1, 0, 1, 1], logs):
+    for w, lang, got in zip(words, langs, logs):
         cuts = []
-        for cut in all_cuts(language.MARK + w, language.PIECE_CHARS):
+        for cut in all_cuts(language.MARK + w):
             ids = [own.numbers.get(c, 0 if len(c) == 1 else None) for c in cut]
             if None not in ids:
                 cuts.append(ids)
@@ -129,6 +133,77 @@ def test_forward_sums_all_cuts_and_counts_are_expected():
     assert counts == pytest.approx(want)
 
 
+def plain_forward(word, own, p):
+    """Exact sums in whole numbers of a large denominator, so that nothing can underflow."""
+    from fractions import Fraction
+
+    marked, sums = language.MARK + word, [Fraction(1)]
+    for end in range(1, len(marked) + 1):
+        total = Fraction(0)
+        for start in range(end):
+            piece = own.numbers.get(marked[start:end], 0 if end - start == 1 else None)
+            if piece is not None:
+                total += sums[start] * Fraction(p[piece])
+        sums.append(total)
+    return sums[-1]
+
+
+@pytest.mark.parametrize("chunk", [40_000, 7])
+def test_long_words_are_summed_whole(monkeypatch, chunk):
+    monkeypatch.setattr(language, "CHUNK", chunk)
+    own = language.pieces(vocabulary(language.VOCABULARY))
+    p = np.random.default_rng(2).random((own.size, 1)) * 1e-7
+    rng = random.Random(3)
+    words = ["international" * 5, "".join(rng.choices("abcdefghijklmnop", k=60)), "z" * 150]
+    for word, got in zip(words, language.likelihoods(words, own, p)):
+        want = plain_forward(word, own, p[:, 0].tolist())
+        assert got[0] == pytest.approx(math.log(want.numerator) - math.log(want.denominator))
+    # Every letter lies in one piece, whatever the cut: lengths weighted by expected counts are the letters and the mark.
+    counts = language.expected_counts(words, np.zeros(3, np.int64), np.ones(3), own, p)
+    lengths = np.array([1, *map(len, own.numbers)])
+    assert (counts[:, 0] * lengths).sum() == pytest.approx(sum(len(w) + 1 for w in words))
+
+
+def test_language_of_every_document_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    model = language.fitted(docs, vocabulary(language.VOCABULARY))
+    own, memory = language.pieces(model.path), {}
+
+    def log_likelihoods(word):
+        if word not in memory:
+            marked, sums, logs = language.MARK + word, [np.ones(len(model.langs))], 0.0
+            for end in range(1, len(marked) + 1):
+                total = np.zeros(len(model.langs))
+                for start in range(end):
+                    piece = own.numbers.get(marked[start:end], 0 if end - start == 1 else None)
+                    if piece is not None:
+                        total += sums[start] * model.probabilities[piece]
+                sums.append(total)
+            memory[word] = np.log(sums[-1])
+        return memory[word]
+
+    got = {r["row"]["doc_id"]: r["language"] for r in language.scored(docs.select("doc_id", "text"), model).collect()}
+    for doc_id, text, _ in docs.collect():
+        words = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+        if not words:
+            assert got[doc_id]["lang_pred"] == "und" and got[doc_id]["score"] == 0
+            continue
+        total = model.priors + sum(log_likelihoods(w) for w in words)
+        best = int(total.argmax())
+        assert got[doc_id]["lang_pred"] == model.langs[best]
+        assert got[doc_id]["score"] == pytest.approx(1 / np.exp(total - total[best]).sum())
+
+
+def test_numerals_are_no_letters(spark):
+    train = spark.read.parquet(f"{CHECKED}/documents.parquet").select("doc_id", "text", "lang")
+    model = language.fitted(train, vocabulary(language.VOCABULARY), train_docs=50, rounds=1)
+    texts = ["½ ²", "Ⅷ", "①", "x½y", "৪", "ⅷab", "_", "é"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = [r["language"]["lang_pred"] for r in language.scored(docs, model).orderBy("row.doc_id").collect()]
+    assert [x == "und" for x in got] == [True, True, True, False, True, False, True, False]
+    assert language.words_of("X½y ⅷAb") == ["x", "y", "ab"]
+
+
 def test_language_on_held_out_documents(spark):
     docs = spark.read.parquet(f"{CHECKED}/documents.parquet")
     langs = {r[0]: r[1] for r in docs.select("doc_id", "lang").collect()}
