@@ -38,7 +38,7 @@ def test_near_duplicates_on_tables(spark):
 
 
 def test_near_duplicates_near_the_threshold(spark, edges, monkeypatch):
-    monkeypatch.setattr(minhash, "CELLS", 64)
+    monkeypatch.setattr(minhash, "MOST_CELLS", 64)
     rng = random.Random(11)
     rows = [r for r in edges[1] if r[0] != 50]
     for family in range(4):
@@ -84,6 +84,16 @@ def test_late_pairs_do_not_depend_on_signatures(spark, monkeypatch):
     assert classes(minhash.near_duplicates(frame(spark, rows))) == want
 
 
+@pytest.mark.parametrize("order", [[0, 1, 2, 3, 4, 5], [0, 2, 1, 3, 4, 5], [5, 4, 3, 2, 1, 0]])
+def test_texts_of_one_id_are_one_document(spark, order):
+    a, b = ([f"{x}{i}" for i in range(120)] for x in "ab")
+    near = lambda words, x: " ".join([*words[:60], x, *words[61:]])
+    rows = [(1, " ".join(a)), (5, near(a, "x")), (5, " ".join(b)), (9, near(b, "y")), (9, ""), (7, "another text that stands for itself")]
+    df = spark.createDataFrame([rows[i] for i in order], "doc_id bigint, text string").coalesce(1)
+    got = {(r["doc_id"], r["component_id"]) for r in minhash.near_duplicates(df).collect()}
+    assert got == {(1, 1), (5, 1), (9, 1), (7, 7)}
+
+
 def test_near_duplicates_of_awkward_and_empty_tables(spark, awkward, nothing):
     got = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in minhash.near_duplicates(awkward[0]).collect()}
     assert got[8, 1] == 7 and got[None, 0] is None
