@@ -5,8 +5,8 @@ next one.  The first four return the columns of ``docs``.
 
 1. ``language_id``: documents without a determined language, or with a posterior below ``MIN_SCORE``, go.
 2. ``line_dedup``: lines found in many documents stay in one; ``n_chars``, where there is one, follows the text.
-3. ``near_dedup``: of each group of near duplicates the document with the smallest id stays (rows of one doc_id are one
-   document; rows without doc_id are no one's duplicates and stay).
+3. ``near_dedup``: of each group of documents linked at a similarity of ``NEAR_PERCENT`` in a hundred or more the one with
+   the smallest id stays (rows of one doc_id are one document; rows without doc_id are no one's duplicates and stay).
 4. ``decontamination``: contaminated documents go (rows equal in doc_id and text share the decision).
 5. ``packing``: the pieces of what is left, placed in sequences.
 """
@@ -26,6 +26,8 @@ from roompulse.llm.tokens import WORD_VOCABULARY, vocabulary
 
 #: Least posterior of the predicted language.
 MIN_SCORE = 0.5
+#: Least similarity of near duplicates, in a hundred, over sets of five-word shingles.
+NEAR_PERCENT = 80
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +43,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    copies = near_duplicates(docs).where(F.col("doc_id") != F.col("component_id")).select("doc_id")
+    copies = near_duplicates(docs, NEAR_PERCENT).where(F.col("doc_id") != F.col("component_id")).select("doc_id")
     return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
 
 
