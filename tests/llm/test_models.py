@@ -342,7 +342,7 @@ def test_pipeline_against_brute_force(spark):
     items = [tuple(r) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text").collect()]
     docs = [d for d in docs if any(c.isalpha() for c in d[1] or "")]
     docs = [(r[0], r[3]) for r in brute.repeated_lines(docs)]
-    kept = {d for d, _, c in brute.linked_components(docs) if d == c}
+    kept = {d for d, _, c in brute.linked_components(docs, corpus_pipeline.NEAR_PERCENT) if d == c}
     docs = [d for d in docs if d[0] in kept]
     clean = {r[0] for r in brute.contaminated(docs, items) if not r[5]}
     plain = Tokenizer.from_file(vocabulary(WORD_VOCABULARY))
