@@ -3,21 +3,25 @@
 Largest inner product becomes largest cosine by one more coordinate: a candidate x is (x / M, sqrt(1 - |x|^2 / M^2)), a
 query is (q / |q|, 0).  M is the largest norm of x's band: norms within a factor of NORM_STEP are a band with cells of its
 own, so the last coordinate stays small and one large vector does not crowd the others into a few cells.  A query probes
-every band, and all it meets is reranked together.  Bands of few vectors are met whole.  In each table a pseudo-rotation (three rounds of random signs and a fast
-Hadamard transform) turns the vector, and its bucket is the nearest signed axis.  A query probes,
-in every table, the axes nearest to it; how many is fitted for each length of vectors: up to SAMPLE queries are compared with
-all vectors, and the fewest probes are taken with which their mean recall, less two standard errors, is at least RECALL.
-Where so many probes would touch no fewer vectors than a comparison with all, all are compared.  A query always meets its
-own vector; one that meets fewer than k + 1 entries is compared with all vectors of its length.
-
-Equal vectors are one entry, so a very common vector is no hot bucket; each keeps its ``k + 1`` smallest ids, which is all
-that can be among any query's k nearest.  Buckets are dealt in blocks of bounded size on both sides, a block pair is one
-matrix product, and only the best of it leaves the task.  Scores of those are summed in double precision on the original
-vectors, in one fixed order.
+every band, and all it meets is reranked together.  Bands of few vectors are met whole.
+
+In each table a pseudo-rotation (three rounds of random signs and a fast Hadamard transform) turns the vector, and its
+cell is the nearest signed axis.  A query probes, in every table, the axes nearest to it.  How many tables and probes is
+fitted for each length of vectors, at every size: up to SAMPLE queries are compared with all vectors; for each number of
+tables the fewest probes are taken with which their mean recall, less two standard errors, is at least RECALL, and of
+those the numbers that touch the fewest vectors.  A query always meets its own vector; one that meets fewer than k + 1
+entries probes all cells of the first table.
+
+Cells are dealt into bins of about ``BLOCK`` vectors (a large cell into several blocks), so a query travels once to a bin
+with the cells it probes there, however small they are.  In a bin only the vectors of those cells are met.  Equal vectors
+are one entry, so a very common vector is no hot cell; each keeps its ``k + 1`` smallest ids, which is all that can be
+among any query's k nearest.  A pair of blocks is one matrix product; what leaves the task is the best of it, with all
+that lies within rounding of the last.  Scores of those are summed in double precision on the original vectors, in one
+fixed order.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components, and rows without vec_id, take no
-part; vectors of different lengths do not meet; repeated rows count once, and of several vectors of one vec_id the smallest counts; ties go to the smaller vec_id; an empty table
-gives no rows; other columns are ignored.
+part; vectors of different lengths do not meet; repeated rows count once, and of several vectors of one vec_id the smallest
+counts; ties go to the smaller vec_id; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +38,8 @@ from roompulse.llm.tables import batches, stored, table
 
 K = 20
 QUERY_STEP = 20
-TABLES = 8
+#: Numbers of tables that are tried.
+TABLES = (1, 2, 4, 8)
 #: The fit of the probes: mean recall of the sampled queries of a length, less two standard errors, and their number.
 RECALL = 0.95
 SAMPLE = 128
@@ -46,13 +51,15 @@ FEW = 256
 BLOCK = 2_048
 QUERY_BLOCK = 256
 
-_PROBE_ARROW = pa.schema([("dim", pa.int32()), ("cell", pa.int64()), ("entry", pa.int64()), ("packed", pa.binary())])
-_PROBE_DDL = "dim int, cell bigint, entry bigint, packed binary"
+_MEMBER_ARROW = pa.schema([("dim", pa.int32()), ("bin", pa.int64()), ("cell", pa.int32()), ("entry", pa.int64()), ("packed", pa.binary())])
+_MEMBER_DDL = "dim int, bin bigint, cell int, entry bigint, packed binary"
+_ASKING_ARROW = pa.schema([("dim", pa.int32()), ("bin", pa.int64()), ("entry", pa.int64()), ("probed", pa.binary()), ("packed", pa.binary())])
+_ASKING_DDL = "dim int, bin bigint, entry bigint, probed binary, packed binary"
 _FOUND_ARROW = pa.schema([("query", pa.int64()), ("entry", pa.int64()), ("score", pa.float64())])
 _FOUND_DDL = "query bigint, entry bigint, score double"
-_DEPTH_ARROW = pa.schema([("dim", pa.int32()), ("query", pa.int64()), ("depth", pa.int64())])
-_DEPTH_DDL = "dim int, query bigint, depth bigint"
-#: The cells of vectors that are met whole lie from here downwards, below those of all bands.
+_DEPTH_ARROW = pa.schema([("dim", pa.int32()), ("query", pa.int64()), ("depths", pa.list_(pa.int64()))])
+_DEPTH_DDL = "dim int, query bigint, depths array<bigint>"
+#: The bins of vectors that are met whole lie from here downwards, below those of all bands.
 WHOLE = -(1 << 60)
 
 
@@ -99,33 +106,44 @@ def measured(heads: DataFrame) -> DataFrame:
 
 @dataclass
 class Bands:
-    """The vectors of one length: how many there are, the largest norm of each probed band, the probes of a table."""
+    """The vectors of one length: the vectors met whole and their bands, size and largest norm of each probed band, tables and probes."""
 
-    n: int
+    n_whole: int
     whole: set[int]
+    sizes: dict[int, int]
     largest: dict[int, float]
-    probes: int
+    tables: int = 1
+    probes: int = 1
 
     @property
     def parts(self) -> int:
-        """Into how many cells the vectors met whole are dealt."""
-        return -(-self.n // BLOCK)
+        """Into how many bins the vectors met whole are dealt."""
+        return -(-self.n_whole // BLOCK)
+
+    def share(self, dim: int) -> float:
+        """Of a band's vectors, the share that the probes of all tables touch at most."""
+        return min(1.0, self.tables * self.probes / (2 * width(dim)))
 
 
 def width(dim: int) -> int:
     return 1 << dim.bit_length()
 
 
+def bin_cells(n: int, cells: int) -> int:
+    """How many neighbouring cells of a band of n vectors are one bin: a power of two."""
+    return 1 << max(0, min(cells, cells * BLOCK // n).bit_length() - 1)
+
+
 def banded(heads: DataFrame) -> dict[int, Bands]:
     """The bands of each length; heads: (dim, norm, band)."""
     out: dict[int, Bands] = {}
     for row in heads.groupBy("dim", "band").agg(F.count("*").alias("n"), F.max("norm").alias("largest")).collect():
-        own = out.setdefault(row["dim"], Bands(0, set(), {}, 0))
-        own.n += row["n"]
+        own = out.setdefault(row["dim"], Bands(0, set(), {}, {}))
         if row["n"] <= FEW:
             own.whole.add(row["band"])
+            own.n_whole += row["n"]
         else:
-            own.largest[row["band"]] = row["largest"]
+            own.largest[row["band"]], own.sizes[row["band"]] = row["largest"], row["n"]
     return out
 
 
@@ -139,7 +157,7 @@ def fewest_probes(depths: list[list[int]]) -> int:
 
 
 def fitted(heads: DataFrame, asked: DataFrame, lengths: dict[int, Bands], k: int) -> dict[int, Bands]:
-    """``lengths`` with the probes that the sampled queries need, or with all bands met whole."""
+    """``lengths`` with the tables and probes that the sampled queries need."""
     wanted = [dim for dim, own in lengths.items() if own.largest]
     if not wanted:
         return lengths
@@ -176,37 +194,34 @@ def fitted(heads: DataFrame, asked: DataFrame, lengths: dict[int, Bands], k: int
                 place = {q: i for i, q in enumerate(queries.tolist())}
                 unit = unit_rows(y)
                 at = np.array([place[q] for q in asking[some].tolist()])
-                depth = np.full(len(some), 1)
+                depth = np.full((len(some), max(TABLES)), 1)
                 for band in set(bands[some].tolist()) - own.whole:
                     rows = np.flatnonzero(bands[some] == band)
-                    least = np.full(len(rows), np.iinfo(np.int64).max)
-                    cells = (c for _, c in candidate_cells(x[rows], bands[some][rows], ids[some][rows], own))
-                    for number, cell in enumerate(cells):
+                    for number, cell in enumerate(axes(*scaled(x[rows], own.largest[band]), 1, max(TABLES))):
                         turned = rotated(padded(unit, np.zeros(len(unit))), number)
                         both = np.stack([-turned, turned], axis=2).reshape(len(turned), -1)[at[rows]]
-                        mine = np.take_along_axis(both, cell % both.shape[1], 1)
-                        least = np.minimum(least, (both > mine).sum(axis=1) + 1)
-                    depth[rows] = least
-                for query, value in zip(asking[some].tolist(), depth.tolist()):
-                    yield dim, query, value
+                        depth[rows, number] = (both > np.take_along_axis(both, cell, 1)).sum(axis=1) + 1
+                least = np.minimum.accumulate(depth, axis=1)
+                for query, values in zip(asking[some].tolist(), least[:, [t - 1 for t in TABLES]].tolist()):
+                    yield dim, query, values
 
     found = heads.where(F.col("dim").isin(wanted)).select("entry", "vector").mapInArrow(lambda parts: batches(_FOUND_ARROW, scores(parts)), _FOUND_DDL)
     true = top(found.where(F.col("query") != F.col("entry")), "query", "entry", k)
     deep = true.join(heads, "entry").select("query", "entry", "band", "vector").mapInArrow(lambda parts: batches(_DEPTH_ARROW, depths(parts)), _DEPTH_DDL)
-    needed: dict[int, dict[int, list[int]]] = {}
+    needed: dict[int, dict[int, list[list[int]]]] = {}
     for row in deep.collect():  # at most SAMPLE * k a length
-        needed.setdefault(row["dim"], {}).setdefault(row["query"], []).append(row["depth"])
+        needed.setdefault(row["dim"], {}).setdefault(row["query"], []).append(row["depths"])
     out = dict(lengths)
     for dim in wanted:
-        own = lengths[dim]
-        count = fewest_probes(list(needed.get(dim, {}).values()))
-        touched = TABLES * count * (len(own.largest) + own.n / (2 * width(dim)))
-        out[dim] = replace(own, probes=count) if touched < own.n + own.parts else all_whole(own)
+        depths_of = list(needed.get(dim, {}).values())
+        tried = [(t, fewest_probes([[d[i] for d in own] for own in depths_of])) for i, t in enumerate(TABLES)]
+        tables, count = min(tried, key=lambda x: x[0] * x[1])
+        out[dim] = replace(lengths[dim], tables=tables, probes=count)
     return out
 
 
-def all_whole(own: Bands) -> Bands:
-    return replace(own, whole={*own.whole, *own.largest}, largest={})
+def all_probes(dim: int, own: Bands) -> Bands:
+    return replace(own, tables=1, probes=2 * width(dim))
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
@@ -225,61 +240,86 @@ def matrices(part: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray
             yield int(dim), some, np.array([vectors[int(i)].as_py() for i in some], np.float64)
 
 
-def axes(x: np.ndarray, last: np.ndarray, count: int) -> Iterator[np.ndarray]:
-    """Of each table, the cells of unit vectors, counted through all tables."""
-    unit = padded(x, last)
-    for number in range(TABLES):
-        yield signed_axes(rotated(unit, number), count) + number * 2 * unit.shape[1]
+def scaled(x: np.ndarray, largest: float) -> tuple[np.ndarray, np.ndarray]:
+    """Candidates of a band by its largest norm, and the coordinate that makes them unit vectors."""
+    x = x / largest
+    return x, np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))
 
 
-def candidate_cells(x: np.ndarray, bands: np.ndarray, entries: np.ndarray, own: Bands) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(rows, cells): candidates of a probed band lie in one cell a table, those met whole in one of the cells below."""
-    dealt = (entries.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(own.parts)
-    for band in np.unique(bands).tolist():
-        rows = np.flatnonzero(bands == band)
-        if band in own.whole:
-            yield rows, WHOLE - dealt[rows].astype(np.int64)[:, None]
-        else:
-            scaled = x[rows] / own.largest[band]
-            last = np.sqrt(np.maximum(0, 1 - (scaled * scaled).sum(axis=1)))
-            for cells in axes(scaled, last, 1):
-                yield rows, cells + band * TABLES * 2 * width(x.shape[1])
+def axes(x: np.ndarray, last: np.ndarray, count: int, tables: int) -> Iterator[np.ndarray]:
+    """Of each table, the nearest signed axes of unit vectors."""
+    unit = padded(x, last)
+    for number in range(tables):
+        yield signed_axes(rotated(unit, number), count)
 
 
-def query_cells(x: np.ndarray, own: Bands) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(rows, cells): a query goes to its nearest axes in every probed band, and to all that is met whole."""
-    rows = np.arange(len(x))
-    if own.whole:
-        yield rows, np.broadcast_to(WHOLE - np.arange(own.parts), (len(x), own.parts))
-    if own.largest:
-        for cells in axes(unit_rows(x), np.zeros(len(x)), own.probes):
-            for band in own.largest:
-                yield rows, cells + band * TABLES * 2 * width(x.shape[1])
+def first_bin(band: int, table_: int, dim: int) -> int:
+    """Where the bins of a band and table begin; a bin's number is that of its first cell."""
+    return (band * max(TABLES) + table_) * 2 * width(dim)
 
 
-def probes(heads: DataFrame, lengths: dict[int, Bands], asking: bool) -> DataFrame:
-    """(dim, cell, entry, packed) of (entry, vector, band), as candidates or as queries; lengths not given take no part."""
+def members_of(heads: DataFrame, lengths: dict[int, Bands]) -> DataFrame:
+    """(dim, bin, cell, entry, packed) of candidates (entry, vector, band), once a table; cells count from the bin's first.
+
+    Those met whole lie in cell 0 of one of the bins below; lengths not given take no part.
+    """
 
     def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for part in parts:
             ids, bands = part.column("entry").to_numpy(), part.column("band").to_numpy()
             for dim, some, x in matrices(part):
-                if dim in lengths:
-                    packed = [row.tobytes() for row in x]
-                    found = query_cells(x, lengths[dim]) if asking else candidate_cells(x, bands[some], ids[some], lengths[dim])
-                    for members, cells in found:
-                        for i, row in zip(members.tolist(), cells.tolist()):
-                            for cell in row:
-                                yield dim, cell, int(ids[some[i]]), packed[i]
+                if dim not in lengths:
+                    continue
+                own, entries, in_band = lengths[dim], ids[some], bands[some]
+                for band in np.unique(in_band).tolist():
+                    at = np.flatnonzero(in_band == band)
+                    if band in own.whole:
+                        for i in at.tolist():
+                            yield dim, WHOLE - int(entries[i]) % own.parts, 0, int(entries[i]), x[i].tobytes()
+                        continue
+                    step = bin_cells(own.sizes[band], 2 * width(dim))
+                    for number, cells in enumerate(axes(*scaled(x[at], own.largest[band]), 1, own.tables)):
+                        base = first_bin(band, number, dim)
+                        for i, cell in zip(at.tolist(), cells[:, 0].tolist()):
+                            yield dim, base + cell // step * step, cell % step, int(entries[i]), x[i].tobytes()
+
+    return heads.select("entry", "vector", "band").mapInArrow(lambda parts: batches(_MEMBER_ARROW, rows(parts), 5_000), _MEMBER_DDL)
+
+
+def asking_of(asked: DataFrame, lengths: dict[int, Bands]) -> DataFrame:
+    """(dim, bin, entry, probed, packed) of queries (entry, vector): the bins they probe, and a byte for each cell there, 1 where probed."""
 
-    return heads.select("entry", "vector", "band").mapInArrow(lambda parts: batches(_PROBE_ARROW, rows(parts), 5_000), _PROBE_DDL)
+    def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for part in parts:
+            ids = part.column("entry").to_numpy()
+            for dim, some, x in matrices(part):
+                if dim not in lengths:
+                    continue
+                own, entries = lengths[dim], ids[some].tolist()
+                packed = [row.tobytes() for row in x]
+                for i, entry in enumerate(entries):
+                    for number in range(own.parts):
+                        yield dim, WHOLE - number, entry, b"\1", packed[i]
+                if not own.largest:
+                    continue
+                cells = 2 * width(dim)
+                for number, near in enumerate(axes(unit_rows(x), np.zeros(len(x)), own.probes, own.tables)):
+                    probed = np.zeros((len(x), cells), np.uint8)
+                    np.put_along_axis(probed, near, 1, axis=1)
+                    for band, n in own.sizes.items():
+                        step, base = bin_cells(n, cells), first_bin(band, number, dim)
+                        by_bin = probed.reshape(len(x), -1, step)
+                        for i, place in zip(*(a.tolist() for a in np.nonzero(by_bin.any(axis=2)))):
+                            yield dim, base + place * step, entries[i], by_bin[i, place].tobytes(), packed[i]
+
+    return asked.select("entry", "vector").mapInArrow(lambda parts: batches(_ASKING_ARROW, rows(parts), 5_000), _ASKING_DDL)
 
 
 def met(heads: DataFrame, asked: DataFrame, lengths: dict[int, Bands], best: int) -> DataFrame:
     """(query, entry, score): the best of what each query meets."""
-    others = blocked(probes(heads, lengths, False), BLOCK, "others")
-    asking = blocked(probes(asked, lengths, True), QUERY_BLOCK, "queries")
-    found = reranked(others.join(asking, ["dim", "cell"]), best)
+    others = blocked(members_of(heads, lengths), ("entry", "cell", "packed"), BLOCK, "others")
+    asking = blocked(asking_of(asked, lengths), ("entry", "probed", "packed"), QUERY_BLOCK, "queries")
+    found = reranked(others.join(asking, ["dim", "bin"]), best)
     return top(found.groupBy("query", "entry").agg(F.max("score").alias("score")), "query", "entry", best).drop("rank")
 
 
@@ -296,34 +336,37 @@ def selves(asked: DataFrame) -> DataFrame:
     return asked.select("entry", "vector").mapInArrow(lambda parts: batches(_FOUND_ARROW, rows(parts)), _FOUND_DDL)
 
 
-def blocked(cells: DataFrame, size: int, name: str) -> DataFrame:
-    """The rows of each cell in blocks of about ``size``."""
-    counts = cells.groupBy("dim", "cell").agg(F.count("*").alias("n"))
-    dealt = cells.join(counts, ["dim", "cell"]).withColumn("block", F.pmod(F.xxhash64("entry"), F.ceil(F.col("n") / size)))
-    return dealt.groupBy("dim", "cell", "block").agg(F.collect_list(F.struct("entry", "packed")).alias(name)).drop("block")
+def blocked(rows: DataFrame, columns: tuple[str, ...], size: int, name: str) -> DataFrame:
+    """The rows of each bin in blocks of about ``size``."""
+    counts = rows.groupBy("dim", "bin").agg(F.count("*").alias("n"))
+    dealt = rows.join(counts, ["dim", "bin"]).withColumn("block", F.pmod(F.xxhash64("entry"), F.ceil(F.col("n") / size)))
+    return dealt.groupBy("dim", "bin", "block").agg(F.collect_list(F.struct(*columns)).alias(name)).drop("block")
 
 
 def reranked(pairs: DataFrame, best: int) -> DataFrame:
-    """(query, entry, score): the best of each query in each pair of blocks."""
+    """(query, entry, score): the best of each query in each pair of blocks, among the cells it probes.
+
+    The products only choose; what lies within their rounding of the last one chosen is kept as well.
+    """
 
     def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for part in parts:
-            for dim, queries, others in zip(part.column("dim").to_pylist(), part.column("queries").to_pylist(), part.column("others").to_pylist()):
-                ids = np.array([x["entry"] for x in others])
-                order = np.argsort(ids)
-                ids = ids[order]
-                y = np.frombuffer(b"".join([x["packed"] for x in others]), np.float64).reshape(-1, dim)[order]
-                x = np.frombuffer(b"".join([q["packed"] for q in queries]), np.float64).reshape(-1, dim)
+            for dim, queries, others in zip(part.column("dim").to_pylist(), part.column("queries"), part.column("others")):
+                queries, others = queries.values, others.values
+                ids, cells = (others.field(c).to_numpy() for c in ("entry", "cell"))
+                asking = queries.field("entry").to_pylist()
+                y, x = (np.frombuffer(b"".join(v.field("packed").to_pylist()), np.float64).reshape(-1, dim) for v in (others, queries))
+                probed = np.frombuffer(b"".join(queries.field("probed").to_pylist()), np.uint8).reshape(len(asking), -1)
                 scores = x @ y.T
-                for i, query in enumerate(queries):
-                    row = scores[i]
-                    near = np.arange(len(ids))
-                    if len(ids) > best:
-                        near = np.flatnonzero(row >= np.partition(row, len(ids) - best)[len(ids) - best])
-                        near = near[np.argsort(-row[near], kind="stable")[:best]]
+                rounding = 4 * dim * np.finfo(np.float64).eps * np.abs(x) @ np.abs(y).max(axis=0)
+                for i, query in enumerate(asking):
+                    near = np.flatnonzero(probed[i][cells])
+                    if len(near) > best:
+                        row = scores[i][near]
+                        near = near[row >= np.partition(row, len(row) - best)[len(row) - best] - rounding[i]]
                     exact = (y[near] * x[i]).sum(axis=1)
                     for entry, score in zip(ids[near].tolist(), exact.tolist()):
-                        yield query["entry"], entry, score
+                        yield query, entry, score
 
     return pairs.select("dim", "queries", "others").mapInArrow(lambda parts: batches(_FOUND_ARROW, rows(parts)), _FOUND_DDL)
 
@@ -353,7 +396,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     lengths = fitted(heads, asked_heads, banded(heads), k)
     found = stored(met(heads, asked_heads, lengths, k + 1), "neighbour-found")
     counts = found.groupBy("query").agg(F.count("*").alias("n")).where(F.col("n") > k)
-    open_lengths = {dim: all_whole(own) for dim, own in lengths.items() if own.largest}
+    open_lengths = {dim: all_probes(dim, own) for dim, own in lengths.items() if own.largest}
     short = asked_heads.where(F.col("dim").isin(list(open_lengths))).join(counts, F.col("entry") == F.col("query"), "left_anti")
     short = stored(short, "neighbour-short")
     found = found.unionByName(selves(asked_heads))

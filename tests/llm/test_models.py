@@ -330,6 +330,42 @@ def test_neighbours_reach_their_recall_at_any_size_and_width(spark, n, dim):
     assert recall_of(spark, vectors, n // 100) >= 0.95
 
 
+@pytest.mark.parametrize("folder", [SMALL, CHECKED, "/root/testdata/sf0.1"])
+def test_tables_are_hashed_at_every_size(spark, folder):
+    vectors = neighbours.clean_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))
+    heads = neighbours.stored(neighbours.measured(vectors.withColumnRenamed("vec_id", "entry")), "test-heads")
+    asked = heads.where("entry % 20 = 0")
+    lengths = neighbours.fitted(heads, asked, neighbours.banded(heads), neighbours.K)
+    assert lengths
+    for dim, own in lengths.items():
+        assert own.largest and not own.whole and own.tables in neighbours.TABLES
+        assert own.tables * own.probes < 2 * neighbours.width(dim) and 0 < own.share(dim) < 1
+
+
+def test_an_outlier_is_met_by_one_row_a_query(spark):
+    rng = np.random.default_rng(5)
+    vectors = rng.standard_normal((4_000, 16))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors[77] *= 20
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "entry bigint, vector array<double>")
+    heads = neighbours.stored(neighbours.measured(df), "test-heads")
+    lengths = neighbours.banded(heads)
+    asked = heads.where("entry % 20 = 0")
+    assert neighbours.asking_of(asked, lengths).where(f"bin <= {neighbours.WHOLE}").count() == asked.count()
+
+
+def test_near_ties_at_the_edge_go_by_the_exact_score(spark):
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal(48)
+    rows = [(i, (base + (i % 7) * 1e-16 * rng.standard_normal(48)).tolist()) for i in range(400)]
+    vectors = neighbours.clean_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    got = found(neighbours.nearest(vectors, vectors.where("vec_id % 100 = 0")))
+    plain = dict(rows)
+    for q, own in got.items():
+        exact = sorted(((-float((np.array(v) * np.array(plain[q])).sum()), i) for i, v in rows if i != q))[:20]
+        assert [i for i, _ in own] == [i for _, i in exact]
+
+
 def test_probes_are_the_fewest_that_reach_the_recall():
     assert neighbours.fewest_probes([[1] * 20, [3] * 20]) == 3
     assert neighbours.fewest_probes([[1] * 39 + [9], [1] * 39 + [9]]) == 1
