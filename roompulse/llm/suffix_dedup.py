@@ -14,7 +14,9 @@ by most-significant-digit passes, only through that depth, and a group with one
 Ordering every single suffix would move more than 20 times the input; the anchors lose none, as the anchor is a function
 of the window's bytes.  Each pass is a shuffle by digit, a sort, and a scan that holds one row.  Tasks combine their own
 equal rows before shuffling: repeats that are known already travel under a key of their own, so a passage that very many
-documents share does not meet in one task.  Identities are 128 bits for stretches (gram and stretch) and 96 for windows.
+documents share does not meet in one task.  Of a gram with many stretches a task sends the first two under the gram, which
+opens whatever else arrives there; the others are open for certain and are dealt out by stretch, so a gram that is common in
+different surroundings does not meet in one task either.  Identities are 128 bits for stretches (gram and stretch) and 96 for windows.
 
 Defined results: a null text is empty; rows without doc_id take no part and stay whole; rows of one doc_id are one
 document whose removed ranges hold for each of them (equal rows do not remove each other); an empty table gives no rows;
@@ -41,8 +43,11 @@ PLACE_BITS = 24
 CHUNK = 1 << 22
 #: Rows that a task combines at once.
 COMBINED = 200_000
-#: A run's length takes the low bits of its span.
+#: A run's length takes the low bits of its span; the highest of them says that the run is dealt out by its stretch.
 LENGTH_BITS = 8
+BY_STRETCH = 1 << LENGTH_BITS - 1
+#: Stretches of a gram that a task sends under the gram.
+UNDER_GRAM = 2
 
 _GENERATOR = np.random.Generator(np.random.PCG64(19))
 _BYTE = _GENERATOR.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -102,8 +107,16 @@ def runs(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
             order = np.lexsort((span, ids, s, g))
             g, s, ids, span = g[order], s[order], ids[order], span[order]
             # Among equal rows only those after the first document and place repeat it.
-            head = np.maximum.accumulate(np.where(firsts(g, s), np.arange(len(g)), 0))
+            new = firsts(g, s)
+            head = np.maximum.accumulate(np.where(new, np.arange(len(g)), 0))
             again = (ids != ids[head]) | (span != span[head])
+            heads = np.flatnonzero(new)
+            rank = np.arange(len(heads))
+            rank -= np.maximum.accumulate(np.where(firsts(g[heads]), rank, 0))
+            spread = np.zeros(len(g), bool)
+            spread[heads[rank >= UNDER_GRAM]] = True
+            g = np.where(spread, mixed(mixed(g.view(np.uint64)) + s.view(np.uint64)).view(np.int64), g)
+            span = np.where(spread, span | BY_STRETCH, span)
             g = np.where(again, mixed((ids * 1_000_003 + span).view(np.uint64)).view(np.int64), g)
             return pa.RecordBatch.from_arrays([pa.array(g), pa.array(s), pa.array(ids), pa.array(np.where(again, -span - 1, span))], schema=_RUN_ARROW)
 
@@ -130,7 +143,7 @@ def run_pass(dealt: DataFrame, width: int = WIDTH) -> DataFrame:
     """The first two digits: (doc_id, at, length, open) of repeated byte ranges, and of runs still open (length in suffixes)."""
 
     def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask = (1 << LENGTH_BITS) - 1
+        mask = BY_STRETCH - 1
         last = None  # the stretch's first row, and whether the gram has had another stretch
         waiting = None  # a gram's first stretch, until another one comes
 
@@ -157,7 +170,7 @@ def run_pass(dealt: DataFrame, width: int = WIDTH) -> DataFrame:
             hg = g[heads]
             with_before = np.concatenate([[False], hg[1:] == hg[:-1]])
             with_after = np.concatenate([hg[1:] == hg[:-1], [False]])
-            is_open = with_before | with_after
+            is_open = with_before | with_after | (span[heads] & BY_STRETCH > 0)
             if last is not None:
                 # The carried row is the first head here; it is written once, when its gram has a second stretch.
                 if not waiting:

@@ -187,6 +187,18 @@ def test_repeated_bytes_at_random(spark, tiny_batches):
     assert bytes_digest(suffix_dedup.without_repeats(frame(spark, rows))) == sorted(brute.repeated_bytes(rows))
 
 
+def test_a_common_gram_is_dealt_out(spark):
+    rng = random.Random(8)
+    phrase = "a phrase of some seventy bytes that stands in very many documents !!!!"
+    prose = lambda: "".join(rng.choices("abcdefghij ", k=150))
+    rows = [(i, prose() + phrase + prose()) for i in range(600)]
+    rows += [(1000 + i, rows[i][1][40:330]) for i in range(0, 600, 7)]
+    docs = frame(spark, rows)
+    assert bytes_digest(suffix_dedup.without_repeats(docs)) == sorted(brute.repeated_bytes(rows))
+    met = suffix_dedup.runs(docs).where("span >= 0").groupBy("gram").count().agg({"count": "max"}).first()[0]
+    assert met <= 3 * suffix_dedup.UNDER_GRAM
+
+
 def test_repeated_bytes_awkward_and_empty_tables(spark, awkward, nothing):
     got = suffix_dedup.without_repeats(awkward[0]).collect()
     assert len(got) == 6
