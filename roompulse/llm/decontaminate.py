@@ -89,7 +89,10 @@ def occurrences(docs: DataFrame, windows: DataFrame, shingle_words: int = SHINGL
     counts = reduce(DataFrame.unionByName, counted).groupBy("size", "h").agg(F.max("n").alias("n"))
     counts = stored(counts, "decontamination-counts")
 
-    numbered = with_words(docs.select("doc_id", "text", F.md5("text").alias("digest"), F.monotonically_increasing_id().alias("row")), "doc_id", "digest", "row")
+    # A row's key follows from its values, so that every branch, and a task run again, gives it the same one.
+    digest, none = F.md5("text"), F.lit("none")
+    key = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), none), F.coalesce(digest, none)))
+    numbered = with_words(docs.select("doc_id", "text", digest.alias("digest"), key.alias("row")), "doc_id", "digest", "row")
     found = []
     for n, s, part in cut:
         ranked = window_shingles(part, n, shingle_words).join(counts.where(F.col("size") == n), "h", "left")

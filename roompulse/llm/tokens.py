@@ -57,17 +57,46 @@ class Memory:
         self.young[key] = value
 
 
+# What a file says of its normalizer and its cutting where the short ways below hold for it.
+WORD_RULES = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+)
+BYTE_RULES = (None, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True})
+
+
+def holds(tokenizer, rules: tuple, specials: tuple[str, ...]) -> bool:
+    """Whether a tokenizer cuts by these rules, with a plain model and no other added strings than those."""
+    import json
+
+    own = json.loads(tokenizer.to_str())
+    plain = own["model"]["type"] == "BPE" and not any(own["model"].get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "ignore_merges", "byte_fallback"))
+    added = all(t["content"].startswith(specials) and not t["lstrip"] and not t["rstrip"] for t in own["added_tokens"])
+    return (own["normalizer"], own["pre_tokenizer"]) == rules and plain and added
+
+
 class WordEncoder:
+    """Ids of texts; a file that cuts by other rules than those of WORD_VOCABULARY is given whole texts."""
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_word = holds(self.tokenizer, WORD_RULES, ("<|",))
         self.model = self.tokenizer.model
         self.letters = byte_letters()
         self.words, self.pieces = Memory(WORDS_KEPT), Memory(PIECES_KEPT)
 
     def encode(self, text: bytes) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
+        if not self.by_word:
+            return packed(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids)
         get = self.words.young.get
         return b"".join([get(w) or self.word(w) for w in text.split()])
 
@@ -106,12 +135,13 @@ class SpanEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.by_piece = holds(self.tokenizer, BYTE_RULES, ("<|",))
         self.model, self.letters = self.tokenizer.model, byte_letters()
         self.pieces = Memory(WORDS_KEPT)
 
     def spans(self, text: str) -> np.ndarray:
         """(tokens, 2): first character and the one behind the last."""
-        if not SPAN_PLAIN.fullmatch(text):
+        if not self.by_piece or not SPAN_PLAIN.fullmatch(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).offsets, np.int64).reshape(-1, 2)
         pieces, get = SPAN_PIECE.findall(text), self.pieces.young.get
         cuts = [get(p) or self.piece(p) for p in pieces]
@@ -166,11 +196,8 @@ class ByteEncoder:
         self.entries = pa.array([entries.get(i, b"") for i in range(max(own["model"]["vocab"].values()) + 1)], pa.binary())
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in own["model"]["merges"]]
         in_order = all(own["model"]["vocab"].get(a + b) == 256 + i for i, (a, b) in enumerate(merges)) and len(ranks) == 256 + len(merges)
-        cutting = own["pre_tokenizer"] or {}
-        by_rule = cutting.get("type") == "ByteLevel" and cutting.get("use_regex", True) and not cutting.get("add_prefix_space")
-        rest = any(own["model"].get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
         self.ranks = None
-        if in_order and by_rule and not own["normalizer"] and not rest:
+        if in_order and not own["model"].get("end_of_word_suffix") and holds(self.tokenizer, BYTE_RULES, ("<|",)):
             self.ranks = tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_RULE, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:

@@ -39,6 +39,42 @@ def test_spans_of_pieces_are_the_spans_of_the_text(text):
     assert [tuple(x) for x in SPANS.spans(text).tolist()] == BYTES.encode(text, add_special_tokens=False).offsets
 
 
+def changed_file(tmp_path, name, change):
+    import json
+
+    own = json.load(open(vocabulary(name)))
+    change(own)
+    (tmp_path / name).write_text(json.dumps(own))
+    return str(tmp_path / name)
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        lambda own: own["normalizer"]["normalizers"].pop(),
+        lambda own: own["pre_tokenizer"]["pretokenizers"][0]["pattern"].update(Regex=r"\S+"),
+        lambda own: own["added_tokens"].append({"id": 5, "content": "ab", "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": False}),
+    ],
+)
+def test_a_word_file_of_other_rules_gives_its_own_ids(tmp_path, change):
+    path = changed_file(tmp_path, WORD_VOCABULARY, change)
+    other, library = WordEncoder(path), Tokenizer.from_file(path)
+    assert ENCODER.by_word and not other.by_word
+    for text in ["It's ABBA, isn't it? 1234", "Crab cab", "é <|endoftext|> x", ""]:
+        assert np.frombuffer(other.encode(text.encode()), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    for text in ["Crab ABBA it's 12"]:
+        assert other.encode(text.encode()) != ENCODER.encode(text.encode())
+
+
+def test_a_byte_file_of_other_rules_gives_its_own_spans(tmp_path):
+    path = changed_file(tmp_path, BYTE_VOCABULARY, lambda own: own.update(normalizer={"type": "Prepend", "prepend": "_"}))
+    other, library = SpanEncoder(path), Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    assert SPANS.by_piece and not other.by_piece
+    for text in ["plain words", "don't 12"]:
+        assert [tuple(x) for x in other.spans(text).tolist()] == library.encode(text, add_special_tokens=False).offsets
+
+
 def file_rows(spark, docs):
     path = shared_folder(spark, "test-tokens")
     token_files.write_tokens(docs, path, WORDS)
