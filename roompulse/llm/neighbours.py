@@ -9,7 +9,7 @@ In each table a pseudo-rotation (three rounds of random signs and a fast Hadamar
 cell is the nearest signed axis.  A query probes, in every table, the axes nearest to it.  How many tables and probes is
 fitted for each length of vectors, at every size: up to SAMPLE queries are compared with all vectors; for each number of
 tables the fewest probes are taken with which their mean recall, less two standard errors, is at least RECALL, and of
-those the numbers that touch the fewest vectors.  A query always meets its own vector; one that meets fewer than k + 1
+those the numbers that cost least, where a vector that travels costs as much as ``MOVED`` that are met.  A query always meets its own vector; one that meets fewer than k + 1
 entries probes all cells of the first table.
 
 Cells are dealt into bins of about ``BLOCK`` vectors (a large cell into several blocks), so a query travels once to a bin
@@ -43,6 +43,8 @@ TABLES = (1, 2, 4, 8)
 #: The fit of the probes: mean recall of the sampled queries of a length, less two standard errors, and their number.
 RECALL = 0.95
 SAMPLE = 128
+#: What moving one vector costs, in vectors met.
+MOVED = 500
 #: Largest norm of a band over its smallest, at most.
 NORM_STEP = 1.15
 #: A band of at most so many vectors is met whole by every query of its length.
@@ -125,6 +127,13 @@ class Bands:
         return min(1.0, self.tables * self.probes / (2 * width(dim)))
 
 
+    def cost(self, dim: int, queries: int) -> float:
+        """Of all queries: the vectors met, and those that move, copies of candidates and of queries."""
+        n, cells = sum(self.sizes.values()), 2 * width(dim)
+        bins = sum(min(self.probes, cells // bin_cells(size, cells)) for size in self.sizes.values())
+        return MOVED * self.tables * (n + queries * bins) + queries * n * self.share(dim)
+
+
 def width(dim: int) -> int:
     return 1 << dim.bit_length()
 
@@ -161,6 +170,8 @@ def fitted(heads: DataFrame, asked: DataFrame, lengths: dict[int, Bands], k: int
     wanted = [dim for dim, own in lengths.items() if own.largest]
     if not wanted:
         return lengths
+    n_asked = {row["dim"]: row["count"] for row in asked.groupBy("dim").count().collect()}
+    wanted = [dim for dim in wanted if dim in n_asked]
     drawn = asked.where(F.col("dim").isin(wanted)).withColumn("score", F.xxhash64("entry"))
     sample: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     rows_of: dict[int, list] = {}
@@ -215,8 +226,8 @@ def fitted(heads: DataFrame, asked: DataFrame, lengths: dict[int, Bands], k: int
     for dim in wanted:
         depths_of = list(needed.get(dim, {}).values())
         tried = [(t, fewest_probes([[d[i] for d in own] for own in depths_of])) for i, t in enumerate(TABLES)]
-        tables, count = min(tried, key=lambda x: x[0] * x[1])
-        out[dim] = replace(lengths[dim], tables=tables, probes=count)
+        plans = [replace(lengths[dim], tables=t, probes=count) for t, count in tried]
+        out[dim] = min(plans, key=lambda plan: plan.cost(dim, n_asked[dim]))
     return out
 
 
