@@ -190,6 +190,13 @@ def gmv_kpis(products: DataFrame, orders: DataFrame, span: int = 365, as_of=None
         "latest_gmv",
         "latest_orders",
         red.scalar().alias("red_products"),
-        riser.scalar()["product_name"].alias("top_riser"),
-        riser.scalar()["growth_pct"].alias("top_growth_pct"),
+        riser.scalar().alias("riser"),
+    ).select(
+        "total_gmv",
+        "latest_day",
+        "latest_gmv",
+        "latest_orders",
+        "red_products",
+        F.col("riser.product_name").alias("top_riser"),
+        F.col("riser.growth_pct").alias("top_growth_pct"),
     )

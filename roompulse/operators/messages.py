@@ -153,14 +153,18 @@ def message_kind(method: Column) -> Column:
     return kind
 
 
-def route_messages(envelopes: DataFrame) -> DataFrame:
+def route_messages(envelopes: DataFrame, keep_damaged: bool = False) -> DataFrame:
     """Decoded envelopes as one row per known message, with the fields of its type.
 
     Unknown types are dropped first.  One schema covers all payloads, so each is
-    parsed once and no branch rescans the input.
+    parsed once and no branch rescans the input.  Payloads that are not JSON are
+    left out, or kept with their text as ``damaged``.
     """
     known = envelopes.withColumn("kind", message_kind(F.col("method"))).filter(F.col("kind").isNotNull())
-    decoded = decode_json(known, "payload", PAYLOAD).filter(F.col("bad").isNull())
+    decoded = decode_json(known, "payload", PAYLOAD)
+    damaged = F.when(F.col("bad").isNotNull() | F.col("payload").isNull(), F.coalesce("payload", F.lit("")))
+    if not keep_damaged:
+        decoded = decoded.filter(F.col("bad").isNull())
     kind = F.col("kind")
     b = {f.name: F.col(f"body.{f.name}") for f in PAYLOAD.fields}
     has_user = kind.isin("chat", "gift", "like", "member", "social", "emoji")
@@ -195,6 +199,7 @@ def route_messages(envelopes: DataFrame) -> DataFrame:
         amount.alias("amount"),
         ((kind == "control") & (b["status"] == STATUS_ENDED)).alias("ends_room"),
         topic.alias("topic"),
+        *([damaged.alias("damaged")] if keep_damaged else []),
     )
 
 

@@ -88,15 +88,13 @@ def gift_value(danmaku: DataFrame, prices: DataFrame) -> DataFrame:
 
 
 def room_signals(danmaku: DataFrame, samples: DataFrame, prices: DataFrame) -> DataFrame:
-    """Chats, gifts and samples as one narrow frame, so one grouping serves them all."""
-    chats = danmaku.filter(F.col("msg_type") == "chat").select(
-        "room_id", "room_name", F.col("created_at").alias("event_time"), F.lit("chat").alias("kind")
-    )
-    gifts = priced_gifts(danmaku, prices).select(
-        "room_id", "room_name", F.col("created_at").alias("event_time"), F.lit("gift").alias("kind"), "amount"
-    )
+    """Chats, gifts and samples as one narrow frame, so one grouping serves them all; the messages are read once."""
+    is_gift = F.col("msg_type") == "gift"
+    amount = F.when(is_gift, gift_amount(F.coalesce("gift_count", F.lit(1)), F.col("price")))
+    said = danmaku.filter(F.col("msg_type").isin("chat", "gift")).join(prices, "gift_name", "left")
+    told = said.select("room_id", "room_name", F.col("created_at").alias("event_time"), F.col("msg_type").alias("kind"), amount.alias("amount"))
     seen = samples.select("room_id", "room_name", "event_time", F.lit("sample").alias("kind"), "online")
-    return chats.unionByName(gifts, allowMissingColumns=True).unionByName(seen, allowMissingColumns=True)
+    return told.unionByName(seen, allowMissingColumns=True)
 
 
 def room_minute_agg(signals: DataFrame, minutes: int = 1, ts: str = "event_time") -> DataFrame:

@@ -17,7 +17,7 @@ from roompulse.operators.common import top_per_key, upper_medians
 from roompulse.plans.views import Views
 from roompulse.schemas import CHAT_MESSAGE, ODS_DANMAKU, ROOM_RECORD, TOPIC_CHAT, TOPIC_GIFT, TOPIC_MESSAGE, TOPIC_ROOM
 from roompulse.session import shared_folder
-from roompulse.sinks.files import overwrite_orc, save_table, write_tsv
+from roompulse.sinks.files import overwrite_orc, save_table, stored, write_tsv
 from roompulse.sinks.landing import Landing
 from roompulse.sinks.topics import as_messages, read_once, write_messages
 from roompulse.sources.evolution import read_generations
@@ -147,6 +147,12 @@ def _signals(v: Views) -> DataFrame:
     return windows.room_signals(v.signals, _samples(v), v.gift_prices)
 
 
+def _snapshot(v: Views, minutes: int = 1) -> DataFrame:
+    """Snapshots look at the samples several times over, so these, a small part of the events, are stored first."""
+    samples = stored(_samples(v), "samples")
+    return windows.room_snapshot(windows.room_signals(v.signals, samples, v.gift_prices), samples, minutes)
+
+
 def _timed(v: Views) -> DataFrame:
     return v.signals.filter(F.col("msg_type") == "chat").withColumn("event_time", F.col("created_at"))
 
@@ -328,8 +334,8 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "room_minute_agg": lambda v: windows.room_minute_agg(_signals(v)),
     "online_alerts": lambda v: windows.online_alerts(_samples(v)),
     "gift_value": lambda v: windows.gift_value(v.signals, v.gift_prices),
-    "room_snapshot": lambda v: windows.room_snapshot(_signals(v), _samples(v)),
-    "surge_alerts": lambda v: windows.surge_alerts(windows.room_snapshot(_signals(v), _samples(v), 60), 4, 100),
+    "room_snapshot": _snapshot,
+    "surge_alerts": lambda v: windows.surge_alerts(_snapshot(v, 60), 4, 100),
     "route_messages": lambda v: messages.route_messages(envelopes(v)),
     "published_messages": lambda v: messages.publish(messages.route_messages(envelopes(v))),
     "rank_entries": lambda v: messages.rank_entries(envelopes(v)),

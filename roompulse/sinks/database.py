@@ -17,9 +17,9 @@ def reload_table(df: DataFrame, url: str, table: str, **driver: str) -> None:
 
 
 def upsert_statement(table: str, columns: Sequence[str], keys: Sequence[str]) -> str:
-    """An insert that replaces the values of an existing key."""
+    """An insert that replaces the values of an existing key; a table of keys alone keeps the row it has."""
     marks = ", ".join(["%s"] * len(columns))
-    values = ", ".join(f"{c} = VALUES({c})" for c in columns if c not in keys)
+    values = ", ".join(f"{c} = VALUES({c})" for c in columns if c not in keys) or f"{keys[0]} = {keys[0]}"
     return f"INSERT INTO {table} ({', '.join(columns)}) VALUES ({marks}) ON DUPLICATE KEY UPDATE {values}"
 
 

@@ -127,8 +127,13 @@ def snapshot_rooms(spark: SparkSession, root: str, prices: DataFrame, minutes: i
 
 
 def demultiplex(envelopes: DataFrame, rooms: DataFrame, root: str, checkpoint: str, once=False) -> StreamingQuery:
-    """Route decoded envelopes by type, and publish the kinds other jobs consume."""
+    """Route decoded envelopes by type, and publish the kinds other jobs consume; damaged payloads go to ``quarantine``."""
     named = envelopes.join(rooms, "room_id", "left")
-    routed = route_messages(named)
-    routes = {"messages": lambda df: df, "published": publish}
+    routed = route_messages(named, keep_damaged=True)
+
+    def whole(df: DataFrame) -> DataFrame:
+        return df.filter(F.col("damaged").isNull()).drop("damaged")
+
+    routes = {"messages": whole, "published": lambda df: publish(whole(df))}
+    routes["quarantine"] = lambda df: df.filter(F.col("damaged").isNotNull()).select("room_id", "kind", "damaged", "timestamp")
     return run(routed, route_batches(routes, root), checkpoint, "append", once)

@@ -64,3 +64,7 @@ def test_text_reports_deal_texts_out_and_read_them_once(spark, name):
     # One scan may count the documents; training and word counts are stored before.
     assert scans(plan, "documents") <= 2
     assert not re.search(r"BroadcastExchange[^\n]*text", plan)
+
+
+def test_snapshots_read_the_messages_once(spark):
+    assert scans(physical(BUILDS["room_snapshot"](spark, SMALL)), "events") == 1

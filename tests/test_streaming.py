@@ -217,13 +217,16 @@ def test_landing_loses_nothing(spark, views, tmp_path):
 
 def test_envelopes_are_routed_by_type(spark, views, tmp_path):
     rows = envelopes(views)
-    rows.select("method", "room_id", "payload", "timestamp").write.parquet(str(tmp_path / "in"))
+    damaged = rows.limit(3).select(F.lit("WebcastChatMessage").alias("method"), "room_id", F.lit("{cut").alias("payload"), "timestamp")
+    rows.select("method", "room_id", "payload", "timestamp").unionByName(damaged).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(ENVELOPE).parquet(str(tmp_path / "in"))
     finish(jobs.demultiplex(stream, views.rooms, str(tmp_path / "out"), str(tmp_path / "cp"), once=True))
     batch = m.route_messages(rows)
     got = read_batches(spark, str(tmp_path / "out/messages"))
     assert sorted(map(tuple, m.message_type_counts(got).collect())) == sorted(map(tuple, m.message_type_counts(batch).collect()))
     assert got.select("kind").distinct().count() == 13
+    aside = read_batches(spark, str(tmp_path / "out/quarantine")).collect()
+    assert [(r.kind, r.damaged) for r in aside] == [("chat", "{cut")] * 3
     published = read_batches(spark, str(tmp_path / "out/published"))
     assert sorted(r.value for r in published.collect()) == sorted(r.value for r in m.publish(batch).collect())
 
