@@ -124,3 +124,14 @@ def association_rules(
         half_up(F.col("raw_lift"), 2).alias("lift"),
         "co_count",
     )
+
+
+def summaries(orders: DataFrame, rules: DataFrame) -> DataFrame:
+    """What the two reports say of themselves: products and customers looked at, and rules found."""
+    items = baskets(orders)
+    # Distinct in two steps, so that neither count gathers a customer or product.
+    looked_at = items.agg(F.count_distinct("product_id").alias("total_products"), F.count_distinct("customer_id").alias("total_users"))
+    none = F.lit(None).cast("bigint")
+    first = looked_at.select(F.lit("collaborative_filtering").alias("method"), "total_products", "total_users", none.alias("total_rules"))
+    second = rules.agg(F.count("*").alias("total_rules")).select(F.lit("association_rules").alias("method"), none.alias("total_products"), none.alias("total_users"), "total_rules")
+    return first.unionByName(second)

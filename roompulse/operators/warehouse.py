@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roompulse.functions.numbers import parse_count, whole_div
+from roompulse.functions.numbers import parse_count, ratio, whole_div
 from roompulse.functions.times import clock, iso_text, minute_text, minutes, parse_iso
 from roompulse.operators.audience import chats_per_user
 from roompulse.operators.messages import named_rooms
@@ -42,6 +42,25 @@ def ods_danmaku(danmaku: DataFrame) -> DataFrame:
     )
 
 
+def ods_gifts(danmaku: DataFrame, prices: DataFrame) -> DataFrame:
+    """Gift messages as landed, with the price of one."""
+    gifts = danmaku.filter(F.col("msg_type") == "gift").join(prices, "gift_name", "left")
+    return gifts.select(
+        "room_id", F.col("user_id").try_cast("bigint").alias("uid"), "username", "gift_name",
+        F.coalesce("gift_count", F.lit(1)).cast("int").alias("gift_count"), F.coalesce("price", F.lit(1.0)).alias("price"),
+        iso_text(F.col("created_at")).alias("ts"),
+    )
+
+
+def ods_orders(orders: DataFrame, rooms: DataFrame) -> DataFrame:
+    """Orders as landed, with the price of one piece."""
+    cents = ratio((F.col("total_amount") * 100).cast("bigint"), F.col("quantity"), 0)
+    return orders.join(rooms, "room_name").select(
+        "room_id", "product_name", (cents / 100.0).alias("price"), "quantity",
+        F.regexp_extract("customer_id", "([0-9]+)$", 1).try_cast("bigint").alias("user_id"), iso_text(F.col("order_time")).alias("ts"),
+    )
+
+
 def dwd_danmaku(danmaku: DataFrame, rooms: DataFrame) -> DataFrame:
     """Cleaned messages: one per id, with a room name and a minute to group by.
 

@@ -19,6 +19,7 @@ MIN_HISTORY = 2
 BASELINE_ABOVE = 100
 DROP_PCT, SPIKE_PCT = 30, 50
 DROP, SPIKE = ("online_drop", "HIGH"), ("online_spike", "MEDIUM")
+DROP_TEXT, SPIKE_TEXT = "在线骤降", "在线暴涨"
 
 # Revenue estimate per chat.
 BUYERS_PER_CHAT = "0.03"
@@ -177,6 +178,13 @@ def online_alerts(samples: DataFrame, **blocks: int) -> DataFrame:
     )
 
 
+def alert_messages(alerts: DataFrame) -> DataFrame:
+    """Alerts with the text that is shown for them: room, kind, baseline and current audience."""
+    kind = F.when(F.col("alert_type") == DROP[0], F.lit(DROP_TEXT)).otherwise(F.lit(SPIKE_TEXT))
+    figures = F.concat(F.col("baseline").cast("bigint").cast("string"), F.lit("→"), F.col("online").cast("string"))
+    return alerts.withColumn("message", F.concat(F.col("room_name"), F.lit(" "), kind, F.lit(": "), figures))
+
+
 def room_snapshot(signals: DataFrame, samples: DataFrame, minutes: int = 1, **blocks: int) -> DataFrame:
     """State of every active room at the end of each window.
 

@@ -8,14 +8,14 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DecimalType
+from pyspark.sql.types import DateType, DecimalType, StructType
 
 from roompulse.functions.numbers import parse_count, try_parse_count
 from roompulse.functions.times import iso_text, parse_iso
 from roompulse.operators import audience, commerce, forecast, messages, recommend, rooms, sketches, text, warehouse, windows
 from roompulse.operators.common import top_per_key, upper_medians
 from roompulse.plans.views import Views
-from roompulse.schemas import CHAT_MESSAGE, ODS_DANMAKU, ROOM_RECORD, TOPIC_CHAT, TOPIC_GIFT, TOPIC_MESSAGE, TOPIC_ROOM
+from roompulse.schemas import CHAT_MESSAGE, ODS_DANMAKU, ODS_GIFTS, ODS_ORDERS, ROOM_RECORD, TOPIC_CHAT, TOPIC_GIFT, TOPIC_MESSAGE, TOPIC_ROOM
 from roompulse.session import shared_folder
 from roompulse.sinks.files import overwrite_orc, save_table, stored, write_tsv
 from roompulse.sinks.landing import Landing
@@ -224,6 +224,13 @@ def _tsv_round_trip(v: Views) -> DataFrame:
     return read_tsv(v.spark, path, ODS_DANMAKU, line_breaks=True)
 
 
+def _landed(v: Views, rows: DataFrame, schema: StructType) -> DataFrame:
+    """Rows landed as text and read back in the declared shape."""
+    path = shared_folder(v.spark, "ods")
+    write_tsv(rows, path)
+    return read_tsv(v.spark, path, schema)
+
+
 def _orc_overwrite(v: Views) -> DataFrame:
     """Room samples written twice over, by partition and day, and read back."""
     path, rows = shared_folder(v.spark, "orc"), warehouse.ods_room_info(v.live_metrics)
@@ -333,6 +340,7 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "danmaku_tumble_1m": lambda v: windows.tumble_counts(_timed(v)),
     "room_minute_agg": lambda v: windows.room_minute_agg(_signals(v)),
     "online_alerts": lambda v: windows.online_alerts(_samples(v)),
+    "alert_messages": lambda v: windows.alert_messages(windows.online_alerts(_samples(v))),
     "gift_value": lambda v: windows.gift_value(v.signals, v.gift_prices),
     "room_snapshot": _snapshot,
     "surge_alerts": lambda v: windows.surge_alerts(_snapshot(v, 60), 4, 100),
@@ -406,6 +414,7 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "sentiment_quadrant_samples": lambda v: text.sentiment_quadrant_samples(_sentiment_users(v)),
     "keywords_tfidf": lambda v: text.keywords_tfidf(v.danmaku),
     "word_cloud": lambda v: text.word_cloud(v.danmaku),
+    "word_cloud_stop_words": lambda v: text.word_cloud(v.danmaku.withColumn("text", F.concat("text", F.lit(" 觉得 直播 这个")))),
     "ngram_words": lambda v: text.ngram_words(v.danmaku),
     "room_activity_matrix": lambda v: text.room_activity_matrix(
         text.sentiment_hist(_scores(v)), audience.activity_levels(v.signals)
@@ -429,6 +438,7 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "cooccurrence_recs": lambda v: recommend.cooccurrence_recs(v.sales, details=v.catalogue),
     "association_rules": lambda v: recommend.association_rules(v.sales, 2, 0.05, details=v.catalogue),
     "association_rules_strict": lambda v: recommend.association_rules(v.sales, 3, 0.1, n=None, details=v.catalogue),
+    "recommendation_summaries": lambda v: recommend.summaries(v.sales, recommend.association_rules(v.sales, 2, 0.05, n=None, details=v.catalogue)),
     "sales_ma7": lambda v: forecast.sales_ma7(forecast.daily_sales(v.sales)),
     "sales_ma7_all_rooms": lambda v: forecast.sales_ma7(forecast.daily_sales(v.sales, ()), ()),
     "sales_forecast": lambda v: forecast.sales_forecast(_line(v)),
@@ -442,6 +452,8 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     # warehouse
     "ods_room_info": lambda v: warehouse.ods_room_info(v.live_metrics),
     "ods_landed": _ods_landed,
+    "ods_gifts": lambda v: _landed(v, warehouse.ods_gifts(v.signals, v.gift_prices), ODS_GIFTS),
+    "ods_orders": lambda v: _landed(v, warehouse.ods_orders(v.orders, v.rooms), ODS_ORDERS),
     "ods_danmaku": lambda v: warehouse.ods_danmaku(v.danmaku),
     "ods_room_info_last_hour": lambda v: warehouse.ods_room_info(warehouse.last_hour(v.live_metrics)),
     "ods_danmaku_last_hour": lambda v: warehouse.ods_danmaku(warehouse.last_hour(v.danmaku)),

@@ -603,6 +603,10 @@ ASIA_ORDERS = VIEWS["v_orders"] + " WHERE r.room_name = 'ASIA'"
 REPLACED: dict[str, dict[str, str]] = {
     "surge_alerts": {"v_width": "SELECT 60 AS width"},
     "stream_room_snapshot_idle": {"v_width": "SELECT 60 AS width"},
+    "word_cloud_stop_words": {
+        "v_lines": """
+SELECT room_name, text || ' 觉得 直播 这个' AS text, count(*) AS times FROM v_chats WHERE text IS NOT NULL GROUP BY room_name, text"""
+    },
     "cooccurrence_recs_room": {"v_orders": ASIA_ORDERS},
     "association_rules_room": {"v_orders": ASIA_ORDERS},
     "keywords_latest": {
@@ -626,6 +630,22 @@ FROM (SELECT room_id, unnest(generate_series(min(start), (SELECT max(start) FROM
 WINDOW w AS (PARTITION BY room_id ORDER BY start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
 SQL["ods_landed"] = f"""
 SELECT *, CASE WHEN ts <= '2024-01-15T00:00:00.000000' THEN 0 WHEN ts <= '2024-01-22T00:00:00.000000' THEN 1 ELSE 2 END AS load_number FROM ({SQL['ods_danmaku']})"""
+SQL["alert_messages"] = f"""
+SELECT *, room_name || CASE alert_type WHEN 'online_drop' THEN ' 在线骤降: ' ELSE ' 在线暴涨: ' END || CAST(baseline AS BIGINT) || '→' || online AS message
+FROM ({SQL['online_alerts']})"""
+SQL["word_cloud_stop_words"] = SQL["word_cloud"]
+SQL["recommendation_summaries"] = """
+SELECT 'collaborative_filtering' AS method, count(DISTINCT product_id) AS total_products, count(DISTINCT customer_id) AS total_users,
+  CAST(NULL AS BIGINT) AS total_rules FROM v_bought
+UNION ALL SELECT 'association_rules', NULL, NULL, (SELECT count(*) FROM v_rules WHERE co >= 2 AND co >= 0.05 * n1)"""
+SQL["ods_gifts"] = """
+SELECT d.room_id, CAST(d.user_id AS BIGINT) AS uid, d.username, d.gift_name, CAST(d.gift_count AS INT) AS gift_count,
+  CAST(coalesce(p.price, 1) AS DOUBLE) AS price, strftime(d.created_at, '%Y-%m-%dT%H:%M:%S.%f') AS ts
+FROM v_danmaku d LEFT JOIN v_prices p ON p.gift_name = d.gift_name WHERE d.msg_type = 'gift'"""
+SQL["ods_orders"] = """
+SELECT r.room_id, o.product_name, (2 * CAST(o.total_amount * 100 AS BIGINT) + o.quantity) // (2 * o.quantity) / 100.0 AS price, o.quantity,
+  CAST(replace(o.customer_id, 'USER_', '') AS BIGINT) AS user_id, strftime(o.order_time, '%Y-%m-%dT%H:%M:%S.%f') AS ts
+FROM v_orders o JOIN v_room r ON r.room_name = o.room_name"""
 SQL["active_users_sketch"] = """
 SELECT unit, room_name, start, users, true AS near FROM (
   SELECT 'hour' AS unit, room_name, date_trunc('hour', created_at) AS start, count(DISTINCT username) AS users FROM v_danmaku GROUP BY ALL

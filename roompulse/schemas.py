@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
+    DoubleType,
     IntegerType,
     LongType,
     MapType,
@@ -23,7 +24,7 @@ def _struct(**fields) -> StructType:
     return StructType([StructField(name, kind, True) for name, kind in fields.items()])
 
 
-S, L, I, B = StringType(), LongType(), IntegerType(), BooleanType()
+S, L, I, B, D = StringType(), LongType(), IntegerType(), BooleanType(), DoubleType()
 
 CHAT_MESSAGE = _struct(room_id=S, room_name=S, username=S, user_id=S, text=S, timestamp=S)
 GIFT_MESSAGE = _struct(room_id=S, room_name=S, username=S, gift_name=S, gift_count=L, timestamp=S)
@@ -83,3 +84,5 @@ ODS_ROOM_INFO = _struct(
 ODS_DANMAKU = _struct(
     room_id=S, room_name=S, username=S, text=S, msg_type=S, gift_name=S, gift_count=L, ts=S,
 )
+ODS_GIFTS = _struct(room_id=S, uid=L, username=S, gift_name=S, gift_count=I, price=D, ts=S)
+ODS_ORDERS = _struct(room_id=S, product_name=S, price=D, quantity=I, user_id=L, ts=S)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -30,11 +31,31 @@ def build_session(app: str = "roompulse", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
+def shared_root(checkpoints: str | None, warehouse: str, master: str) -> str:
+    """The folder for intermediate tables: the cluster's own, or the warehouse where that is shared or all is one machine."""
+    if checkpoints:
+        return checkpoints
+    if urlparse(warehouse).scheme in ("", "file") and not master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+    return os.path.join(warehouse, "_intermediate")
+
+
+def _application_folder(spark: SparkSession) -> str:
+    conf = spark.conf
+    root = shared_root(conf.get("spark.checkpoint.dir", None), conf.get("spark.sql.warehouse.dir"), conf.get("spark.master", "local"))
+    return os.path.join(root, "roompulse", conf.get("spark.app.id", "application"))
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the one every executor can reach.
 
     The cluster names that folder in ``spark.checkpoint.dir``; where it is unset,
-    the warehouse, which is shared as well, holds it.
+    the warehouse holds it if that is shared.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_intermediate")
-    return os.path.join(root, "roompulse", f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(_application_folder(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def clear_shared_folders(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application; results that still read them must be written before."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

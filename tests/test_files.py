@@ -120,3 +120,27 @@ def test_database_upsert_sends_each_key_from_one_task(spark, tmp_path):
 def test_jdbc_reads_ranges():
     options = jdbc_options("jdbc:x", "danmaku", 1, 101, 4)
     assert (options["partitionColumn"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("id", "1", "101", "4")
+
+
+def test_intermediate_tables_need_a_shared_folder():
+    import pytest
+
+    from roompulse.session import shared_root
+
+    assert shared_root("hdfs://a/b", "file:/w", "yarn") == "hdfs://a/b"
+    assert shared_root(None, "hdfs://a/w", "yarn").startswith("hdfs://a/w/")
+    assert shared_root(None, "/w", "local[4]").startswith("/w/")
+    for warehouse in ("file:/w", "/w"):
+        with pytest.raises(ValueError):
+            shared_root(None, warehouse, "spark://a:1")
+
+
+def test_intermediate_tables_can_be_cleared(spark, tmp_path):
+    from roompulse.session import clear_shared_folders, shared_folder
+
+    own = spark.newSession()
+    before = shared_folder(own, "x").rsplit("/", 1)[0]
+    assert before.endswith(spark.sparkContext.applicationId)
+    assert files.stored(spark.range(3), "cleared").count() == 3
+    clear_shared_folders(own)
+    assert files.stored(spark.range(4), "after").count() == 4
