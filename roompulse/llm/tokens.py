@@ -171,6 +171,10 @@ class SpanEncoder:
 BYTE_LEVEL_RULE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+#: White space that the ranks' library cannot be given, as it looks back over all of it.
+LONG_SPACE = re.compile(r"\s{10000}")
+
+
 class ByteEncoder:
     """Ids of a space and a text under a byte-level vocabulary file, special strings as plain text.
 
@@ -204,7 +208,7 @@ class ByteEncoder:
         return [np.array(self.ids(" " + t), np.int32) for t in texts]
 
     def ids(self, text: str) -> list[int]:
-        if self.ranks and SPAN_PLAIN.fullmatch(text):
+        if self.ranks and SPAN_PLAIN.fullmatch(text) and not LONG_SPACE.search(text):
             return self.ranks.encode_ordinary(text)
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 

@@ -25,6 +25,11 @@ def test_ranks_give_the_ids_of_the_file(text):
     assert BYTES.ids(text) == BYTES.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", [" " * 3_000_000 + "x", "\n " * 1_500_000, "z" * 500_000])
+def test_very_long_runs_are_encoded(text):
+    assert BYTES.ids(text) == BYTES.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_a_file_with_another_rule_is_not_ranked(tmp_path):
     import json
 
