@@ -470,6 +470,9 @@ QUERIES: dict[str, Callable[[Views], DataFrame]] = {
     "danmaku_recent_room": lambda v: audience.danmaku_recent(v.signals, room=ROOM, complete=v.with_texts),
     "funnel_full_room": lambda v: audience.funnel_full(v.signals, ROOM),
     "rfm_segments_room": lambda v: audience.rfm_segments(audience.rfm_users(v.signals, room=ROOM)),
+    # the optional caps, where a look at the busiest is the feature
+    "rfm_segments_capped": lambda v: audience.rfm_segments(audience.rfm_users(v.signals, cap=40)),
+    "association_rules_capped": lambda v: recommend.association_rules(v.sales, 2, 0.05, max_pairs=200, details=v.catalogue),
     "product_sales_trend_one": lambda v: commerce.product_sales_trend(v.products, v.sales, 7),
     "product_list_category": lambda v: commerce.product_list(v.products, ROOM, "MEDIUM"),
     "keywords_latest": lambda v: text.keywords_tfidf(v.danmaku, latest=2000),

@@ -594,6 +594,8 @@ for _name in ("danmaku_recent", "funnel_full", "rfm_segments"):
 SQL["product_sales_trend_one"] = f"SELECT * FROM ({SQL['product_sales_trend']}) WHERE product_id = 7"
 SQL["product_list_category"] = SQL["product_list"].replace("ORDER BY sold", "WHERE category = 'MEDIUM' AND room_name = 'ASIA' ORDER BY sold")
 SQL["keywords_latest"] = SQL["keywords_tfidf"]
+SQL["rfm_segments_capped"] = SQL["rfm_segments"]
+SQL["association_rules_capped"] = SQL["association_rules"]
 SQL["cooccurrence_recs_room"] = SQL["cooccurrence_recs"]
 SQL["association_rules_room"] = SQL["association_rules"]
 SQL["tsv_round_trip"] = SQL["ods_danmaku"]
@@ -608,6 +610,8 @@ REPLACED: dict[str, dict[str, str]] = {
 SELECT room_name, text || ' 觉得 直播 这个' AS text, count(*) AS times FROM v_chats WHERE text IS NOT NULL GROUP BY room_name, text"""
     },
     "cooccurrence_recs_room": {"v_orders": ASIA_ORDERS},
+    "rfm_segments_capped": {"v_rfm_base": VIEWS["v_rfm_base"] + " QUALIFY row_number() OVER (PARTITION BY room_name ORDER BY frequency DESC, username) <= 40"},
+    "association_rules_capped": {"v_pairs": VIEWS["v_pairs"] + " HAVING count(*) >= 2 ORDER BY co DESC, p1, p2 LIMIT 200"},
     "association_rules_room": {"v_orders": ASIA_ORDERS},
     "keywords_latest": {
         "v_lines": """
