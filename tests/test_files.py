@@ -3,6 +3,7 @@
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from roompulse.operators import audience, warehouse
 from roompulse.schemas import ODS_DANMAKU
@@ -33,7 +34,7 @@ def test_landing_full_and_incremental(spark, views, tmp_path):
     files.land(rows, path, full=True, day="2024-01-30")
     recent = warehouse.ods_danmaku(warehouse.last_hour(views.danmaku, mins=60 * 24))
     files.land(recent, path, full=False, day="2024-01-31")
-    landed = read_tsv(spark, path, ODS_DANMAKU.add("load_day", "string"), line_breaks=True)
+    landed = read_tsv(spark, path, StructType([*ODS_DANMAKU.fields]).add("load_day", "string"), line_breaks=True)
     assert landed.count() == rows.count() + recent.count()
     assert same(landed.filter("load_day = '2024-01-31'").drop("load_day"), recent)
     files.land(rows, path, full=True, day="2024-02-01")
