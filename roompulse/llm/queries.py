@@ -36,6 +36,5 @@ ORACLE = {
     "op3_chat_formatting": OP3_SQL,
     "op7_line_dedup": OP7_SQL,
     "op8_benchmark_decontamination": OP8_SQL,
-    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
     "op12_fill_in_middle": OP12_SQL,
 }
