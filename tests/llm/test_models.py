@@ -342,13 +342,6 @@ def test_tables_are_hashed_at_every_size(spark, folder):
         assert own.tables * own.probes < 2 * neighbours.width(dim) and 0 < own.share(dim) < 1
 
 
-def test_more_tables_are_taken_where_meeting_costs_more_than_moving():
-    few, many = (neighbours.Bands(0, set(), {0: n}, {0: 1.0}) for n in (10_000, 1_000_000_000))
-    one, eight = {"tables": 1, "probes": 60}, {"tables": 8, "probes": 2}
-    costs = [[neighbours.replace(own, **plan).cost(64, sum(own.sizes.values()) // 20) for plan in (one, eight)] for own in (few, many)]
-    assert costs[0][0] < costs[0][1] and costs[1][0] > costs[1][1]
-
-
 def test_an_outlier_is_met_by_one_row_a_query(spark):
     rng = np.random.default_rng(5)
     vectors = rng.standard_normal((4_000, 16))
