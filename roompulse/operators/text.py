@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +38,8 @@ AT_RISK = "流失风险"
 QUADRANTS = (FANS, UPSET, GOODWILL, AT_RISK)
 
 MICRO = 1_000_000
+# At most so many terms of a model, the most frequent ones, are sent to every executor.
+COMMON_TERMS = 1 << 20
 # Beyond this log-odds the score is 0 or 1 to any printed digit.
 LOG_ODDS_LIMIT = 50.0
 
@@ -51,12 +55,20 @@ def chat_lines(danmaku: DataFrame, room: str | None = None, latest: int | None =
 # --- sentiment ---------------------------------------------------------------
 
 
-def train_sentiment(labelled: DataFrame) -> DataFrame:
+def _common(counts: DataFrame, most: int) -> Column:
+    """Whether a term is seen so often that no more than ``most`` terms are seen as often; the least count is 1, 2, 3, 4, 6, 8, 12 ..."""
+    seen = F.col("pos") + F.col("neg")
+    steps = sorted({f << i for i in range(40) for f in (1, 3)})
+    least = F.coalesce(*[F.when(F.count_if(seen >= step) <= most, F.lit(step)) for step in steps])
+    return F.coalesce(seen >= counts.agg(least).scalar(), F.lit(False))
+
+
+def train_sentiment(labelled: DataFrame, common_terms: int = COMMON_TERMS) -> DataFrame:
     """Multinomial naive Bayes as one aggregation: a log-odds weight per term.
 
     The texts are read once: counts of terms, and of the texts themselves (the row without a term), are stored, and
     totals and prior come from those few rows.  Weights are whole millionths, so their sums do not depend on row order.
-    The class prior sits in every row to keep the model a single frame.
+    The class prior sits in every row to keep the model a single frame; ``common`` marks the most frequent terms.
     """
     positive, no_term = F.col("positive"), F.array(F.lit(None).cast("string"))
     word = F.explode(F.concat(F.coalesce(terms(F.col("text")), F.array().cast("array<string>")), no_term)).alias("term")
@@ -76,6 +88,7 @@ def train_sentiment(labelled: DataFrame) -> DataFrame:
         "term",
         half_up((F.ln(share_pos) - F.ln(share_neg)) * MICRO).cast("bigint").alias("weight"),
         half_up(prior.scalar() * MICRO).cast("bigint").alias("prior"),
+        _common(counts, common_terms).alias("common"),
     )
 
 
@@ -94,35 +107,44 @@ def _label(score: Column) -> Column:
     return F.when(score > POSITIVE_ABOVE, POSITIVE).when(score < NEGATIVE_BELOW, NEGATIVE).otherwise(NEUTRAL)
 
 
-def _weighted_terms(lines: DataFrame, model: DataFrame) -> DataFrame:
-    """One row per term of every line, at least one per line, with its weight (0 if unknown).
+def _summed_weights(lines: DataFrame, keys: Sequence[str], model: DataFrame) -> DataFrame:
+    """Lines, summed weights (0 for an unknown term) and whether any or all lines are empty, by ``keys``.
 
-    ``pos`` is the place of the term, 0 for the first.  The join is
-    chosen by measured size at run time, and hot terms are split there.
+    The common terms, a bounded number, go to the terms of the lines and are summed in the task that reads a line.  Only
+    what they leave over, a row per key and other term, is shuffled to the rest of the model.
     """
-    rest = [c for c in lines.columns if c != "text"]
-    exploded = lines.select(
-        *rest,
-        (F.col("text") == "").alias("empty"),
-        F.posexplode_outer(terms(F.col("text"))).alias("pos", "term"),
+    common = F.broadcast(model.filter("common").select("term", "weight"))
+    exploded = lines.select(*keys, (F.col("text") == "").alias("empty"), F.posexplode_outer(terms(F.col("text"))).alias("pos", "term"))
+    left_over = F.when(F.col("weight").isNull(), F.col("term")).alias("rest")
+    partly = (
+        exploded.join(common, "term", "left")
+        .groupBy(*keys, left_over)
+        .agg(
+            F.count("*").alias("n"),
+            F.count_if(F.coalesce("pos", F.lit(0)) == 0).alias("lines"),
+            F.coalesce(F.sum("weight"), F.lit(0)).alias("w"),
+            F.bool_or("empty").alias("any_empty"),
+            F.bool_and("empty").alias("all_empty"),
+        )
     )
-    return exploded.join(model.select("term", "weight"), "term", "left").withColumn(
-        "weight", F.coalesce("weight", F.lit(0))
+    # Sums without a term left over get a key of their own, which no term equals, so that they spread as well.
+    other = F.coalesce("rest", F.concat(F.lit(" "), F.xxhash64(*keys).cast("string")))
+    seldom = model.filter("NOT common").select(F.col("term").alias("other"), F.col("weight").alias("seldom"))
+    weight = F.col("w") + F.col("n") * F.coalesce("seldom", F.lit(0))
+    return (
+        partly.withColumn("other", other)
+        .join(seldom, "other", "left")
+        .groupBy(*keys)
+        .agg(
+            F.sum("lines").alias("cnt"), F.sum(weight).alias("w"), F.bool_or("any_empty").alias("any_empty"), F.bool_and("all_empty").alias("all_empty")
+        )
     )
 
 
 def sentiment_score(lines: DataFrame, model: DataFrame) -> DataFrame:
-    """Score (three decimals) and label of every chat line.
-
-    All terms of a line are on one task, so the sum shuffles one row per line.
-    """
-    rows = lines.select("id", "room_name", "username", "created_at", "text")
-    summed = (
-        _weighted_terms(rows, model)
-        .groupBy("id", "room_name", "username", "created_at")
-        .agg(F.sum("weight").alias("w"), F.bool_or("empty").alias("empty"))
-    )
-    raw = F.when(F.col("empty"), F.lit(0.5)).otherwise(_raw_score(F.col("w") + _prior(model)))
+    """Score (three decimals) and label of every chat line."""
+    summed = _summed_weights(lines, ["id", "room_name", "username", "created_at"], model)
+    raw = F.when(F.col("any_empty"), F.lit(0.5)).otherwise(_raw_score(F.col("w") + _prior(model)))
     return summed.withColumn("raw", raw).select(
         "id",
         "room_name",
@@ -200,20 +222,11 @@ def sentiment_users(
     Term weights are summed straight per user, which scores the joined text
     without ever building it.
     """
-    lines = chat_lines(danmaku, room).select("room_name", "username", "text")
-    per_user = (
-        _weighted_terms(lines, model)
-        .groupBy("room_name", "username")
-        .agg(
-            F.count_if(F.coalesce("pos", F.lit(0)) == 0).alias("cnt"),
-            F.sum("weight").alias("w"),
-            F.bool_and("empty").alias("empty"),
-        )
-        .filter(F.col("cnt") >= min_chats)
-    )
+    lines = chat_lines(danmaku, room)
+    per_user = _summed_weights(lines, ["room_name", "username"], model).filter(F.col("cnt") >= min_chats)
     if cap:
         per_user = top_per_key(per_user, ["room_name"], by_chats(), cap).drop("rank")
-    raw = F.when(F.col("empty"), F.lit(0.5)).otherwise(_raw_score(F.col("w") + _prior(model)))
+    raw = F.when(F.col("all_empty"), F.lit(0.5)).otherwise(_raw_score(F.col("w") + _prior(model)))
     label = _label(raw)
     quadrant = (
         F.when((F.col("cnt") >= 10) & (label == POSITIVE), FANS)
