@@ -10,6 +10,7 @@ from roompulse.functions.times import clock, iso_text, minute_text, minutes, par
 from roompulse.operators.audience import chats_per_user
 from roompulse.operators.messages import named_rooms
 from roompulse.operators.windows import priced_gifts
+from roompulse.sinks.files import stored
 
 # Numbered tier labels of the report table, by lowest number of chats.
 NUMBERED_TIERS = (
@@ -64,10 +65,12 @@ def ods_orders(orders: DataFrame, rooms: DataFrame) -> DataFrame:
 def dwd_danmaku(danmaku: DataFrame, rooms: DataFrame) -> DataFrame:
     """Cleaned messages: one per id, with a room name and a minute to group by.
 
-    Ids seen more than once are found first, on the ids alone.  Only their rows
-    are shuffled to pick one; all others keep their place, whole text included.
+    Ids seen more than once are found first, on the ids alone, and stored, so that
+    the joins know how few they are.  Only their rows are shuffled to pick one; all
+    others keep their place, whole text included.
     """
     repeated = danmaku.groupBy("id").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("id")
+    repeated = stored(repeated, "repeated-ids")
     single = danmaku.join(repeated, "id", "left_anti")
     copies = danmaku.join(repeated, "id", "left_semi")
     values = [c for c in danmaku.columns if c not in ("id", "created_at")]

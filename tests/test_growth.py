@@ -6,6 +6,8 @@ import pytest
 
 from oracle_check import SMALL
 from roompulse.operators import text
+from roompulse.operators.common import newest_rows
+from roompulse.operators.sketches import user_texts
 from roompulse.plans.catalog import QUERIES
 from roompulse.plans.views import Views
 
@@ -45,3 +47,30 @@ def test_seldom_terms_count_as_much_as_common_ones(views):
         users.append(sorted(tuple(map(str, r)) for r in text.sentiment_users(lines, model).collect()))
     assert found[0] == found[1] == found[2] and len({r[4] for r in found[0]}) > 1
     assert users[0] == users[1] == users[2]
+
+
+def test_cleaned_messages_do_not_shuffle_texts_by_id(views):
+    plan = physical(QUERIES["dwd_danmaku"](views))
+    # Texts lie behind the join by document; from there to the result no exchange moves them.
+    assert "BroadcastHashJoin [id" in plan
+    assert not re.search(r"Exchange hashpartitioning\(id#[^\n]*\n[^\n]*doc_text", plan)
+
+
+def test_newest_rows_are_cut_before_the_shuffle(spark, views, no_small_tables):
+    rows = newest_rows(views.danmaku, ["room_name"], "id", 5)
+    assert "BroadcastHashJoin [room_name" in physical(rows)
+    assert rows.groupBy("room_name").count().filter("count <> 5").count() == 0
+
+
+def test_user_texts_share_one_shuffle(spark, no_small_tables):
+    rows = [(i, "R", None if i % 3 == 0 else "u", "t%d" % i) for i in range(12)] + [(2, "R", "u", "again")]
+    chats = spark.createDataFrame(rows, "id bigint, room_name string, username string, text string")
+    joined = user_texts(chats, 5, id_range=4)
+    got = {(r.username, r.piece): (r.first_id, r.last_id, r.texts) for r in joined.collect()}
+    assert got == {
+        (None, 0): (0, 9, "t0\nt3\nt6\nt9"),
+        ("u", 0): (1, 5, "t1\nagain\nt2\nt4\nt5"),
+        ("u", 1): (7, 11, "t7\nt8\nt10\nt11"),
+    }
+    # The join takes the rows as the window left them; other keys would shuffle all texts once more.
+    assert not re.search(r"hashpartitioning\([^\n]*(coalesce|isnull)\(", physical(joined))
