@@ -38,11 +38,12 @@ def newest_rows(df: DataFrame, keys: Sequence[str], id_column: str, k: int, rank
     """The ``k`` rows of every key with the highest ids, numbered from 1; rows of one id follow their other columns.
 
     Keys and ids alone give each key's least id that can still be among them; only
-    rows from there on are ranked with their wide columns.
+    rows from there on are shuffled and ranked with their wide columns.  The keys are
+    few (rooms), so their least ids, a row each, go to the rows.
     """
     narrow = top_per_key(df.select(*keys, id_column), keys, (F.col(id_column).desc(),), k, rank)
     least = narrow.groupBy(*keys).agg(F.min(id_column).alias("__least"))
-    near = df.join(least, [*keys]).filter(F.col(id_column) >= F.col("__least")).drop("__least")
+    near = df.join(F.broadcast(least), [*keys]).filter(F.col(id_column) >= F.col("__least")).drop("__least")
     rest = [F.col(c) for c in df.columns if c not in (*keys, id_column)]
     return top_per_key(near, keys, (F.col(id_column).desc(), *rest), k, rank)
 
