@@ -90,18 +90,15 @@ def user_texts(chats: DataFrame, piece_rows: int = 50, separator: str = "\n", id
     ranges' counts give each range its offset, so no task orders all chats of a user.
     """
     key = ["room_name", "username"]
-    rows = chats.filter(F.col("text").isNotNull()).select(*key, "id", "text", F.floor(F.col("id") / id_range).alias("part"))
-    counts = rows.groupBy(*key, "part").agg(F.count("*").alias("n"))
-    before = Window.partitionBy(*key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*key, "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy(*key, "part").orderBy("id", "text")
-    # Users without a name are one group; they join by name or by both lacking it.
-    same = (
-        (F.col("r.room_name") == F.col("o.room_name")) & F.col("r.username").eqNullSafe(F.col("o.username")) & (F.col("r.part") == F.col("o.part"))
-    )
-    place = F.col("o.offset") + F.col("r.row") - 1
-    numbered = rows.withColumn("row", F.row_number().over(inside)).alias("r").join(offsets.alias("o"), same)
-    pieces = numbered.select("r.room_name", "r.username", "r.id", "r.text", F.floor(place / piece_rows).cast("bigint").alias("piece"))
+    # Users without a name are one group; as a pair of values it equals itself, so that windows and join share one shuffle.
+    rows = chats.filter(F.col("text").isNotNull()).select(F.struct(*key).alias("who"), "id", "text", F.floor(F.col("id") / id_range).alias("part"))
+    counts = rows.groupBy("who", "part").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("who").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("who", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("who", "part").orderBy("id", "text")
+    numbered = rows.withColumn("row", F.row_number().over(inside)).join(offsets, ["who", "part"])
+    place = F.col("offset") + F.col("row") - 1
+    pieces = numbered.select("who.room_name", "who.username", "id", "text", F.floor(place / piece_rows).cast("bigint").alias("piece"))
     return pieces.groupBy(*key, "piece").agg(
         F.min("id").alias("first_id"),
         F.max("id").alias("last_id"),
