@@ -2,11 +2,18 @@
 
 Counting item pairs is quadratic in the basket, so every basket is cut into blocks
 of at most about ``BLOCK_ITEMS`` items and joined block by block: an ordinary basket
-is one block, and one customer's many pairs spread over many tasks.
+is one block, and one customer's many pairs spread over many tasks.  What is shuffled
+is a row for each product of a block with the whole block it met, not a row a pair;
+the tasks that get a product's rows count its partners and pass on only those wanted.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +21,8 @@ from roompulse.functions.numbers import half_up, ratio
 from roompulse.operators.common import only, top_per_key
 
 BLOCK_ITEMS = 512
+#: Beyond so many buyers a product's rows are dealt out to several tasks.
+HEAVY_BUYERS = 100_000
 
 
 def baskets(orders: DataFrame, room: str | None = None) -> DataFrame:
@@ -28,20 +37,130 @@ def item_details(orders: DataFrame) -> DataFrame:
     return spellings.groupBy("product_id").agg(details.alias("d")).select("product_id", "d.product_name", "d.category")
 
 
-def pair_counts(items: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """Customers holding both products of every pair ``p1 < p2`` bought together.
-
-    Counts are combined in each task before the pairs are shuffled.
-    """
+def _met(items: DataFrame, block_items: int, both_ways: bool) -> DataFrame:
+    """(customer_id, product_id, met): every product of a basket beside the blocks of that basket, or what follows it in them."""
     sizes = items.groupBy("customer_id").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
-    blocks = F.ceil(F.col("n") / F.lit(block_items)).cast("int")
-    sized = items.join(sizes.select("customer_id", blocks.alias("blocks")), "customer_id")
+    n_blocks = F.ceil(F.col("n") / F.lit(block_items)).cast("int")
+    sized = items.join(sizes.select("customer_id", n_blocks.alias("blocks")), "customer_id")
     own = F.pmod(F.xxhash64("product_id"), F.col("blocks")).cast("int")
+    blocks = sized.groupBy("customer_id", "blocks", own.alias("block")).agg(F.sort_array(F.collect_list("product_id")).alias("met"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = sized.select("customer_id", F.col("product_id").alias("p1"), own.alias("block_1"), other.alias("block_2"))
-    right = sized.select("customer_id", F.col("product_id").alias("p2"), own.alias("block_2"), other.alias("block_1"))
-    pairs = left.join(right, ["customer_id", "block_1", "block_2"]).filter(F.col("p1") < F.col("p2"))
-    return pairs.groupBy("p1", "p2").agg(F.count("*").alias("co_count"))
+    left = blocks.select("customer_id", F.col("met").alias("own"), F.col("block").alias("own_block"), other.alias("block"))
+    rows = left.join(blocks.drop("blocks"), ["customer_id", "block"])
+    rows = rows.select("customer_id", "own_block", "block", F.explode("own").alias("product_id"), "met")
+    if not both_ways:
+        behind = F.slice("met", (F.array_position("met", F.col("product_id")) + 1).cast("int"), F.size("met"))
+        larger = F.filter("met", lambda x: x > F.col("product_id"))
+        rows = rows.withColumn("met", F.when(F.col("own_block") == F.col("block"), behind).otherwise(larger))
+    return rows.filter(F.size("met") > 0).select("customer_id", "product_id", "met")
+
+
+def _tallies(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Runs of rows of one product and share as (products, whole, group, partner, count); partners of a group ascend.
+
+    The last run of a batch may go on in the next one, so its counts wait for it.
+    """
+    held = None
+    for part in parts:
+        if not part.num_rows:
+            continue
+        product, share, whole = part.column("product_id"), part.column("share").to_numpy(), part.column("whole")
+        places = product.dictionary_encode().indices.to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], (places[1:] != places[:-1]) | (share[1:] != share[:-1])]))
+        lists = part.column("met")
+        group = np.repeat(np.repeat(np.arange(len(starts)), np.diff([*starts, part.num_rows])), pc.list_value_length(lists).to_numpy())
+        codes, span, named = _numbered(lists.flatten(), len(starts))
+        cells, count = np.unique(group * span + codes, return_counts=True)
+        group, codes = np.divmod(cells, span)
+        partner = named(codes)
+        product, whole = product.take(pa.array(starts)), whole.take(pa.array(starts))
+        key = (product[0], share[0])
+        if held and held[0] == key:
+            first = int(np.searchsorted(group, 1))
+            some, n = _summed(pa.concat_arrays([held[3], partner[:first]]), np.concatenate([held[4], count[:first]]))
+            group = np.concatenate([np.zeros(len(n), np.int64), group[first:]])
+            partner, count = pa.concat_arrays([some, partner[first:]]), np.concatenate([n, count[first:]])
+        elif held:
+            yield _alone(held)
+        last = len(starts) - 1
+        upto = int(np.searchsorted(group, last))
+        held = ((product[last], share[starts[last]]), product[last:], whole[last:], partner[upto:], count[upto:])
+        if upto:
+            yield product[:last], whole[:last], group[:upto], partner[:upto], count[:upto]
+    if held:
+        yield _alone(held)
+
+
+def _alone(held: tuple) -> tuple:
+    _, product, whole, partner, count = held
+    return product, whole, np.zeros(len(count), np.int64), partner, count
+
+
+def _numbered(values: pa.Array, times: int = 1) -> tuple[np.ndarray, int, Callable[[np.ndarray], pa.Array]]:
+    """Numbers in the order of the values, their bound (``times`` of it fit a long), and the way back."""
+    if pa.types.is_signed_integer(values.type) and len(values):
+        whole = values.to_numpy()
+        low, span = int(whole.min()), int(whole.max()) - int(whole.min()) + 1
+        if times * span < 1 << 62:
+            return whole.astype(np.int64) - low, span, lambda codes: pa.array(codes + low, values.type)
+    coded = values.dictionary_encode()
+    order = pc.sort_indices(coded.dictionary).to_numpy()
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return rank[coded.indices.to_numpy()], max(1, len(order)), lambda codes: coded.dictionary.take(pa.array(order[codes]))
+
+
+def _summed(values: pa.Array, counts: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    codes, _, named = _numbered(values)
+    distinct, place = np.unique(codes, return_inverse=True)
+    return named(distinct), np.bincount(place, counts, len(distinct)).astype(np.int64)
+
+
+def _leaders(group: np.ndarray, count: np.ndarray, k: int) -> np.ndarray:
+    """Which of the partners, ascending within each group, are among the group's first ``k`` by count."""
+    # Where enough partners were met twice, those met once need no place.
+    often = count > 1
+    near = np.flatnonzero(often | (np.bincount(group[often], minlength=int(group[-1]) + 1) < k)[group])
+    group, count = group[near], count[near]
+    order = np.lexsort((-count, group))
+    at = np.arange(len(group))
+    first = np.concatenate([[True], group[1:] != group[:-1]])
+    chosen = np.zeros(len(often), bool)
+    chosen[near[order[at - np.maximum.accumulate(np.where(first, at, 0)) < k]]] = True
+    return chosen
+
+
+def pair_counts(
+    items: DataFrame, block_items: int = BLOCK_ITEMS, least: int = 1, k: int | None = None, heavy_buyers: int = HEAVY_BUYERS
+) -> DataFrame:
+    """Customers holding both products of the pairs ``p1 < p2`` bought together, of at least ``least`` customers.
+
+    With ``k``, pairs come both ways and each ``p1`` has at least its ``k`` best, equal counts by ``p2``.  A product of
+    more than ``heavy_buyers`` is counted in shares, whose counts are all passed on and then added up.
+    """
+    buyers = items.groupBy("product_id").agg(F.count("*").alias("n")).filter(F.col("n") > heavy_buyers)
+    # At most one row for so many rows of the items.
+    heavy = buyers.select("product_id", F.ceil(F.col("n") / F.lit(heavy_buyers)).cast("int").alias("shares"))
+    met = _met(items, block_items, bool(k)).join(F.broadcast(heavy), "product_id", "left")
+    share = F.coalesce(F.pmod(F.xxhash64("customer_id"), F.col("shares")).cast("int"), F.lit(0))
+    rows = met.select("product_id", share.alias("share"), F.col("shares").isNull().alias("whole"), "met")
+    rows = rows.repartition("product_id", "share").sortWithinPartitions("product_id", "share")
+    names = ["p1", "p2", "whole", "co_count"]
+
+    def counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for product, whole, group, partner, count in _tallies(parts):
+            all_here = whole.to_numpy(zero_copy_only=False)[group]
+            kept = ~all_here | (count >= least)
+            if k and len(group):
+                # One more than wanted, as a product meets itself too.
+                kept &= ~all_here | _leaders(group, count, k + 1)
+            group, partner, count, all_here = group[kept], partner.filter(pa.array(kept)), count[kept], all_here[kept]
+            yield pa.RecordBatch.from_arrays([product.take(pa.array(group)), partner, pa.array(all_here), pa.array(count, pa.int64())], names=names)
+
+    kind = items.schema["product_id"].dataType.simpleString()
+    found = rows.mapInArrow(counted, f"p1 {kind}, p2 {kind}, whole boolean, co_count bigint")
+    counts = found.filter(F.col("p1") != F.col("p2")).groupBy("p1", "p2").agg(F.sum("co_count").alias("co_count"))
+    return counts.filter(F.col("co_count") >= least)
 
 
 def cooccurrence_recs(
@@ -56,14 +175,8 @@ def cooccurrence_recs(
     ``details`` names the products; without it names are gathered from the orders.
     """
     orders = only(orders, room_name=room)
-    counted = pair_counts(baskets(orders), block_items)
-    both_ways = F.inline(
-        F.array(
-            F.struct(F.col("p1").alias("product_id"), F.col("p2").alias("rec_product_id")),
-            F.struct(F.col("p2").alias("product_id"), F.col("p1").alias("rec_product_id")),
-        )
-    )
-    scored = counted.select(F.col("co_count").alias("score"), both_ways).select("product_id", "rec_product_id", "score")
+    counted = pair_counts(baskets(orders), block_items, k=k)
+    scored = counted.select(F.col("p1").alias("product_id"), F.col("p2").alias("rec_product_id"), F.col("co_count").alias("score"))
     order = (F.col("score").desc(), F.col("rec_product_id").asc())
     best = top_per_key(scored, ["product_id"], order, k)
     details = item_details(orders) if details is None else details.select("product_id", "product_name", "category")
@@ -98,7 +211,7 @@ def association_rules(
     counts = items.groupBy("product_id").agg(F.count("*").alias("buyers"))
     frequent = counts.filter(F.col("buyers") >= min_support)
     kept = items.join(frequent.select("product_id"), "product_id", "left_semi")
-    pairs = pair_counts(kept, block_items).filter(F.col("co_count") >= min_support)
+    pairs = pair_counts(kept, block_items, min_support)
     if max_pairs:
         pairs = pairs.orderBy(F.col("co_count").desc(), "p1", "p2").limit(max_pairs)
     rules = pairs.select("p1", "p2", "co_count")

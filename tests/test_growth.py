@@ -1,12 +1,15 @@
 """Reports that must keep their shuffles and memory small on larger tables."""
 
 import re
+from collections import Counter
+from itertools import permutations
 
 import pytest
 
 from oracle_check import SMALL
 from roompulse.operators import text
 from roompulse.operators.common import newest_rows
+from roompulse.operators.recommend import pair_counts
 from roompulse.operators.sketches import user_texts
 from roompulse.plans.catalog import QUERIES
 from roompulse.plans.views import Views
@@ -74,3 +77,35 @@ def test_user_texts_share_one_shuffle(spark, no_small_tables):
     }
     # The join takes the rows as the window left them; other keys would shuffle all texts once more.
     assert not re.search(r"hashpartitioning\([^\n]*(coalesce|isnull)\(", physical(joined))
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+@pytest.mark.parametrize("heavy, block, least, k", [(100_000, 512, 1, None), (3, 5, 2, None), (2, 4, 1, 3), (100_000, 512, 1, 2)])
+def test_pairs_are_counted_whole_in_shares_and_batches(spark, kind, heavy, block, least, k):
+    baskets = {c: {(c * i * 7 + i * i) % 23 for i in range(2 + c % 9)} | {1} for c in range(40)}
+    rows = [(f"c{c}", str(p) if kind == "string" else p) for c, items in baskets.items() for p in items]
+    counts = Counter(pair for c in baskets for pair in permutations(sorted(p for o, p in rows if o == f"c{c}"), 2))
+    items = spark.createDataFrame([*rows, (None, rows[0][1]), ("c1", None)], f"customer_id string, product_id {kind}")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "7")
+    try:
+        got = {(r.p1, r.p2): r.co_count for r in pair_counts(items, block, least, k, heavy).collect()}
+    finally:
+        spark.conf.set(name, before)
+    if k is None:
+        assert got == {(a, b): n for (a, b), n in counts.items() if a < b and n >= least}
+    else:
+        assert got.items() <= counts.items()
+        for p in {a for a, _ in counts}:
+            ranked = [[b for _, b in sorted((-n, b) for (a, b), n in some.items() if a == p)[:k]] for some in (counts, got)]
+            assert ranked[0] == ranked[1]
+
+
+def test_pairs_are_shuffled_as_blocks(spark, no_small_tables):
+    plan = physical(QUERIES["cooccurrence_recs"](Views(spark, SMALL)))
+    lines = plan.splitlines()
+    counted = next(i for i, line in enumerate(lines) if "MapInArrow" in line)
+    below = next(line for line in lines[counted:] if "Exchange" in line)
+    # A row for each product of a block, not one for each pair, goes to the counting tasks.
+    assert "hashpartitioning(product_id" in below
