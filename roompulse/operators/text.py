@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roompulse.functions.numbers import half_up, percent, ratio
-from roompulse.functions.texts import STOP_WORDS, char_windows, is_topic_term, terms
+from roompulse.functions.texts import STOP_WORDS, is_topic_term, terms
 from roompulse.functions.times import bucket_start, clock, minutes
 from roompulse.operators.audience import by_chats, is_chat
 from roompulse.operators.common import newest_rows, only, top_per_key
@@ -42,6 +45,10 @@ MICRO = 1_000_000
 COMMON_TERMS = 1 << 20
 # Beyond this log-odds the score is 0 or 1 to any printed digit.
 LOG_ODDS_LIMIT = 50.0
+#: Stands behind the last character of a text; no code point.
+END = 0x110000
+#: Places of texts whose character sequences are counted at once.
+WINDOWS_AT_ONCE = 1 << 20
 
 
 def chat_lines(danmaku: DataFrame, room: str | None = None, latest: int | None = None) -> DataFrame:
@@ -326,17 +333,62 @@ def word_cloud(
     return best.filter(F.col("value") >= min_count).select("room_name", "rank", F.col("term").alias("name"), "value")
 
 
+def window_counts(texts: list[str], width: int = 4) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """The distinct sequences of two to ``width`` characters that start at each character but the last, and how often.
+
+    Characters are numbered, so a sequence is one whole number and counting is a sort; a sequence may come again from
+    the next ``WINDOWS_AT_ONCE`` places.
+    """
+    # Behind each text stand as many ends as the longest sequence can meet.
+    ends = np.full(width - 1, END, np.uint32)
+    stacked = np.concatenate([x for t in texts for x in (np.frombuffer(t.encode("utf-32-le", "replace"), np.uint32), ends)])
+    todo = [(lo, min(lo + WINDOWS_AT_ONCE, len(stacked) - width + 1)) for lo in range(0, len(stacked) - width + 1, WINDOWS_AT_ONCE)]
+    while todo:
+        lo, hi = todo.pop()
+        chars = stacked[lo : hi + width - 1]
+        # END is the largest, so it is numbered 0 once the order is turned round.
+        known = np.flatnonzero(np.bincount(chars, minlength=END + 1))[::-1]
+        known = known if known[0] == END else np.concatenate([[END], known])
+        if len(known) ** width >= 1 << 62:
+            todo += [(lo, (lo + hi) // 2), ((lo + hi) // 2, hi)]
+            continue
+        numbers = np.zeros(END + 1, np.int64)
+        numbers[known] = np.arange(len(known))
+        coded = numbers[chars]
+        keys = np.zeros(hi - lo, np.int64)
+        for k in range(width):
+            keys = keys * len(known) + coded[k : k + hi - lo]
+        keys, counts = np.unique(keys[(coded[: hi - lo] > 0) & (coded[1 : hi - lo + 1] > 0)], return_counts=True)
+        places = np.stack([keys // len(known) ** (width - 1 - k) % len(known) for k in range(width)], axis=1)
+        sizes = (places > 0).sum(axis=1)
+        letters = known[places[places > 0]].astype(np.uint32).tobytes().decode("utf-32-le")
+        stops = np.cumsum(sizes).tolist()
+        yield pa.array([letters[e - n : e] for e, n in zip(stops, sizes.tolist())], pa.string()), counts
+
+
 def ngram_counts(lines: DataFrame) -> DataFrame:
     """Occurrences of every 2, 3 and 4 character sequence per room.
 
-    Only the longest window at each position is exploded and counted; shorter
+    Only the longest window at each position is counted, batch by batch; shorter
     sequences are its beginnings, taken from the distinct windows afterwards.
     """
-    windows = (
-        lines.select("room_name", F.explode(char_windows(F.col("text"))).alias("window"))
-        .groupBy("room_name", "window")
-        .agg(F.count("*").alias("n"))
-    )
+    names = ["room_name", "window", "n"]
+
+    def counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            rooms = part.column("room_name").dictionary_encode(null_encoding="encode")
+            room, texts = rooms.indices.to_numpy(), part.column("text")
+            for number in range(len(rooms.dictionary)):
+                own = texts.take(pa.array(np.flatnonzero(room == number)))
+                size = np.cumsum(pc.binary_length(own).to_numpy())
+                cuts = np.flatnonzero(np.diff(size // WINDOWS_AT_ONCE)) + 1
+                for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(own)]):
+                    for windows, counts in window_counts([t.as_py().decode("utf-8", "replace") for t in own[lo:hi]]):
+                        room_name = rooms.dictionary.take(pa.array(np.full(len(counts), number)))
+                        yield pa.RecordBatch.from_arrays([room_name, windows, pa.array(counts, pa.int64())], names=names)
+
+    texts = lines.filter(F.col("text").isNotNull()).select("room_name", F.col("text").cast("binary").alias("text"))
+    windows = texts.mapInArrow(counted, "room_name string, window string, n bigint").groupBy("room_name", "window").agg(F.sum("n").alias("n"))
     sizes = F.sequence(F.lit(2), F.char_length("window"))
     return (
         windows.select("room_name", "window", "n", F.explode(sizes).alias("size"))

@@ -109,3 +109,20 @@ def test_pairs_are_shuffled_as_blocks(spark, no_small_tables):
     below = next(line for line in lines[counted:] if "Exchange" in line)
     # A row for each product of a block, not one for each pair, goes to the counting tasks.
     assert "hashpartitioning(product_id" in below
+
+
+def test_windows_are_counted_by_number(spark, monkeypatch):
+    texts = ["abab abab", "", "a", "直播直播间", "𝒳a𝒳a\x00\x00", "\x00\x00", "".join(map(chr, range(0x4E00, 0x4E40)))]
+    want = Counter(t[i : i + 4] for t in texts for i in range(len(t) - 1))
+    for at_once in (3, text.WINDOWS_AT_ONCE):
+        monkeypatch.setattr(text, "WINDOWS_AT_ONCE", at_once)
+        got = Counter()
+        for words, counts in text.window_counts(texts):
+            got.update(dict(zip(words.to_pylist(), counts.tolist())))
+        assert got == want
+    lines = spark.createDataFrame([("R", t) for t in texts] + [(None, "aba"), ("R", None)], "room_name string, text string")
+    rows = {(r.room_name, r.word): r["count"] for r in text.ngram_counts(lines).collect()}
+    short = Counter(("R", t[i : i + n]) for t in texts for n in (2, 3, 4) for i in range(len(t) - n + 1))
+    assert rows == short | Counter([(None, "ab"), (None, "ba"), (None, "aba")])
+    # Texts go to the counting once; no row of a place is made.
+    assert "regexp_extract_all" not in physical(text.ngram_counts(lines))
