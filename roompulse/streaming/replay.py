@@ -61,7 +61,11 @@ def _played(parts: Sequence[DataFrame], folder: str, start: Callable[[DataFrame]
     for some in (parts[:half], parts[half:]) if restart else (parts,):
         for part in some:
             part.repartition(1).write.mode("append").parquet(source)
-        start(parquet_stream(parts[0].sparkSession, source, parts[0].schema, 1)).awaitTermination()
+        raw = parquet_stream(parts[0].sparkSession, source, parts[0].schema, 1)
+        # A slice is one file, which one task reads; what is done with its rows is dealt out.  Rows are counted behind
+        # that, as filters, which may parse whole payloads, would else be moved back to the reading task.
+        dealt = raw.repartition(raw.sparkSession.sparkContext.defaultParallelism)
+        start(dealt.observe("dealt", F.count(F.lit(1)).alias("rows"))).awaitTermination()
 
 
 def _replayed(

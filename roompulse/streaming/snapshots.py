@@ -29,8 +29,9 @@ ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 class RoomSnapshots(StatefulProcessor):
     """Figures of a room at the end of each window of ``width`` seconds.
 
-    Signals wait in the state until the watermark passes the end of their window; chats and gifts wait as sums.  What
-    goes on for good is the nine samples before the next one, the last sample's figures and the number of alerts.
+    Signals wait in the state until the watermark passes the end of their window; chats and gifts wait as sums.  Both
+    wait in arrays, an entry for each frame, as every entry of the state costs a call.  What goes on for good is the nine
+    samples before the next one, the last sample's figures and the number of alerts.
     """
 
     def __init__(self, width: int, idle: bool):
@@ -38,8 +39,8 @@ class RoomSnapshots(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.samples = handle.getListState("samples", "at bigint, id bigint, online bigint")
-        self.sums = handle.getListState("sums", "start bigint, chats bigint, cents bigint, name string")
+        self.samples = handle.getListState("samples", "at array<bigint>, id array<bigint>, online array<bigint>")
+        self.sums = handle.getListState("sums", "start array<bigint>, chats array<bigint>, cents array<bigint>, name array<string>")
         self.room = handle.getValueState(
             "room", "recent array<bigint>, online bigint, average bigint, trend string, alerts bigint, name string, next bigint"
         )
@@ -49,25 +50,29 @@ class RoomSnapshots(StatefulProcessor):
             at = frame["event_time"].to_numpy("datetime64[us]").astype(np.int64)
             seen = (frame["kind"] == "sample").to_numpy()
             if seen.any():
-                self.samples.appendList(list(zip(at[seen].tolist(), frame["id"][seen].tolist(), frame["online"][seen].astype("int64").tolist())))
+                self.samples.appendValue((at[seen].tolist(), frame["id"][seen].tolist(), frame["online"][seen].astype("int64").tolist()))
             start = at // (self.width * 1_000_000) * self.width
             told = pd.DataFrame({"start": start, "chats": (frame["kind"] == "chat").to_numpy(np.int64), "cents": frame["cents"].fillna(0).to_numpy(np.int64), "name": frame["room_name"]})
             sums = told.groupby("start").agg({"chats": "sum", "cents": "sum", "name": "max"}).reset_index()
-            self.sums.appendList([tuple(r) for r in sums.astype({"start": object, "chats": object, "cents": object}).itertuples(index=False)])
+            self.sums.appendValue(tuple(sums[c].tolist() for c in sums.columns))
             self.handle.registerTimer((int(start.min()) + self.width) * 1000)
         yield from ()
 
+    @staticmethod
+    def _waiting(state) -> list[tuple]:
+        return [row for entry in state.get() for row in zip(*entry)]
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         closed = timerValues.getCurrentWatermarkInMs() // 1000 // self.width * self.width
         recent, online, average, trend, alerts, name, following = self.room.get() or ([], 0, 0, "stable", 0, "", None)
-        sums = pd.DataFrame(list(self.sums.get()), columns=["start", "chats", "cents", "name"])
+        sums = pd.DataFrame(self._waiting(self.sums), columns=["start", "chats", "cents", "name"])
         due = sums[sums["start"] < closed].groupby("start").agg({"chats": "sum", "cents": "sum", "name": "max"}).sort_index()
         starts = due.index.to_numpy(np.int64)
         if self.idle and (following is not None or len(starts)):
             starts = np.arange(starts[0] if following is None else following, closed, self.width)
         if not len(starts):
             return
-        waiting = np.array(list(self.samples.get()), np.int64).reshape(-1, 3)
+        waiting = np.array(self._waiting(self.samples), np.int64).reshape(-1, 3)
         passed = waiting[waiting[:, 0] < closed * 1_000_000]
         passed = passed[np.lexsort((passed[:, 1], passed[:, 0]))]
 
@@ -113,9 +118,9 @@ class RoomSnapshots(StatefulProcessor):
             (values[-HISTORY:].tolist(), int(own["online"][-1]), int(own["average"][-1]), str(own["trend"][-1]), int(own["alerts"][-1]), str(names.iloc[-1]), int(closed))
         )
         later, left = sums[sums["start"] >= closed], waiting[waiting[:, 0] >= closed * 1_000_000]
-        for state, rows in ((self.sums, [tuple(r) for r in later.astype(object).itertuples(index=False)]), (self.samples, [tuple(r) for r in left.tolist()])):
-            if rows:
-                state.put(rows)
+        for state, columns in ((self.sums, [later[c].tolist() for c in later.columns]), (self.samples, left.T.tolist())):
+            if columns[0]:
+                state.put([tuple(columns)])
             else:
                 state.clear()
         if len(later):

@@ -11,8 +11,9 @@ from roompulse.operators import text
 from roompulse.operators.common import newest_rows
 from roompulse.operators.recommend import pair_counts
 from roompulse.operators.sketches import user_texts
-from roompulse.plans.catalog import QUERIES
+from roompulse.plans.catalog import QUERIES, envelopes
 from roompulse.plans.views import Views
+from roompulse.streaming import replay
 
 
 @pytest.fixture
@@ -126,3 +127,19 @@ def test_windows_are_counted_by_number(spark, monkeypatch):
     assert rows == short | Counter([(None, "ab"), (None, "ba"), (None, "aba")])
     # Texts go to the counting once; no row of a place is made.
     assert "regexp_extract_all" not in physical(text.ngram_counts(lines))
+
+
+def test_replayed_slices_are_dealt_out(views, monkeypatch):
+    seen, real = [], replay.jobs.count_types
+
+    def watched(*args, **options):
+        query = real(*args, **options)
+        query.awaitTermination()
+        seen.append(query._jsq.explainInternal(False))
+        return query
+
+    monkeypatch.setattr(replay.jobs, "count_types", watched)
+    replay.message_type_counts(views, envelopes)
+    # The reading task hands rows on as they are; payloads are parsed behind the exchange.
+    above, below = seen[0].split("RoundRobinPartitioning")
+    assert "from_json" in above and "from_json" not in below
