@@ -13,7 +13,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roompulse.sinks.files import write_tsv
+from roompulse.sinks.files import write_tsv_gz
 
 MARK_SCHEMA = "load string, number int, low timestamp_ntz, high timestamp_ntz"
 
@@ -21,7 +21,7 @@ MARK_SCHEMA = "load string, number int, low timestamp_ntz, high timestamp_ntz"
 class Landing:
     """A landed table below ``root``: its rows by load, and the marks of the loads."""
 
-    def __init__(self, spark: SparkSession, root: str, write: Callable[[DataFrame, str], None] = write_tsv):
+    def __init__(self, spark: SparkSession, root: str, write: Callable[[DataFrame, str], None] = write_tsv_gz):
         self.spark, self.root, self.write = spark, root, write
 
     def marks(self) -> list:

@@ -12,6 +12,7 @@ from roompulse.operators.messages import route_params
 from roompulse.sinks.landing import Landing
 from roompulse.sinks.topics import as_messages, header, read_once, write_messages
 from roompulse.sources.evolution import read_generations, united
+from roompulse.sources.files import read_tsv
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -51,6 +52,19 @@ def test_increments_take_what_is_behind_the_mark_and_repeats_replace_themselves(
     assert landed(spark, landing) == [(4, 0), (4, 1)]
 
 
+def test_landed_text_is_compressed_and_comes_back_whole(spark, tmp_path):
+    schema = StructType().add("id", "long").add("text", "string").add("created_at", "timestamp_ntz")
+    said = ['two\nlines\tand "quotes"' * 500, None, "直播\n觉得" * 500, "a"]
+    rows = [(i, text, at(i)) for i, text in enumerate(said)]
+    landing = Landing(spark, str(tmp_path / "rows"))
+    for _ in range(2):
+        landing.load(spark.createDataFrame(rows, schema).coalesce(1), "all")
+    back = landing.read(lambda path: read_tsv(spark, path, schema, line_breaks=True))
+    assert sorted((r.id, r.text, r.created_at) for r in back.collect()) == rows
+    files = [f for f in (tmp_path / "rows" / "rows").rglob("*") if f.is_file() and not f.name.startswith(("_", "."))]
+    assert sum(f.stat().st_size for f in files) < sum(len(t.encode()) for t in said if t) // 10
+
+
 def test_increment_bounds_reach_the_scan(spark, tmp_path):
     table(spark, range(50)).write.parquet(str(tmp_path / "source"))
     rows = Landing.between(spark.read.parquet(str(tmp_path / "source")), "created_at", at(3), at(5))
