@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roompulse.functions.numbers import half_up, percent, ratio
-from roompulse.functions.texts import STOP_WORDS, is_topic_term, terms
+from roompulse.functions.texts import STOP_WORDS, Terms, is_topic_term, term_ranges, terms
 from roompulse.functions.times import bucket_start, clock, minutes
 from roompulse.operators.audience import by_chats, is_chat
 from roompulse.operators.common import newest_rows, only, top_per_key
@@ -49,6 +49,8 @@ LOG_ODDS_LIMIT = 50.0
 END = 0x110000
 #: Places of texts whose character sequences are counted at once.
 WINDOWS_AT_ONCE = 1 << 20
+#: Bytes of texts whose terms are counted at once; a longer text is counted whole.
+TEXTS_AT_ONCE = 1 << 22
 
 
 def chat_lines(danmaku: DataFrame, room: str | None = None, latest: int | None = None) -> DataFrame:
@@ -284,25 +286,49 @@ def _without_stop_words(df: DataFrame, stop_words=STOP_WORDS) -> DataFrame:
     return df.join(F.broadcast(words), "term", "left_anti")
 
 
+def by_room(part: pa.RecordBatch, size: int) -> Iterator[tuple[pa.Scalar, list[str]]]:
+    """The texts of a batch (room_name, text in bytes) by room, in slices of about so many bytes."""
+    rooms = part.column("room_name").dictionary_encode(null_encoding="encode")
+    room, texts = rooms.indices.to_numpy(), part.column("text")
+    for number, room_name in enumerate(rooms.dictionary):
+        own = texts.take(pa.array(np.flatnonzero(room == number)))
+        cuts = np.flatnonzero(np.diff(np.cumsum(pc.binary_length(own).to_numpy()) // size)) + 1
+        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(own)]):
+            yield room_name, [t.as_py().decode("utf-8", "replace") for t in own[lo:hi]]
+
+
+def term_counts(lines: DataFrame) -> DataFrame:
+    """Occurrences of each room's terms (tf) and the lines that hold them (df), counted batch by batch before they become rows.
+
+    A term has several rows, to be added up; those without a term say how many lines there are.
+    """
+    names, ranges = ["room_name", "term", "tf", "df"], term_ranges()
+
+    def counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut = Terms(ranges)
+        for part in parts:
+            for room_name, texts in by_room(part, TEXTS_AT_ONCE):
+                found, tf, df = cut.counts(texts)
+                found = pa.concat_arrays([found, pa.nulls(1, pa.string())])
+                counts = [pa.array(np.append(tf, 0), pa.int64()), pa.array(np.append(df, len(texts)), pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.repeat(room_name, len(found)), found, *counts], names=names)
+
+    texts = lines.select("room_name", F.col("text").cast("binary").alias("text"))
+    return texts.mapInArrow(counted, "room_name string, term string, tf bigint, df bigint")
+
+
 def keywords_tfidf(
     danmaku: DataFrame, k: int = 50, room: str | None = None, latest: int | None = None
 ) -> DataFrame:
     """The ``k`` terms of each room with the highest TF-IDF weight.
 
-    Term and document frequencies come from one pass: each line yields all its
-    terms, then its distinct terms and one row without a term, all counted before
-    anything is shuffled.  The counts are stored, and every total is taken from them.
+    Term and document frequencies come from one pass, counted before anything is
+    shuffled.  The counts are stored, and every total is taken from them.
     """
     long_enough = F.char_length("text") >= 2
     lines = chat_lines(danmaku, None, latest).filter(long_enough).select("room_name", "text")
-    arrays = lines.select("room_name", terms(F.col("text")).alias("all"))
-    once = F.concat(F.array_distinct("all"), F.array(F.lit(None).cast("string")))
-    either = arrays.select("room_name", F.posexplode(F.array(F.col("all"), once)).alias("kind", "list"))
-    each = either.select("room_name", "kind", F.explode("list").alias("term"))
-    each = each.filter(F.col("term").isNull() | is_topic_term(F.col("term")))
-    counted = each.groupBy("room_name", "term").agg(
-        F.count_if(F.col("kind") == 0).alias("tf"), F.count_if(F.col("kind") == 1).alias("df_room")
-    )
+    counted = term_counts(lines).filter(F.col("term").isNull() | is_topic_term(F.col("term")))
+    counted = counted.groupBy("room_name", "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df_room"))
     counted = stored(_without_stop_words(counted), "keyword-counts")
     counts, line_counts = counted.filter(F.col("term").isNotNull()), counted.filter(F.col("term").isNull())
     spread = counts.groupBy("term").agg(F.sum("df_room").alias("df"))
@@ -326,8 +352,7 @@ def word_cloud(
 ) -> DataFrame:
     """The ``k`` most frequent terms of each room."""
     lines = chat_lines(danmaku, room, latest).filter(F.char_length("text") >= 2)
-    words = lines.select("room_name", F.explode(terms(F.col("text"))).alias("term"))
-    counts = words.filter(is_topic_term(F.col("term"))).groupBy("room_name", "term").agg(F.count("*").alias("value"))
+    counts = term_counts(lines).filter(is_topic_term(F.col("term"))).groupBy("room_name", "term").agg(F.sum("tf").alias("value"))
     counts = _without_stop_words(counts)
     best = top_per_key(counts, ["room_name"], (F.col("value").desc(), F.col("term").asc()), k)
     return best.filter(F.col("value") >= min_count).select("room_name", "rank", F.col("term").alias("name"), "value")
@@ -376,16 +401,9 @@ def ngram_counts(lines: DataFrame) -> DataFrame:
 
     def counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            rooms = part.column("room_name").dictionary_encode(null_encoding="encode")
-            room, texts = rooms.indices.to_numpy(), part.column("text")
-            for number in range(len(rooms.dictionary)):
-                own = texts.take(pa.array(np.flatnonzero(room == number)))
-                size = np.cumsum(pc.binary_length(own).to_numpy())
-                cuts = np.flatnonzero(np.diff(size // WINDOWS_AT_ONCE)) + 1
-                for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(own)]):
-                    for windows, counts in window_counts([t.as_py().decode("utf-8", "replace") for t in own[lo:hi]]):
-                        room_name = rooms.dictionary.take(pa.array(np.full(len(counts), number)))
-                        yield pa.RecordBatch.from_arrays([room_name, windows, pa.array(counts, pa.int64())], names=names)
+            for room_name, texts in by_room(part, WINDOWS_AT_ONCE):
+                for windows, counts in window_counts(texts):
+                    yield pa.RecordBatch.from_arrays([pa.repeat(room_name, len(counts)), windows, pa.array(counts, pa.int64())], names=names)
 
     texts = lines.filter(F.col("text").isNotNull()).select("room_name", F.col("text").cast("binary").alias("text"))
     windows = texts.mapInArrow(counted, "room_name string, window string, n bigint").groupBy("room_name", "window").agg(F.sum("n").alias("n"))

@@ -1,9 +1,11 @@
 """Column functions on literal edge cases."""
 
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from roompulse.functions.numbers import half_up, parse_count, percent, ratio, try_parse_count
-from roompulse.functions.texts import STOP_WORDS, char_windows, is_topic_term, like_pattern, terms
+from roompulse.functions.texts import STOP_WORDS, Terms, char_windows, is_topic_term, like_pattern, term_ranges, terms
 from roompulse.functions.times import bucket_start, minute_text, parse_iso
 from roompulse.operators.text import ngram_counts
 
@@ -78,3 +80,15 @@ def test_like_pattern_is_literal(spark):
     assert found("50%") == ["50% off"]
     assert found("A_B") == ["a_b"]
     assert found("c\\d") == ["c\\d"]
+
+
+def test_terms_counted_in_tasks_are_those_of_spark(spark):
+    runs = ["".join(chr(c) for c in range(lo, lo + 4096) if not 0xD800 <= c < 0xE000) for lo in range(0, 0x110000, 4096)]
+    texts = ["", "a1 b_c’s a1", "中文 好x好好好", "𠀀𠀁𠀂 中𠀀", "½Ⅷ x́ ͸Ꟁ 𞤀", *runs, *[" ".join(run) for run in runs], "好", "好"]
+    expected = column(spark, texts, "string", terms)
+    cut = Terms(term_ranges())
+    for some in ([0], [1, 2], range(len(texts))):
+        found, tf, df = cut.counts([texts[i] for i in some])
+        got = {term: (int(n), int(m)) for term, n, m in zip(found.to_pylist(), tf, df)}
+        often, lines = Counter(t for i in some for t in expected[i]), Counter(t for i in some for t in set(expected[i]))
+        assert got == {term: (often[term], lines[term]) for term in often}
