@@ -48,6 +48,8 @@ LENGTH_BITS = 8
 BY_STRETCH = 1 << LENGTH_BITS - 1
 #: Stretches of a gram that a task sends under the gram.
 UNDER_GRAM = 2
+#: Documents of a record batch that are Python objects at once.
+SLICE_DOCS = 256
 
 _GENERATOR = np.random.Generator(np.random.PCG64(19))
 _BYTE = _GENERATOR.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -94,6 +96,13 @@ def firsts(*columns: np.ndarray) -> np.ndarray:
     return out
 
 
+def slices(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of record batches, a few at a time."""
+    for part in parts:
+        for at in range(0, part.num_rows, SLICE_DOCS):
+            yield part.slice(at, SLICE_DOCS)
+
+
 def runs(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
     """(gram, stretch, doc_id, span) of each run; a negative span is one already known to repeat an earlier one."""
 
@@ -204,7 +213,7 @@ def opened(texts: DataFrame, open_runs: DataFrame, width: int = WIDTH) -> DataFr
             w = np.where(again, mixed((doc * 1_000_003 + at).view(np.uint64)).view(np.int64), w)
             return pa.RecordBatch.from_arrays([pa.array(w), pa.array((v << 32) | at), pa.array(doc), pa.array(again)], schema=_WINDOW_ARROW)
 
-        for part in parts:
+        for part in slices(parts):
             for doc_id, packed, own in zip(*(part.column(c).to_pylist() for c in ("doc_id", "packed", "runs"))):
                 text = unpack(packed)
                 for run in own:
@@ -250,7 +259,7 @@ def packed_texts(docs: DataFrame) -> DataFrame:
 
     def rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3).compress
-        for part in parts:
+        for part in slices(parts):
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([pack(t.as_py()) for t in part.column("text")], pa.binary())], names=["doc_id", "packed"])
 
     return docs.select(F.col("doc_id").cast("long"), text_bytes().alias("text")).mapInArrow(rows, "doc_id bigint, packed binary")
@@ -262,7 +271,7 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Da
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        for part in parts:
+        for part in slices(parts):
             sizes, spans, kept = [], [], []
             for packed, own in zip(part.column("packed"), part.column("parts")):
                 text = unpack(packed.as_py())
@@ -282,12 +291,15 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Da
     found = stored(run_pass(runs(docs, width, gram), width), "suffix-runs")
     # Both joins ask for the same rows of the same exchange, so the texts are shuffled once.
     texts = packed_texts(docs).where(F.col("doc_id").isNotNull())
-    nameless = packed_texts(docs.where(F.col("doc_id").isNull()))
     windows = window_pass(opened(texts, found.where("open"), width), width)
     gone = found.where(~F.col("open")).select("doc_id", "at", "length").unionByName(windows.withColumn("length", F.lit(width).cast("long")))
     by_doc = gone.groupBy("doc_id").agg(F.collect_list(F.struct("at", "length")).alias("parts"))
-    rows = texts.join(by_doc, "doc_id", "left").select("doc_id", "packed", "parts").unionByName(nameless, allowMissingColumns=True)
-    return rows.mapInArrow(cut, "doc_id bigint, n_bytes bigint, removed array<struct<start: bigint, end: bigint>>, kept binary")
+    schema = "doc_id bigint, n_bytes bigint, removed array<struct<start: bigint, end: bigint>>, kept binary"
+    rows = texts.join(by_doc, "doc_id", "left").select("doc_id", "packed", "parts").mapInArrow(cut, schema)
+    # Rows without doc_id stay whole; a task that cuts has one worker, as no other step in Python feeds it.
+    whole = docs.where(F.col("doc_id").isNull()).select(F.col("doc_id").cast("long"), text_bytes().alias("kept"))
+    none = F.array().cast("array<struct<start: bigint, end: bigint>>")
+    return rows.unionByName(whole.select("doc_id", F.octet_length("kept").cast("long").alias("n_bytes"), none.alias("removed"), "kept"))
 
 
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -242,6 +242,23 @@ def test_repeated_bytes_awkward_and_empty_tables(spark, awkward, nothing):
     assert suffix_dedup.without_repeats(nothing).count() == 0
 
 
+def test_repeated_bytes_need_one_python_step_between_shuffles(spark):
+    text = "a passage that stands in two of the documents and is longer than a window of one hundred bytes, by some"
+    got = suffix_dedup.without_repeats(frame(spark, [(1, text), (None, text), (None, None), (2, "é" + text)]))
+    rows = sorted((r["doc_id"] or 0, r["n_bytes"], [tuple(s) for s in r["removed"]], bytes(r["kept"])) for r in got.collect())
+    n = len(text)
+    assert rows == [(0, 0, [], b""), (0, n, [], text.encode()), (1, n, [], text.encode()), (2, n + 2, [(2, n + 2)], "é".encode())]
+
+    def longest(node):
+        """Python steps below a step that share its tasks, and the most of them anywhere below."""
+        below = [longest(node.children().apply(i)) for i in range(node.children().size())]
+        here = max((b[0] for b in below), default=0) if node.nodeName() in ("Project", "Filter", "Union", "MapInArrow") else 0
+        here += node.nodeName() == "MapInArrow"
+        return here, max([here, *(b[1] for b in below)])
+
+    assert longest(got._jdf.queryExecution().optimizedPlan())[1] == 1
+
+
 ITEMS = [(1, None), (2, ""), (3, "alpha1"), (4, "a b c"), (5, "no such words anywhere here"), (6, "A B c d"), (None, "gamma2")]
 
 
