@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roompulse.llm.tables import batches, stored, table, text_bytes
+from roompulse.llm.tables import batches, remembered, stored, table, text_bytes
 from roompulse.llm.tokens import vocabulary
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -91,13 +91,11 @@ class Pieces:
         return np.array(flat, np.int32).reshape(len(words), stop - first, width)
 
 
-_PIECES: dict[str, Pieces] = {}
-
-
 def pieces(path: str) -> Pieces:
-    if path not in _PIECES:
-        _PIECES[path] = Pieces(path)
-    return _PIECES[path]
+    own = remembered("language pieces")
+    if path not in own:
+        own[path] = Pieces(path)
+    return own[path]
 
 
 def by_length(words: list[str]) -> Iterator[tuple[np.ndarray, list[str]]]:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roompulse.llm.components import components
-from roompulse.llm.tables import batches, stored, table, text_bytes
+from roompulse.llm.tables import batches, remembered, stored, table, text_bytes
 
 SHINGLE_WORDS = 5
 BANDS = 26
@@ -56,7 +56,6 @@ _A = _GENERATOR.integers(1, 1 << 63, MINIMA, dtype=np.uint64) * np.uint64(2) + n
 _B = _GENERATOR.integers(0, 1 << 63, MINIMA, dtype=np.uint64)
 #: One odd multiplier for each place in a shingle, and one for each length below it.
 _PLACE = _GENERATOR.integers(1, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_WORDS: dict[bytes, int] = {}
 
 _SCAN_ARROW = pa.schema(
     [("item", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("text_key", pa.binary()), ("signature", pa.binary())]
@@ -80,9 +79,9 @@ def shingles(text: bytes, n_words: int = SHINGLE_WORDS) -> np.ndarray:
     words = text.lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    if len(_WORDS) > WORDS_KEPT:
-        _WORDS.clear()
-    known = _WORDS
+    known = remembered("shingle words")
+    if len(known) > WORDS_KEPT:
+        known.clear()
     for word in {w for w in words if w not in known}:
         known[word] = xxhash.xxh3_64_intdigest(word)
     h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))

@@ -33,6 +33,20 @@ def text_bytes(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("binary"), F.lit(b""))
 
 
+_REMEMBERED: dict[str, dict] = {}
+
+
+def remembered(kind: str) -> dict:
+    """What a worker remembers from task to task for one kind of work; what it remembered for other kinds is given up.
+
+    Executors use their workers again for every later step, so a step would else carry the memory of all steps before it.
+    """
+    if kind not in _REMEMBERED:
+        _REMEMBERED.clear()
+        _REMEMBERED[kind] = {}
+    return _REMEMBERED[kind]
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -11,13 +11,16 @@ from array import array
 
 import numpy as np
 
+from roompulse.llm.tables import remembered
+
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 PIECE_VOCABULARY = "piece_bpe_32k.model"
 
-#: Bounds of the two memories of a worker, in entries; words longer than WORD_BYTES are not remembered.
-WORDS_KEPT = 1_000_000
+#: Bounds of the memories of a worker, in entries; words longer than WORD_BYTES are not remembered.
+WORDS_KEPT = 500_000
 PIECES_KEPT = 600_000
+SPANS_KEPT = 1_000_000
 WORD_BYTES = 64
 
 #: Words of printable ASCII and the letters of Latin-1 are in NFC, and lower-case letter by letter.
@@ -137,7 +140,7 @@ class SpanEncoder:
         self.tokenizer.encode_special_tokens = True
         self.by_piece = holds(self.tokenizer, BYTE_RULES, ("<|",))
         self.model, self.letters = self.tokenizer.model, byte_letters()
-        self.pieces = Memory(WORDS_KEPT)
+        self.pieces = Memory(SPANS_KEPT)
 
     def spans(self, text: str) -> np.ndarray:
         """(tokens, 2): first character and the one behind the last."""
@@ -235,35 +238,25 @@ def packed(ids: list[int]) -> bytes:
     return np.array(ids, "<u4").tobytes()
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-_SPANS: dict[str, SpanEncoder] = {}
-_BYTES: dict[str, ByteEncoder] = {}
-_MODELS: dict[str, PieceEncoder] = {}
+def encoder(kind: type, path: str):
+    """One encoder of a kind and file for each worker process, while it does this kind of work."""
+    own = remembered("encoders")
+    if (kind, path) not in own:
+        own[kind, path] = kind(path)
+    return own[kind, path]
 
 
 def byte_encoder(path: str) -> ByteEncoder:
-    """One encoder for each worker process."""
-    if path not in _BYTES:
-        _BYTES[path] = ByteEncoder(path)
-    return _BYTES[path]
+    return encoder(ByteEncoder, path)
 
 
 def piece_encoder(path: str) -> PieceEncoder:
-    """One encoder for each worker process."""
-    if path not in _MODELS:
-        _MODELS[path] = PieceEncoder(path)
-    return _MODELS[path]
+    return encoder(PieceEncoder, path)
 
 
 def span_encoder(path: str) -> SpanEncoder:
-    """One encoder for each worker process."""
-    if path not in _SPANS:
-        _SPANS[path] = SpanEncoder(path)
-    return _SPANS[path]
+    return encoder(SpanEncoder, path)
 
 
 def word_encoder(path: str) -> WordEncoder:
-    """One encoder for each worker process."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    return encoder(WordEncoder, path)

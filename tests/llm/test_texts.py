@@ -1,6 +1,8 @@
 """Token counts, token files, packing, line and byte deduplication, decontamination."""
 
+import gc
 import random
+import weakref
 
 import brute
 import numpy as np
@@ -10,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from roompulse.llm import decontaminate, lines, packing, suffix_dedup, token_counts, token_files
+from roompulse.llm import decontaminate, language, lines, minhash, packing, suffix_dedup, token_counts, token_files, tokens
 from roompulse.llm.tokens import BYTE_VOCABULARY, WORD_VOCABULARY, SpanEncoder, WordEncoder, vocabulary
 from roompulse.session import shared_folder
 
@@ -259,6 +261,18 @@ def test_repeated_bytes_need_one_python_step_between_shuffles(spark):
     assert longest(got._jdf.queryExecution().optimizedPlan())[1] == 1
 
 
+def test_a_worker_gives_up_what_it_remembers_for_other_work():
+    encoder = weakref.ref(tokens.word_encoder(WORDS))
+    assert tokens.word_encoder(WORDS) is encoder()
+    minhash.shingles(b"one two three four five six")
+    gc.collect()
+    assert encoder() is None
+    pieces = weakref.ref(language.pieces(vocabulary(language.VOCABULARY)))
+    minhash.shingles(b"one two three four five six")
+    gc.collect()
+    assert pieces() is None
+
+
 ITEMS = [(1, None), (2, ""), (3, "alpha1"), (4, "a b c"), (5, "no such words anywhere here"), (6, "A B c d"), (None, "gamma2")]
 
 
