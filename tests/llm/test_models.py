@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import re
 import zlib
 
 import brute
@@ -354,6 +355,25 @@ def test_an_outlier_is_met_by_one_row_a_query(spark):
     assert neighbours.asking_of(asked, lengths).where(f"bin <= {neighbours.WHOLE}").count() == asked.count()
 
 
+def test_blocks_of_vectors_are_not_sent_through_the_driver(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((3_000, 16)))]
+    heads = neighbours.stored(neighbours.measured(spark.createDataFrame(rows, "entry bigint, vector array<double>")), "test-heads")
+    found = neighbours.met(heads, heads.where("entry % 20 = 0"), neighbours.banded(heads), 21)
+    assert found.collect()
+    lines = found._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan")[0].splitlines()
+    depth = [len(re.match(r"[\s:+-]*", line)[0]) for line in lines]
+    blocks = [i for i, line in enumerate(lines) if "collect_list" in line]
+    assert len(blocks) >= 2
+    # Nothing that stands above the lists, between them and the join of blocks, is a broadcast.
+    for i in blocks:
+        above, at = [], depth[i]
+        for j in range(i - 1, -1, -1):
+            if depth[j] < at:
+                above, at = [*above, lines[j]], depth[j]
+        assert not any("BroadcastExchange" in line for line in above)
+
+
 def test_near_ties_at_the_edge_go_by_the_exact_score(spark):
     rng = np.random.default_rng(6)
     base = rng.standard_normal(48)
