@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from functools import cache
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from roompulse.session import character_ranges
+
 # Words are runs of letters, marks and digits.  Chinese runs have no spaces, so
 # they are cut into overlapping two-character terms instead.
 HAN = r"\p{IsHan}"
@@ -44,19 +44,6 @@ def terms(text: Column) -> Column:
     return F.when(F.rlike(text, F.lit(HAN)), mixed).otherwise(F.regexp_extract_all(text, F.lit(WORD_RUN), F.lit(0)))
 
 
-@cache
-def character_ranges(pattern: str) -> list[tuple[int, int]]:
-    """First and last characters of the runs that Spark's own patterns count to a class, as Python's Unicode may be another."""
-    points = SparkSession.active().range(1, 0x110000).filter("id NOT BETWEEN 55296 AND 57343")
-
-    def counted(point: Column) -> Column:
-        return F.rlike(F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32"), F.lit(pattern))
-
-    last = F.when(F.col("id") == 0xE000, 0xD7FF).otherwise(F.col("id") - 1)
-    edges = sorted(r["id"] for r in points.filter(counted(F.col("id")) != counted(last)).collect())
-    return [(lo, hi - 1) for lo, hi in zip(edges[::2], edges[1::2])]
-
-
 def term_ranges() -> list[list[tuple[int, int]]]:
     """The characters of words beside Chinese, and Chinese ones, for ``Terms``."""
     return [character_ranges(WORD_RUN_BESIDE_HAN), character_ranges(HAN)]

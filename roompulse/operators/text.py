@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow.compute import take
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -291,7 +292,7 @@ def by_room(part: pa.RecordBatch, size: int) -> Iterator[tuple[pa.Scalar, list[s
     rooms = part.column("room_name").dictionary_encode(null_encoding="encode")
     room, texts = rooms.indices.to_numpy(), part.column("text")
     for number, room_name in enumerate(rooms.dictionary):
-        own = texts.take(pa.array(np.flatnonzero(room == number)))
+        own = take(texts, pa.array(np.flatnonzero(room == number)))
         cuts = np.flatnonzero(np.diff(np.cumsum(pc.binary_length(own).to_numpy()) // size)) + 1
         for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(own)]):
             yield room_name, [t.as_py().decode("utf-8", "replace") for t in own[lo:hi]]

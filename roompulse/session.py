@@ -1,12 +1,14 @@
-"""Session settings the plans assume, and the shared folder they may write to."""
+"""Session settings the plans assume, the shared folder they may write to, and how the session reads patterns."""
 
 from __future__ import annotations
 
 import os
 import uuid
+from functools import cache
 from urllib.parse import urlparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -59,3 +61,16 @@ def clear_shared_folders(spark: SparkSession) -> None:
     """Remove all intermediate tables of this application; results that still read them must be written before."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@cache
+def character_ranges(pattern: str) -> list[tuple[int, int]]:
+    """First and last characters of the runs that Spark's own patterns count to a class, as Python's Unicode may be another."""
+    points = SparkSession.active().range(1, 0x110000).filter("id NOT BETWEEN 55296 AND 57343")
+
+    def counted(point: Column) -> Column:
+        return F.rlike(F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32"), F.lit(pattern))
+
+    last = F.when(F.col("id") == 0xE000, 0xD7FF).otherwise(F.col("id") - 1)
+    edges = sorted(r["id"] for r in points.filter(counted(F.col("id")) != counted(last)).collect())
+    return [(lo, hi - 1) for lo, hi in zip(edges[::2], edges[1::2])]
