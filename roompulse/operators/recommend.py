@@ -5,6 +5,8 @@ of at most about ``BLOCK_ITEMS`` items and joined block by block: an ordinary ba
 is one block, and one customer's many pairs spread over many tasks.  What is shuffled
 is a row for each product of a block with the whole block it met, not a row a pair;
 the tasks that get a product's rows count its partners and pass on only those wanted.
+Recommendations do this for one part of the products after another, from stored
+baskets, as those rows are many times the orders.
 """
 
 from __future__ import annotations
@@ -14,15 +16,19 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyarrow.compute import take
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roompulse.functions.numbers import half_up, ratio
 from roompulse.operators.common import only, top_per_key
+from roompulse.sinks.files import stored
 
 BLOCK_ITEMS = 512
 #: Beyond so many buyers a product's rows are dealt out to several tasks.
 HEAVY_BUYERS = 100_000
+#: Recommendations are counted for one part of the products after another, so that only one part's rows are on disk.
+PASSES = 4
 
 
 def baskets(orders: DataFrame, room: str | None = None) -> DataFrame:
@@ -37,17 +43,36 @@ def item_details(orders: DataFrame) -> DataFrame:
     return spellings.groupBy("product_id").agg(details.alias("d")).select("product_id", "d.product_name", "d.category")
 
 
-def _met(items: DataFrame, block_items: int, both_ways: bool) -> DataFrame:
-    """(customer_id, product_id, met): every product of a basket beside the blocks of that basket, or what follows it in them."""
+def _blocks(items: DataFrame, block_items: int) -> DataFrame:
+    """(customer_id, own_block, block, own, met): the products of two blocks of a basket; ``own`` is empty where both are one block.
+
+    Every product goes to the pairs of blocks it is in, so the baskets are read once and not joined with themselves.
+    """
     sizes = items.groupBy("customer_id").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
     n_blocks = F.ceil(F.col("n") / F.lit(block_items)).cast("int")
     sized = items.join(sizes.select("customer_id", n_blocks.alias("blocks")), "customer_id")
-    own = F.pmod(F.xxhash64("product_id"), F.col("blocks")).cast("int")
-    blocks = sized.groupBy("customer_id", "blocks", own.alias("block")).agg(F.sort_array(F.collect_list("product_id")).alias("met"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = blocks.select("customer_id", F.col("met").alias("own"), F.col("block").alias("own_block"), other.alias("block"))
-    rows = left.join(blocks.drop("blocks"), ["customer_id", "block"])
-    rows = rows.select("customer_id", "own_block", "block", F.explode("own").alias("product_id"), "met")
+    sized = sized.withColumn("here", F.pmod(F.xxhash64("product_id"), F.col("blocks")).cast("int"))
+    here = F.col("here")
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    others = F.filter(every, lambda other: other != here)
+    asking = F.transform(others, lambda other: F.struct(here.alias("own_block"), other.alias("block"), F.lit(True).alias("asks")))
+    met = F.transform(every, lambda other: F.struct(other.alias("own_block"), here.alias("block"), F.lit(False).alias("asks")))
+    placed = sized.select("customer_id", "product_id", F.inline(F.concat(asking, met)))
+    own, others = (F.sort_array(F.collect_list(F.when(asks, F.col("product_id")))) for asks in (F.col("asks"), ~F.col("asks")))
+    return placed.groupBy("customer_id", "own_block", "block").agg(own.alias("own"), others.alias("met"))
+
+
+def _own() -> Column:
+    return F.when(F.col("own_block") == F.col("block"), F.col("met")).otherwise(F.col("own"))
+
+
+def _met(blocks: DataFrame, both_ways: bool, of: Callable[[Column], Column] | None = None) -> DataFrame:
+    """(customer_id, product_id, met): every product of a basket beside the blocks of that basket, or what follows it in them.
+
+    ``of`` chooses products.
+    """
+    own = F.filter(_own(), of) if of else _own()
+    rows = blocks.select("customer_id", "own_block", "block", F.explode(own).alias("product_id"), "met")
     if not both_ways:
         behind = F.slice("met", (F.array_position("met", F.col("product_id")) + 1).cast("int"), F.size("met"))
         larger = F.filter("met", lambda x: x > F.col("product_id"))
@@ -73,7 +98,7 @@ def _tallies(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         cells, count = np.unique(group * span + codes, return_counts=True)
         group, codes = np.divmod(cells, span)
         partner = named(codes)
-        product, whole = product.take(pa.array(starts)), whole.take(pa.array(starts))
+        product, whole = take(product, pa.array(starts)), take(whole, pa.array(starts))
         key = (product[0], share[0])
         if held and held[0] == key:
             first = int(np.searchsorted(group, 1))
@@ -107,7 +132,7 @@ def _numbered(values: pa.Array, times: int = 1) -> tuple[np.ndarray, int, Callab
     order = pc.sort_indices(coded.dictionary).to_numpy()
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
-    return rank[coded.indices.to_numpy()], max(1, len(order)), lambda codes: coded.dictionary.take(pa.array(order[codes]))
+    return rank[coded.indices.to_numpy()], max(1, len(order)), lambda codes: take(coded.dictionary, pa.array(order[codes]))
 
 
 def _summed(values: pa.Array, counts: np.ndarray) -> tuple[pa.Array, np.ndarray]:
@@ -138,10 +163,17 @@ def pair_counts(
     With ``k``, pairs come both ways and each ``p1`` has at least its ``k`` best, equal counts by ``p2``.  A product of
     more than ``heavy_buyers`` is counted in shares, whose counts are all passed on and then added up.
     """
+    return _counted(_met(_blocks(items, block_items), bool(k)), _heavy(items, heavy_buyers), least, k)
+
+
+def _heavy(items: DataFrame, heavy_buyers: int) -> DataFrame:
+    """(product_id, shares) of products of more than ``heavy_buyers``: at most one row for so many rows of the items."""
     buyers = items.groupBy("product_id").agg(F.count("*").alias("n")).filter(F.col("n") > heavy_buyers)
-    # At most one row for so many rows of the items.
-    heavy = buyers.select("product_id", F.ceil(F.col("n") / F.lit(heavy_buyers)).cast("int").alias("shares"))
-    met = _met(items, block_items, bool(k)).join(F.broadcast(heavy), "product_id", "left")
+    return buyers.select("product_id", F.ceil(F.col("n") / F.lit(heavy_buyers)).cast("int").alias("shares"))
+
+
+def _counted(met: DataFrame, heavy: DataFrame, least: int, k: int | None) -> DataFrame:
+    met = met.join(F.broadcast(heavy), "product_id", "left")
     share = F.coalesce(F.pmod(F.xxhash64("customer_id"), F.col("shares")).cast("int"), F.lit(0))
     rows = met.select("product_id", share.alias("share"), F.col("shares").isNull().alias("whole"), "met")
     rows = rows.repartition("product_id", "share").sortWithinPartitions("product_id", "share")
@@ -155,14 +187,35 @@ def pair_counts(
                 # One more than wanted, as a product meets itself too.
                 kept &= ~all_here | _leaders(group, count, k + 1)
             group, partner, count, all_here = group[kept], partner.filter(pa.array(kept)), count[kept], all_here[kept]
-            yield pa.RecordBatch.from_arrays([product.take(pa.array(group)), partner, pa.array(all_here), pa.array(count, pa.int64())], names=names)
+            yield pa.RecordBatch.from_arrays([take(product, pa.array(group)), partner, pa.array(all_here), pa.array(count, pa.int64())], names=names)
 
-    kind = items.schema["product_id"].dataType.simpleString()
+    kind = met.schema["product_id"].dataType.simpleString()
     found = rows.mapInArrow(counted, f"p1 {kind}, p2 {kind}, whole boolean, co_count bigint")
     counts = found.filter(F.col("p1") != F.col("p2")).groupBy("p1", "p2").agg(F.sum("co_count").alias("co_count"))
     return counts.filter(F.col("co_count") >= least)
 
 
+def _best_partners(items: DataFrame, k: int, block_items: int, passes: int = PASSES, heavy_buyers: int = HEAVY_BUYERS) -> DataFrame:
+    """(product_id, rec_product_id, score, rank): the ``k`` products most often bought with each.
+
+    The products are dealt into ``passes`` by number.  Baskets are stored before the first; what one shuffles is gone before the next.
+    """
+    blocks = stored(_blocks(items, block_items), "basket-blocks", freed=True)
+    bought = blocks.filter(F.col("block") == 0).select(F.explode(_own()).alias("product_id"))
+    heavy = stored(_heavy(bought, heavy_buyers), "heavy-products", freed=True)
+    order = (F.col("score").desc(), F.col("rec_product_id").asc())
+    best = None
+    for number in range(passes):
+        met = _met(blocks, True, lambda product: F.pmod(F.xxhash64(product), F.lit(passes)) == number)
+        counted = _counted(met, heavy, 1, k)
+        scored = counted.select(F.col("p1").alias("product_id"), F.col("p2").alias("rec_product_id"), F.col("co_count").alias("score"))
+        part = top_per_key(scored, ["product_id"], order, k)
+        if number < passes - 1:
+            part = stored(part, "basket-partners", freed=True)
+        best = part if best is None else best.unionByName(part)
+    return best
+
+
 def cooccurrence_recs(
     orders: DataFrame,
     k: int = 5,
@@ -175,10 +228,7 @@ def cooccurrence_recs(
     ``details`` names the products; without it names are gathered from the orders.
     """
     orders = only(orders, room_name=room)
-    counted = pair_counts(baskets(orders), block_items, k=k)
-    scored = counted.select(F.col("p1").alias("product_id"), F.col("p2").alias("rec_product_id"), F.col("co_count").alias("score"))
-    order = (F.col("score").desc(), F.col("rec_product_id").asc())
-    best = top_per_key(scored, ["product_id"], order, k)
+    best = _best_partners(baskets(orders), k, block_items)
     details = item_details(orders) if details is None else details.select("product_id", "product_name", "category")
     rec = details.select(
         F.col("product_id").alias("rec_product_id"),

@@ -1,18 +1,21 @@
 """Reports that must keep their shuffles and memory small on larger tables."""
 
 import re
+import time
 from collections import Counter
 from itertools import permutations
 
 import pytest
+from pyspark.sql import functions as F
 
 from oracle_check import SMALL
 from roompulse.operators import text
 from roompulse.operators.common import newest_rows
-from roompulse.operators.recommend import pair_counts
+from roompulse.operators.recommend import PASSES, _best_partners, pair_counts
 from roompulse.operators.sketches import user_texts
 from roompulse.plans.catalog import QUERIES, envelopes
 from roompulse.plans.views import Views
+from roompulse.sinks.files import stored
 from roompulse.streaming import replay
 
 
@@ -112,6 +115,42 @@ def test_pairs_are_shuffled_as_blocks(spark, no_small_tables):
     assert "hashpartitioning(product_id" in below
 
 
+def test_one_part_of_the_pairs_is_shuffled_at_a_time(spark, no_small_tables):
+    plan = physical(QUERIES["cooccurrence_recs"](Views(spark, SMALL)))
+    # The last part alone: baskets and the partners of the other parts are stored by then.
+    assert plan.count("MapInArrow") == 1 and "pmod(xxhash64(lambda" in plan
+    assert "lineitem.parquet" not in plan
+
+
+@pytest.mark.parametrize("passes, block, heavy", [(1, 512, 100_000), (3, 5, 7), (4, 2, 2)])
+def test_partners_are_the_same_in_any_number_of_parts(spark, passes, block, heavy):
+    rows = [(f"c{c}", p) for c in range(40) for p in {(c * i * 7 + i * i) % 23 for i in range(2 + c % 9)} | {1}]
+    counts = Counter(pair for c in {c for c, _ in rows} for pair in permutations(sorted(p for o, p in rows if o == c), 2))
+    items = spark.createDataFrame([*rows, (None, 1), ("c1", None), ("alone", 2)], "customer_id string, product_id int")
+    want = set()
+    for p in {a for a, _ in counts}:
+        own = sorted((-n, b) for (a, b), n in counts.items() if a == p)[:5]
+        want |= {(p, b, -n, rank) for rank, (n, b) in enumerate(own, 1)}
+    got = _best_partners(items, 5, block, passes, heavy).collect()
+    assert {(r.product_id, r.rec_product_id, r.score, r["rank"]) for r in got} == want and len(got) == len(want)
+
+
+def test_shuffle_files_of_a_stored_table_go_at_once(spark):
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return set(re.findall(r"shuffle_\d+_\d+_\d+\.data", files))
+
+    before, name = shuffles(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    set_to = spark.conf.get(name)
+    df = spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).agg(F.collect_list("id").alias("ids"))
+    written = stored(df, "freed", freed=True)
+    deadline = time.monotonic() + 20
+    while shuffles() - before and time.monotonic() < deadline:
+        time.sleep(0.2)
+    assert not shuffles() - before and spark.conf.get(name) == set_to
+    assert written.count() == 100
+
+
 def test_windows_are_counted_by_number(spark, monkeypatch):
     texts = ["abab abab", "", "a", "直播直播间", "𝒳a𝒳a\x00\x00", "\x00\x00", "".join(map(chr, range(0x4E00, 0x4E40)))]
     want = Counter(t[i : i + 4] for t in texts for i in range(len(t) - 1))
